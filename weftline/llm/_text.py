@@ -202,7 +202,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="weftline-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/weftline/{uuid.uuid4().hex}/{name}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(frame.schema).parquet(path)
 
