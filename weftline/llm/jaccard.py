@@ -5,18 +5,19 @@ is lost (up to collisions of 64-bit hashes).
 
 1. Classes: documents with the same set are one class; its least doc_id stands
    for it.  Copies are counted in the aggregation, never paired.
-2. Tokens: by pigeonhole, two linked sets share one of the first
-   n - ceil(t n) + 1 tokens of each, in any one order of all tokens.  The
+2. Tokens: by pigeonhole, two linked sets share COMMON of the first
+   n - ceil(t n) + COMMON tokens of each, in any one order of all tokens.  The
    order is rare first, by a fixed-size count sketch over all documents, so
-   that passages which many documents share come last.
-3. Groups: a class joins the group named by its size, roughly, and the least
-   token hash it shares with another class; a group larger than `group` is dealt into blocks of
+   that passages which many documents share come last.  Tokens are kept apart
+   by size class, since linked sets are of like sizes.
+3. Groups: a class joins the group named by the least of its tokens that
+   another class shares; a group larger than `group` is dealt into blocks of
    about that many.  Similar documents so meet in one group.
 4. Token-group matrix: one row for each (token, group) of those first tokens,
    never for (token, document), with the sizes in the group and the most
-   tokens that a member has from this one on.  Groups that share a token and
-   whose sizes and rests allow the threshold are candidates; the documents of
-   the later one become queries of the earlier, in blocks again.
+   tokens that a member has from this one on.  Groups that share COMMON tokens,
+   at sizes and rests that allow the threshold, are candidates; the documents
+   of the later one become queries of the earlier, in blocks again.
 5. In a task, with one group and one block of queries: the group's whole token
    union is formed, each query's overlap with it is bounded (and its size), and
    only if some query still can reach the threshold is the group opened; then
@@ -48,6 +49,10 @@ from weftline.llm._text import LOWER, Hasher, chunks, distinct, documents, map_t
 from weftline.llm.components import components
 
 GROUP = 256
+#: Tokens that two linked sets must share among their firsts; more of them keep chance pairs out.
+COMMON = 4
+#: Ratio of the sizes that a size class spans.
+CLASS = 1.5
 SKETCH_BITS = 20
 
 
@@ -100,7 +105,7 @@ def signatures(docs: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Dat
                 for i in (0, 1):
                     if len(h):
                         sums[i, lo:hi][full] = np.add.reduceat(mix(h + np.uint64(i * 0x632BE59BD9B4E019 + 1)), start[full])
-                keep = np.where(full, count - (-(-percent * count // 100)) + 1, 0)
+                keep = np.where(full, np.minimum(count, count - (-(-percent * count // 100)) + COMMON), 0)
                 order = np.lexsort((h, rank.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], doc))
                 at = np.arange(len(h)) - start[doc]
                 firsts.append(h[order][at < keep[doc]])
@@ -192,33 +197,43 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     named = sigs.filter("n > 0 AND doc_id IS NOT NULL")
     reps = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"))
     named = named.join(reps, ["s1", "s2", "n", "doc_id"], "left_semi")
+    # A pair meets in the size class of its smaller set; a set that may be the
+    # larger one of a pair stands in that class too.
+    ratio = percent / 100
+    step = lambda size: F.floor(F.log(size) / math.log(max(CLASS, 1 / ratio)))
+    classes = F.array_distinct(F.array(step(F.col("n")), step(F.ceil(F.col("n") * ratio))))
     # Where a token stands among the firsts tells how many tokens from it on a set has.
-    firsts = named.select("doc_id", "n", F.posexplode("firsts").alias("at", "token"))
-    firsts = firsts.select("doc_id", "n", "token", (F.col("n") - F.col("at")).alias("rest"))
+    firsts = named.select("doc_id", "n", F.explode(classes).alias("class"), "firsts").select("doc_id", "n", "class", F.posexplode("firsts").alias("at", "token"))
+    firsts = firsts.select("doc_id", "n", "class", F.xxhash64("token", "class").alias("token"), (F.col("n") - F.col("at")).alias("rest"))
     shared = firsts.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("token")
     tokens = written(firsts.join(shared, "token"), "shared_tokens")
+    # Linked sets share COMMON of these tokens, or all if they are smaller than that.
+    least = lambda size: F.least(F.lit(COMMON), F.ceil(size * ratio))
+    enough = tokens.groupBy("doc_id", "class").agg(F.count("*").alias("c"), F.min("n").alias("n")).filter(F.col("c") >= least(F.ceil(F.col("n") * ratio))).select("doc_id", "class")
+    tokens = written(tokens.join(enough, ["doc_id", "class"]), "candidate_tokens")
 
-    ratio = percent / 100
-    step = F.floor(F.log("n") / -math.log(ratio)) if percent < 100 else F.col("n")
-    own = tokens.groupBy("doc_id").agg(F.min("token").alias("token"), F.max("n").alias("n")).select("doc_id", F.xxhash64("token", step).alias("name"))
+    own = tokens.groupBy("doc_id").agg(F.min("token").alias("token")).select("doc_id", F.col("token").alias("name"))
     blocks = own.groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks"))
     own = own.join(blocks, "name").select("doc_id", F.xxhash64("name", F.pmod(F.xxhash64("doc_id"), "blocks")).alias("g"))
     own = written(own, "groups")
 
-    matrix = tokens.join(own, "doc_id").groupBy("token", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"))
+    matrix = tokens.join(own, "doc_id").groupBy("token", "class", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs"))
+    matrix = written(matrix, "token_groups")
     other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("g", "lo", "hi", "rest")])
-    need = F.col("lo") + F.col("lo2")
+    need = (F.col("lo") + F.col("lo2")) * percent - (COMMON - 1) * (100 + percent)
     can = (F.col("g") < F.col("g2")) & (F.col("hi2") * 100 >= F.col("lo") * percent) & (F.col("hi") * 100 >= F.col("lo2") * percent)
-    can &= (F.col("rest") * (100 + percent) >= need * percent) & (F.col("rest2") * (100 + percent) >= need * percent)
-    pairs = matrix.join(other, "token").filter(can).select("g", "g2").distinct()
+    can &= (F.col("rest") * (100 + percent) >= need) & (F.col("rest2") * (100 + percent) >= need)
+    pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count("*").alias("c"), F.least(F.min("lo"), F.min("lo2")).alias("lo"))
+    pairs = pairs.filter(F.col("c") >= least(F.col("lo"))).select("g", "g2").distinct()
     queries = pairs.join(own.select("doc_id", F.col("g").alias("g2")), "g2").select("g", "doc_id")
     queries = written(queries, "queries")
     chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / group).alias("parts"))
     asked = queries.join(chunked, "g").select("doc_id", "g", F.pmod(F.xxhash64("doc_id", F.lit(3)), "parts").cast("int").alias("part"), F.lit(False).alias("member"))
-    parts = own.join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
-    # A group of one with no query has nothing to compare.
-    lone = own.groupBy("g").agg(F.count("*").alias("c")).join(chunked, "g", "left_anti").filter("c = 1").select("g")
-    rows = parts.join(lone, "g", "left_anti").unionByName(asked)
+    # A group is opened for its own members if enough tokens are in two of them, or if it has queries.
+    busy = matrix.filter("docs > 1").groupBy("g", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo")).filter(F.col("c") >= least(F.col("lo"))).select("g")
+    opened = busy.unionByName(chunked.select("g")).distinct()
+    parts = own.join(opened, "g", "left_semi").join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
+    rows = parts.unionByName(asked)
     slots = written(rows.groupBy("doc_id").agg(F.collect_list(F.struct("g", "part", "member")).alias("at")), "places")
     sets = _full_sets(docs.select("doc_id", "text").join(slots, "doc_id"), k)
     placed = sets.select("doc_id", "tokens", F.explode("at").alias("p")).select("doc_id", "tokens", "p.g", "p.part", "p.member")
