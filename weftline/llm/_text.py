@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Documents are handled in runs of about this many bytes.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 WS = np.zeros(256, bool)
 WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -39,8 +39,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,20 +119,48 @@ def signatures(docs: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Dat
     return map_text(docs, sign, schema)
 
 
-def _full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, tokens: the whole set, as little-endian 64-bit hashes; other columns of `docs` ride along."""
-    names = [c for c in docs.columns if c != "text"]
+def _bloom(keys: DataFrame, bits: int = 26, hashes: int = 3) -> np.ndarray:
+    """A Bloom filter of the column `key`, of at most 2 ** bits bits (8 MB), gathered as words that are not zero.
+
+    Past its capacity it lets more pass, which costs time and changes nothing.
+    """
+    rows = keys.count()
+    bits = min(bits, max(16, math.ceil(math.log2(max(1, rows) * 16))))
+    places = F.explode(F.array(*[F.shiftrightunsigned("key", 64 - bits) if i == 0 else F.xxhash64("key", F.lit(i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(hashes)])).alias("at")
+    words = keys.select(places).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("w")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words.column("word").to_numpy()] = words.column("w").to_numpy().view(np.uint64)
+    return out
+
+
+def _full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
+    """doc_id, tokens: the whole sets, as little-endian 64-bit hashes, of the doc_ids in `wanted` and a few more.
+
+    Documents are sifted where they are read, so the texts of the others are not shuffled.
+    """
+    hashes = 3
+    key = F.xxhash64("doc_id")
+    filled = _bloom(wanted.select(key.alias("key")), hashes=hashes)
+    bits = int(np.log2(len(filled))) + 6
+    at = [F.shiftrightunsigned("key", 64 - bits) if i == 0 else F.xxhash64("key", F.lit(i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(hashes)]
+    keyed = docs.select("doc_id", "text", key.alias("key")).select("doc_id", "text", *[c.alias(f"at{i}") for i, c in enumerate(at)])
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def form(batches):
         for b in batches:
+            ok = np.ones(len(b), bool)
+            for i in range(hashes):
+                place = b.column(2 + i).to_numpy()
+                ok &= ((shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+            b = b.filter(pa.array(ok))
             out = []
-            for lo, hi, doc, h in _sets(b.column("text"), k):
+            for lo, hi, doc, h in _sets(b.column(1), k):
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1))
                 out += [h[ends[i] : ends[i + 1]].tobytes() for i in range(hi - lo)]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(out, pa.binary())], [*names, "tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "tokens"])
 
-    schema = T.StructType([*[docs.schema[c] for c in names], T.StructField("tokens", T.BinaryType())])
-    return map_text(docs, form, schema, *docs.columns)
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("tokens", T.BinaryType())])
+    return map_text(keyed, form, schema, *keyed.columns)
 
 
 def open_group(members: list[np.ndarray], queries: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,10 +231,15 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     step = lambda size: F.floor(F.log(size) / math.log(max(CLASS, 1 / ratio)))
     classes = F.array_distinct(F.array(step(F.col("n")), step(F.ceil(F.col("n") * ratio))))
     # Where a token stands among the firsts tells how many tokens from it on a set has.
-    firsts = named.select("doc_id", "n", F.explode(classes).alias("class"), "firsts").select("doc_id", "n", "class", F.posexplode("firsts").alias("at", "token"))
-    firsts = firsts.select("doc_id", "n", "class", F.xxhash64("token", "class").alias("token"), (F.col("n") - F.col("at")).alias("rest"))
-    shared = firsts.groupBy("token").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("token")
-    tokens = written(firsts.join(shared, "token"), "shared_tokens")
+    # One long holds size, place and class of a token, to keep the many rows small.
+    at = F.posexplode("firsts").alias("at", "token")
+    firsts = named.select("doc_id", "n", F.explode(classes).alias("class"), "firsts").select("doc_id", "n", "class", at)
+    packed = F.shiftleft("n", 32).bitwiseOR(F.shiftleft(F.col("at").cast("long"), 8)).bitwiseOR(F.col("class"))
+    firsts = firsts.select("doc_id", F.xxhash64("token", "class").alias("token"), packed.alias("packed"))
+    shared = firsts.groupBy("token").count().filter("count > 1").select("token")
+    tokens = firsts.join(shared, "token").withColumns({"n": F.shiftright("packed", 32), "class": F.col("packed").bitwiseAND(F.lit(255).cast("long"))})
+    rest = F.col("n") - F.shiftright("packed", 8).bitwiseAND(F.lit((1 << 24) - 1).cast("long"))
+    tokens = written(tokens.select("doc_id", "token", "n", "class", rest.alias("rest")), "shared_tokens")
     # Linked sets share COMMON of these tokens, or all if they are smaller than that.
     least = lambda size: F.least(F.lit(COMMON), F.ceil(size * ratio))
     enough = tokens.groupBy("doc_id", "class").agg(F.count("*").alias("c"), F.min("n").alias("n")).filter(F.col("c") >= least(F.ceil(F.col("n") * ratio))).select("doc_id", "class")
@@ -235,22 +268,23 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     parts = own.join(opened, "g", "left_semi").join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
     rows = parts.unionByName(asked)
     slots = written(rows.groupBy("doc_id").agg(F.collect_list(F.struct("g", "part", "member")).alias("at")), "places")
-    sets = _full_sets(docs.select("doc_id", "text").join(slots, "doc_id"), k)
-    placed = sets.select("doc_id", "tokens", F.explode("at").alias("p")).select("doc_id", "tokens", "p.g", "p.part", "p.member")
+    placed = _full_sets(docs, k, slots).join(slots, "doc_id").select("doc_id", "tokens", F.explode("at").alias("p")).select("doc_id", "tokens", "p.g", "p.part", "p.member")
+
+    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
 
-    def find(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["member", "doc_id"], ascending=[False, True])
-        sets = [np.frombuffer(x, np.uint64) for x in frame["tokens"]]
-        m = int(frame["member"].sum())
+    def find(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("member", "descending"), ("doc_id", "ascending")])
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("tokens")]
+        m = pc.sum(table.column("member")).as_py()
         a, b = open_group(sets[:m], sets[m:], percent)
-        if frame["part"].iloc[0]:  # the members were compared with each other in part 0
+        if table.column("part")[0].as_py():  # the members were compared with each other in part 0
             a, b = a[b >= m], b[b >= m]
         root = _forest(len(sets), a, b)
-        ids = frame["doc_id"].to_numpy()
         at = np.flatnonzero(root != np.arange(len(sets)))
-        return pd.DataFrame({"src": ids[root[at]], "dst": ids[at]})
+        ids = table.column("doc_id")
+        return pa.table({"src": ids.take(pa.array(root[at])), "dst": ids.take(pa.array(at))})
 
-    return placed.groupBy("g", "part").applyInPandas(find, T.StructType([T.StructField("src", kind), T.StructField("dst", kind)]))
+    return placed.groupBy("g", "part").applyInArrow(find, schema)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, group: int = GROUP) -> DataFrame:
