@@ -1,7 +1,7 @@
 """N-gram Jaccard join by a token-group matrix.
 
 Exact, over sets of word shingles; no pair of sets at or above the threshold
-is lost (up to collisions of 64-bit hashes).
+is lost (up to collisions of 48-bit hashes within a pair of sets).
 
 1. Classes: documents with the same set are one class; its least doc_id stands
    for it.  Copies are counted in the aggregation, never paired.
@@ -41,7 +41,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +52,8 @@ from weftline.llm.components import components
 GROUP = 256
 #: Tokens that two linked sets must share among their firsts; more of them keep chance pairs out.
 COMMON = 4
+#: Bytes of a token's hash that are compared in the end.
+TOKEN_BYTES = 6
 #: Ratio of the sizes that a size class spans.
 CLASS = 1.5
 SKETCH_BITS = 20
@@ -119,50 +122,104 @@ def signatures(docs: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Dat
     return map_text(docs, sign, schema)
 
 
-def _bloom(keys: DataFrame, bits: int = 26, hashes: int = 3) -> np.ndarray:
-    """A Bloom filter of the column `key`, of at most 2 ** bits bits (8 MB), gathered as words that are not zero.
+def _bloom(keys: DataFrame, most: int = 26) -> np.ndarray:
+    """A Bloom filter of the long column `key`, of at most 2 ** most bits (8 MB), gathered as words that are not zero.
 
     Past its capacity it lets more pass, which costs time and changes nothing.
     """
-    rows = keys.count()
-    bits = min(bits, max(16, math.ceil(math.log2(max(1, rows) * 16))))
-    places = F.explode(F.array(*[F.shiftrightunsigned("key", 64 - bits) if i == 0 else F.xxhash64("key", F.lit(i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(hashes)])).alias("at")
-    words = keys.select(places).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("w")).toArrow()
+    bits = min(most, max(16, math.ceil(math.log2(max(1, keys.count()) * 12))))
+
+    def place(batches):
+        for b in batches:
+            at = np.unique(np.concatenate(_places(b.column(0).to_numpy(), bits)))
+            word, first = np.unique(at >> 6, return_index=True)
+            ones = np.uint64(1) << (at & 63).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.bitwise_or.reduceat(ones, first).view(np.int64) if len(at) else np.zeros(0, np.int64))], ["word", "w"])
+
+    words = map_text(keys, place, "word long, w long", "key").groupBy("word").agg(F.bit_or("w").alias("w")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[words.column("word").to_numpy()] = words.column("w").to_numpy().view(np.uint64)
     return out
 
 
+def _places(key: np.ndarray, bits: int) -> list[np.ndarray]:
+    h = mix(key.view(np.uint64) + np.uint64(1))
+    low = np.uint64((1 << bits) - 1)
+    return [((h >> np.uint64(s)) & low).astype(np.int64) for s in (0, 64 - bits)] + [(mix(h) & low).astype(np.int64)]
+
+
+def _in_bloom(filled: np.ndarray, key: np.ndarray) -> np.ndarray:
+    ok = np.ones(len(key), bool)
+    for at in _places(np.ascontiguousarray(key), int(np.log2(len(filled))) + 6):
+        ok &= ((filled[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+    return ok
+
+
+def _keys(sigs: DataFrame, percent: int, bloom: np.ndarray | None = None) -> DataFrame:
+    """The firsts of every set, a row each: doc_id, token (with its size class), n, class, rest.
+
+    A pair meets in the size class of its smaller set; a set that may be the
+    larger one of a pair stands in that class too.  `rest` is how many tokens
+    the set has from this one on.  Without a filter only the tokens come back.
+    """
+    span = math.log(max(CLASS, 100 / percent))
+    shared = sigs.sparkSession.sparkContext.broadcast(bloom)
+
+    def run(batches):
+        for b in batches:
+            n = b.column(1).to_numpy()
+            lists = b.column(2)
+            tokens = lists.flatten().to_numpy().view(np.uint64)
+            count = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(n)), count)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            own = np.floor(np.log(n) / span).astype(np.int64)
+            low = np.floor(np.log(-(-percent * n // 100)) / span).astype(np.int64)
+            for classes, some in ((own, None), (low, low != own)):
+                r, t, a = (row, tokens, at) if some is None else (x[some[row]] for x in (row, tokens, at))
+                key = mix(t + classes[r].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                if shared.value is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(key)], ["token"])
+                    continue
+                ok = _in_bloom(shared.value, key)
+                r, key, a = r[ok], key[ok], a[ok]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), pa.array(key), pa.array(n[r]), pa.array(classes[r]), pa.array(n[r] - a)], ["doc_id", "token", "n", "class", "rest"])
+
+    long = lambda name: T.StructField(name, T.LongType())
+    schema = T.StructType([long("token")] if bloom is None else [sigs.schema["doc_id"], long("token"), long("n"), long("class"), long("rest")])
+    return map_text(sigs, run, schema, "doc_id", "n", "firsts")
+
+
 def _full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """doc_id, tokens: the whole sets, as little-endian 64-bit hashes, of the doc_ids in `wanted` and a few more.
+    """doc_id, tokens: the whole sets, as the first TOKEN_BYTES bytes of the hashes in order, of the doc_ids in `wanted` and a few more.
 
     Documents are sifted where they are read, so the texts of the others are not shuffled.
     """
-    hashes = 3
-    key = F.xxhash64("doc_id")
-    filled = _bloom(wanted.select(key.alias("key")), hashes=hashes)
-    bits = int(np.log2(len(filled))) + 6
-    at = [F.shiftrightunsigned("key", 64 - bits) if i == 0 else F.xxhash64("key", F.lit(i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(hashes)]
-    keyed = docs.select("doc_id", "text", key.alias("key")).select("doc_id", "text", *[c.alias(f"at{i}") for i, c in enumerate(at)])
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
+    key = F.xxhash64("doc_id").alias("key")
+    keyed = docs.select("doc_id", "text", key)
+    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select(key)))
 
     def form(batches):
         for b in batches:
-            ok = np.ones(len(b), bool)
-            for i in range(hashes):
-                place = b.column(2 + i).to_numpy()
-                ok &= ((shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
-            b = b.filter(pa.array(ok))
+            b = b.filter(pa.array(_in_bloom(shared.value, b.column(2).to_numpy())))
             out = []
             for lo, hi, doc, h in _sets(b.column(1), k):
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1))
-                out += [h[ends[i] : ends[i + 1]].tobytes() for i in range(hi - lo)]
+                short = h.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]
+                out += [short[ends[i] : ends[i + 1]].tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "tokens"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("tokens", T.BinaryType())])
     return map_text(keyed, form, schema, *keyed.columns)
 
 
+def _long(tokens) -> np.ndarray:
+    raw = np.frombuffer(tokens, np.uint8).reshape(-1, TOKEN_BYTES)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 8 - TOKEN_BYTES :] = raw
+    return out.view(">u8")[:, 0].astype(np.uint64)
+
+
 def open_group(members: list[np.ndarray], queries: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (a, b) of linked sets: members with members (a < b), then members with queries (b counts on).
 
@@ -219,51 +276,56 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _common(low: Column, low2: Column, high: Column, percent: int) -> Column:
+    """How many of their firsts two linked sets share at least, of sizes from low and low2 up to high.
+
+    Of the tokens they have in common, in order, the j-th stands at most the
+    number of uncommon ones behind j.  Sets of sizes a <= b that share o tokens
+    have a - o and b - o of these, so all but b - o of the longer set's firsts
+    must be met; o is at least t / (1 + t) (a + b).
+    """
+    t = percent / 100
+    spare = F.greatest(F.lit(0.0), t / (1 + t) * (F.least(low, low2) - t * high))
+    return F.least(F.floor(spare) + COMMON - 1, F.floor(t / (1 + t) * (low + low2)))
+
+
 def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = GROUP) -> DataFrame:
     """(src, dst) between class representatives: within each task's linked sets, stars on the least id."""
     kind = docs.schema["doc_id"].dataType
     named = sigs.filter("n > 0 AND doc_id IS NOT NULL")
     reps = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"))
     named = named.join(reps, ["s1", "s2", "n", "doc_id"], "left_semi")
-    # A pair meets in the size class of its smaller set; a set that may be the
-    # larger one of a pair stands in that class too.
+    # The rows are many, so those whose token a Bloom filter of the shared ones
+    # lacks are left where they are.
     ratio = percent / 100
-    step = lambda size: F.floor(F.log(size) / math.log(max(CLASS, 1 / ratio)))
-    classes = F.array_distinct(F.array(step(F.col("n")), step(F.ceil(F.col("n") * ratio))))
-    # Where a token stands among the firsts tells how many tokens from it on a set has.
-    # One long holds size, place and class of a token, to keep the many rows small.
-    at = F.posexplode("firsts").alias("at", "token")
-    firsts = named.select("doc_id", "n", F.explode(classes).alias("class"), "firsts").select("doc_id", "n", "class", at)
-    packed = F.shiftleft("n", 32).bitwiseOR(F.shiftleft(F.col("at").cast("long"), 8)).bitwiseOR(F.col("class"))
-    firsts = firsts.select("doc_id", F.xxhash64("token", "class").alias("token"), packed.alias("packed"))
-    shared = firsts.groupBy("token").count().filter("count > 1").select("token")
-    tokens = firsts.join(shared, "token").withColumns({"n": F.shiftright("packed", 32), "class": F.col("packed").bitwiseAND(F.lit(255).cast("long"))})
-    rest = F.col("n") - F.shiftright("packed", 8).bitwiseAND(F.lit((1 << 24) - 1).cast("long"))
-    tokens = written(tokens.select("doc_id", "token", "n", "class", rest.alias("rest")), "shared_tokens")
+    shared = _keys(named, percent).groupBy("token").count().filter("count > 1").select("token")
+    shared = written(shared, "shared_tokens")
+    tokens = _keys(named, percent, _bloom(shared.select(F.col("token").alias("key")))).join(shared, "token").repartition("doc_id")
     # Linked sets share COMMON of these tokens, or all if they are smaller than that.
-    least = lambda size: F.least(F.lit(COMMON), F.ceil(size * ratio))
-    enough = tokens.groupBy("doc_id", "class").agg(F.count("*").alias("c"), F.min("n").alias("n")).filter(F.col("c") >= least(F.ceil(F.col("n") * ratio))).select("doc_id", "class")
-    tokens = written(tokens.join(enough, ["doc_id", "class"]), "candidate_tokens")
+    least = F.least(F.lit(COMMON), F.ceil(F.ceil(F.col("n") * ratio) * ratio))
+    tokens = tokens.withColumn("c", F.count("*").over(W.partitionBy("doc_id", "class"))).filter(F.col("c") >= least).drop("c")
+    tokens = written(tokens.withColumn("name", F.xxhash64(F.min("token").over(W.partitionBy("doc_id")), F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
 
-    own = tokens.groupBy("doc_id").agg(F.min("token").alias("token")).select("doc_id", F.col("token").alias("name"))
-    blocks = own.groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks"))
-    own = own.join(blocks, "name").select("doc_id", F.xxhash64("name", F.pmod(F.xxhash64("doc_id"), "blocks")).alias("g"))
-    own = written(own, "groups")
+    own = tokens.select("doc_id", "name").distinct()
+    large = own.groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks")).filter("blocks > 1")
+    block = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1).cast("long")))
+    tokens = tokens.join(large, "name", "left").withColumn("g", F.xxhash64("name", block))
+    own = written(tokens.select("doc_id", "g").distinct(), "groups")
 
-    matrix = tokens.join(own, "doc_id").groupBy("token", "class", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs"))
+    matrix = tokens.groupBy("token", "class", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs"))
     matrix = written(matrix, "token_groups")
     other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("g", "lo", "hi", "rest")])
-    need = (F.col("lo") + F.col("lo2")) * percent - (COMMON - 1) * (100 + percent)
     can = (F.col("g") < F.col("g2")) & (F.col("hi2") * 100 >= F.col("lo") * percent) & (F.col("hi") * 100 >= F.col("lo2") * percent)
-    can &= (F.col("rest") * (100 + percent) >= need) & (F.col("rest2") * (100 + percent) >= need)
-    pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count("*").alias("c"), F.least(F.min("lo"), F.min("lo2")).alias("lo"))
-    pairs = pairs.filter(F.col("c") >= least(F.col("lo"))).select("g", "g2").distinct()
+    need = ratio / (1 + ratio) * (F.col("lo") + F.col("lo2")) - _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)
+    can &= (F.col("rest") >= need) & (F.col("rest2") >= need)
+    pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.min("lo2").alias("lo2"), F.max("hi").alias("hi"), F.max("hi2").alias("hi2"))
+    pairs = pairs.filter(F.col("c") >= _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)).select("g", "g2").distinct()
     queries = pairs.join(own.select("doc_id", F.col("g").alias("g2")), "g2").select("g", "doc_id")
     queries = written(queries, "queries")
     chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / group).alias("parts"))
     asked = queries.join(chunked, "g").select("doc_id", "g", F.pmod(F.xxhash64("doc_id", F.lit(3)), "parts").cast("int").alias("part"), F.lit(False).alias("member"))
     # A group is opened for its own members if enough tokens are in two of them, or if it has queries.
-    busy = matrix.filter("docs > 1").groupBy("g", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo")).filter(F.col("c") >= least(F.col("lo"))).select("g")
+    busy = matrix.filter("docs > 1").groupBy("g", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(F.col("c") >= _common(F.col("lo"), F.col("lo"), F.col("hi"), percent)).select("g")
     opened = busy.unionByName(chunked.select("g")).distinct()
     parts = own.join(opened, "g", "left_semi").join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
     rows = parts.unionByName(asked)
@@ -274,7 +336,7 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
 
     def find(table: pa.Table) -> pa.Table:
         table = table.sort_by([("member", "descending"), ("doc_id", "ascending")])
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("tokens")]
+        sets = [_long(x.as_buffer()) for x in table.column("tokens")]
         m = pc.sum(table.column("member")).as_py()
         a, b = open_group(sets[:m], sets[m:], percent)
         if table.column("part")[0].as_py():  # the members were compared with each other in part 0
