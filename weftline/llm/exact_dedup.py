@@ -66,7 +66,8 @@ def classes(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     marked = possibly_repeated(digests, bits_per_row)
     single = marked.filter(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     # Rows that agree in doc_id too are counted together, so that one of them stays.
-    maybe = marked.filter("_maybe").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("_n"))
+    # Written, so that the join deals out plain rows, which AQE can split by size.
+    maybe = written(marked.filter("_maybe").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("_n")), "possibly_repeated")
     groups = maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("_n").alias("group_size"))
     rows = maybe.join(groups, "text_sha256").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
