@@ -38,7 +38,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LAPS = 2
 BLOCK = 16
-SHARD = 1 << 22
+SHARD = 1 << 18
 SEED = "mix-1"
 
 
@@ -155,7 +155,7 @@ b AS (SELECT *, CAST(round(sum(target) OVER () / 16) AS BIGINT) AS seats FROM t)
 q1 AS (SELECT source, target, seats, unnest(range(0, CAST(ceil(target / 16) AS BIGINT) + 8)) AS k FROM b),
 r1 AS (SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST, k) AS r, seats FROM q1),
 n1 AS (SELECT source, count(*) AS blocks FROM r1 WHERE r <= seats GROUP BY source),
-src AS (SELECT b.source, source_size, target, coalesce(blocks, 0) AS blocks, greatest(1, CAST(ceil(source_size / 4194304.0::DOUBLE) AS BIGINT)) AS shards
+src AS (SELECT b.source, source_size, target, coalesce(blocks, 0) AS blocks, greatest(1, CAST(ceil(source_size / 262144.0::DOUBLE) AS BIGINT)) AS shards
         FROM b LEFT JOIN n1 ON b.source IS NOT DISTINCT FROM n1.source),
 e AS (SELECT d.*, source_size, target, blocks, CAST(('0x' || substr(place, 17, 12)) AS BIGINT) % shards AS shard
       FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source),
