@@ -10,8 +10,8 @@ is lost (up to collisions of 48-bit hashes within a pair of sets).
    order is rare first, by a fixed-size count sketch over all documents, so
    that passages which many documents share come last.  Tokens are kept apart
    by size class, since linked sets are of like sizes.
-3. Groups: a class joins the group named by the least of its tokens that
-   another class shares; a group larger than `group` is dealt into blocks of
+3. Groups: a class joins the group named by its size, roughly, and that one of
+   its tokens which most classes share; a group larger than `group` is dealt into blocks of
    about that many.  Similar documents so meet in one group.
 4. Token-group matrix: one row for each (token, group) of those first tokens,
    never for (token, document), with the sizes in the group and the most
@@ -298,14 +298,15 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     # The rows are many, so those whose token a Bloom filter of the shared ones
     # lacks are left where they are.
     ratio = percent / 100
-    shared = _keys(named, percent).groupBy("token").count().filter("count > 1").select("token")
+    shared = _keys(named, percent).groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1")
     shared = written(shared, "shared_tokens")
     tokens = _keys(named, percent, _bloom(shared.select(F.col("token").alias("key")))).join(shared, "token").repartition("doc_id")
     # Linked sets share COMMON of these tokens, or all if they are smaller than that.
     least = F.least(F.lit(COMMON), F.ceil(F.ceil(F.col("n") * ratio) * ratio))
     tokens = tokens.withColumn("c", F.count("*").over(W.partitionBy("doc_id", "class"))).filter(F.col("c") >= least).drop("c")
-    tokens = written(tokens.withColumn("name", F.xxhash64(F.min("token").over(W.partitionBy("doc_id")), F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
+    tokens = written(tokens.withColumn("name", F.xxhash64(F.max(F.struct("sets", "token")).over(W.partitionBy("doc_id"))["token"], F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
 
+    tokens = tokens.drop("sets")
     own = tokens.select("doc_id", "name").distinct()
     large = own.groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks")).filter("blocks > 1")
     block = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1).cast("long")))
