@@ -214,7 +214,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
     share = share.withColumnRenamed("source", "_s")
     carried = carried.join(share, F.col("source").eqNullSafe(F.col("_s"))).select("part", F.lit(0).alias("what"), F.lit(0).cast("long").alias("place"), F.lit(None).cast(kind).alias("doc_id"), "source", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("ids"), "share", (F.col("share") * F.col("all_before") - F.col("before")).alias("deficit"))
     sent = rows.select("part", F.lit(1).alias("what"), F.xxhash64(F.lit(seed + 1), F.col("doc_id")).alias("place"), "doc_id", "source", "n", "ids", F.lit(None).cast("double").alias("share"), F.lit(None).cast("double").alias("deficit"))
-    both = carried.unionByName(sent).repartition(parts, "part").sortWithinPartitions("part", "what", "place", "doc_id", "source", "n", "ids")
+    both = carried.unionByName(sent).repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "what", "place", "doc_id", "source", "n", "ids")
     wide = np.uint16 if _encoder(tokenizer)[1] is np.uint16 else np.uint32
     ahead = min(LOOKAHEAD, part_tokens)
 
