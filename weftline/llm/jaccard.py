@@ -10,9 +10,10 @@ is lost (up to collisions of 48-bit hashes within a pair of sets).
    order is rare first, by a fixed-size count sketch over all documents, so
    that passages which many documents share come last.  Tokens are kept apart
    by size class, since linked sets are of like sizes.
-3. Groups: a class joins the group named by its size, roughly, and that one of
-   its tokens which most classes share; a group larger than `group` is dealt into blocks of
-   about that many.  Similar documents so meet in one group.
+3. Groups: a class joins the group named by its size, roughly, and the least
+   token hash it shares with another class, or, if more classes than a group
+   holds share one, that token; a group larger than `group` is dealt into
+   blocks of about that many.  Similar documents so meet in one group.
 4. Token-group matrix: one row for each (token, group) of those first tokens,
    never for (token, document), with the sizes in the group and the most
    tokens that a member has from this one on.  Groups that share COMMON tokens,
@@ -304,7 +305,8 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     # Linked sets share COMMON of these tokens, or all if they are smaller than that.
     least = F.least(F.lit(COMMON), F.ceil(F.ceil(F.col("n") * ratio) * ratio))
     tokens = tokens.withColumn("c", F.count("*").over(W.partitionBy("doc_id", "class"))).filter(F.col("c") >= least).drop("c")
-    tokens = written(tokens.withColumn("name", F.xxhash64(F.max(F.struct("sets", "token")).over(W.partitionBy("doc_id"))["token"], F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
+    hot = F.max(F.struct("sets", "token")).over(W.partitionBy("doc_id"))
+    tokens = written(tokens.withColumn("name", F.xxhash64(F.when(hot["sets"] > group, hot["token"]).otherwise(F.min("token").over(W.partitionBy("doc_id"))), F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
 
     tokens = tokens.drop("sets")
     own = tokens.select("doc_id", "name").distinct()
