@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
 from weftline.plans.types import SqlError, parse_type
-from weftline.sources import cdc, readers, sinks
+from weftline.sources import cdc, connectors, readers, sinks
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +104,19 @@ def test_client_transforms(people):
     out = tr.llm(people, "say", lambda prompts: [str(len(p)) for p in prompts], ["name"], output_data_type="INT")
     assert out.schema["llm_output"].dataType == T.IntegerType() and out.count() == 3
     assert tr.embedding(people, {"name": "v"}, lambda texts: [[float(len(t))] for t in texts], 2).first()["v"] == [8.0]
+
+
+def test_changelog_messages(spark):
+    rows = [(1, None, "+I"), (2, 'q"é', "-U"), (2, "z", "+U"), (3, "", "-D")]
+    df = spark.createDataFrame(rows, "id int, s string, _row_kind string")
+    for name, encode in cdc.ENCODERS.items():
+        back = cdc.DECODERS[name](encode(df), T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s", T.StringType())]))
+        assert [(r.id, r.s, r._row_kind) for r in back.collect()] == [(1, None, "+I"), (2, 'q"é', "-D"), (2, "z", "+I"), (3, "", "-D")], name
+        keyed = connectors.encoded(df, name, ["id"])
+        assert keyed.columns == ["key", "value"] and keyed.first().key == '{"id":1}'
+
+
+def test_kafka_connect(spark):
+    texts = ['{"schema": {"type": "struct"}, "payload": {"id": 1, "s": "a"}}', '{"id": 2, "s": null}', '{"schema": null, "payload": null}', "not json", None]
+    back = cdc.kafka_connect(spark.createDataFrame([(t,) for t in texts], "value string"), T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s", T.StringType())]))
+    assert [tuple(r) for r in back.collect()] == [(1, "a", "+I"), (2, None, "+I")]

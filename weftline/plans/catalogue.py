@@ -213,3 +213,28 @@ def _ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _add("cdc_ogg", _ogg, "SELECT n_nationkey, n_name, '-D' AS kind FROM nation")
+
+
+def _round_trip(format: str) -> Query:
+    """The changelog as messages and back; images of updates come back as rows taken away and added."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType())])
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        messages = cdc.ENCODERS[format](changelog(spark, sf_dir).select("event_id", "user_id", "event_type", "_row_kind"))
+        return cdc.DECODERS[format](messages, schema).select("event_id", "user_id", "event_type", F.col("_row_kind").alias("kind"))
+
+    return build
+
+
+for _f in cdc.ENCODERS:
+    _add(f"cdc_encode_{_f.removesuffix('_json')}", _round_trip(_f), f"SELECT event_id, user_id, event_type, CASE WHEN {_KIND} IN ('-D', '-U') THEN '-D' ELSE '+I' END AS kind FROM events")
+
+
+def _connect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    payload = F.struct("n_nationkey", "n_name")
+    enveloped = F.to_json(F.struct(F.struct(F.lit("struct").alias("type")).alias("schema"), payload.alias("payload")))
+    text = F.when(F.col("n_nationkey") % 2 == 0, enveloped).otherwise(F.to_json(payload))
+    return cdc.kafka_connect(table(spark, sf_dir, "nation").select(text.alias("value")), _NATION).select("n_nationkey", "n_name")
+
+
+_add("cdc_kafka_connect", _connect, "SELECT n_nationkey, n_name FROM nation")

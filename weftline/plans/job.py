@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from weftline.operators import transforms as tr
 from weftline.plans import config
 from weftline.plans.sql import sql
-from weftline.sources import connectors, readers, sinks
+from weftline.sources import connectors, http, readers, sinks
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -144,8 +144,17 @@ def _kafka(job: Job, options: dict, name: str) -> Tables:
     return {name: connectors.decoded(df, options.get("format", "json"), _schema(options))}
 
 
+def _http(service: str) -> Callable[[Job, dict, str], Tables]:
+    def make(job: Job, options: dict, name: str) -> Tables:
+        if job.streaming:
+            raise JobError(f"{service} is read in batch jobs only")
+        return {name: http.read(job.spark, options, _schema(options), service)}
+
+    return make
+
+
 _STORES = ("LocalFile", "HdfsFile", "S3File", "OssFile", "OssJindoFile", "CosFile", "ObsFile", "FtpFile", "SftpFile")
-SOURCES: dict[str, Callable[[Job, dict, str], Tables]] = {"FakeSource": _fake, "Hive": _hive, "Jdbc": _jdbc, "Kafka": _kafka, **dict.fromkeys(_STORES, _files)}
+SOURCES: dict[str, Callable[[Job, dict, str], Tables]] = {"FakeSource": _fake, "Hive": _hive, "Jdbc": _jdbc, "Kafka": _kafka, **{s: _http(s) for s in http.SERVICES}, **dict.fromkeys(_STORES, _files)}
 
 
 def _with_client(name: str):
@@ -216,7 +225,11 @@ def _save_kafka(job: Job, df: DataFrame, path: str, options: dict):
     connectors.encoded(df, options.get("format", "json"), options.get("partition_key_fields")).write.format("kafka").options(**connectors.kafka_write(options)).save()
 
 
-SINKS: dict[str, Callable[[Job, DataFrame, str, dict], object]] = {"Console": _console, "Assert": _assert, "Hive": _save_table, "Jdbc": _save_jdbc, "Kafka": _save_kafka, **dict.fromkeys(_STORES, _save_files)}
+def _save_http(job: Job, df: DataFrame, path: str, options: dict):
+    http.write(df.drop(*sinks.HIDDEN), options)
+
+
+SINKS: dict[str, Callable[[Job, DataFrame, str, dict], object]] = {"Console": _console, "Assert": _assert, "Hive": _save_table, "Jdbc": _save_jdbc, "Kafka": _save_kafka, "Http": _save_http, **dict.fromkeys(_STORES, _save_files)}
 
 
 def _inputs(job: Job, options: dict, last: str | None) -> Tables:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.plans.sql import HIDDEN
+
 
 def _event(kind: str, row: Column, when: Column | None = None) -> Column:
     e = F.struct(F.lit(kind).alias("_row_kind"), row.alias("row"))
@@ -59,7 +61,7 @@ def debezium(df: DataFrame, schema: T.StructType) -> DataFrame:
     m = F.from_json("value", T.StructType([T.StructField("payload", inner), *inner.fields]))
     d = df.select(m.alias("m")).select(F.when(F.col("m.payload").isNotNull(), F.col("m.payload")).otherwise(F.struct("m.op", "m.before", "m.after", "m.source")).alias("p"))
     op = F.col("p.op")
-    events = F.array(_event("+I", F.col("p.after"), op.isin("c", "r")), _event("-U", F.col("p.before"), (op == "u") & F.col("p.before").isNotNull()), _event("+U", F.col("p.after"), op == "u"), _event("-D", F.col("p.before"), op == "d"))
+    events = F.array(_event("+I", F.col("p.after"), op.isin("c", "r")), _event("-U", F.col("p.before"), (op == "u") & F.col("p.before").isNotNull()), _event("+U", F.col("p.after"), (op == "u") & F.col("p.after").isNotNull()), _event("-D", F.col("p.before"), op == "d"))
     return _out(d, events, F.concat_ws(".", "p.source.db", "p.source.table"), (None, None), (op, op))
 
 
@@ -94,9 +96,48 @@ def collapse(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return last.filter(~F.col("_last._row_kind").isin("-D", "-U")).select(*keys, *[F.col(f"_last.`{c}`") for c in rest if c not in ("_row_kind", *order)])
 
 
-def to_debezium(df: DataFrame) -> DataFrame:
-    """A `value` column of Debezium-style JSON from rows with a kind."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")])
-    gone = F.col("_row_kind").isin("-D", "-U")
-    op = F.when(F.col("_row_kind") == "+I", "c").when(F.col("_row_kind").isin("-U", "+U"), "u").otherwise("d")
-    return df.select(F.to_json(F.struct(F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), op.alias("op")), {"ignoreNullFields": "false"}).alias("value"))
+def _messages(df: DataFrame, key: str | None, fields) -> DataFrame:
+    """A `value` column of JSON: fields(row, gone) of each row, its table and its kind; nulls are written.
+
+    Each row is a message by itself: the image before an update takes a row
+    away and the one after it adds one, so a decoder gives -D and +I for them.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in HIDDEN and c != key])
+    kind = F.coalesce(F.col("_row_kind"), F.lit("+I")) if "_row_kind" in df.columns else F.lit("+I")
+    made = fields(row, kind.isin("-D", "-U"))
+    value = F.to_json(F.struct(*[c.alias(n) for n, c in made.items()]), {"ignoreNullFields": "false"}).alias("value")
+    return df.select(F.col(key).alias("key"), value) if key else df.select(value)
+
+
+def to_debezium(df: DataFrame, key: str | None = None) -> DataFrame:
+    return _messages(df, key, lambda row, gone: {"before": F.when(gone, row), "after": F.when(~gone, row), "op": F.when(gone, "d").otherwise("c")})
+
+
+def to_canal(df: DataFrame, key: str | None = None) -> DataFrame:
+    return _messages(df, key, lambda row, gone: {"data": F.array(row), "type": F.when(gone, "DELETE").otherwise("INSERT")})
+
+
+def to_maxwell(df: DataFrame, key: str | None = None) -> DataFrame:
+    return _messages(df, key, lambda row, gone: {"data": row, "type": F.when(gone, "delete").otherwise("insert")})
+
+
+def to_ogg(df: DataFrame, key: str | None = None) -> DataFrame:
+    return _messages(df, key, lambda row, gone: {"before": F.when(gone, row), "after": F.when(~gone, row), "op_type": F.when(gone, "D").otherwise("I")})
+
+
+ENCODERS = {"canal_json": to_canal, "debezium_json": to_debezium, "maxwell_json": to_maxwell, "ogg_json": to_ogg}
+
+
+def kafka_connect(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of records with an envelope of schema and payload, or bare; tombstones and lines that do not parse give none."""
+    m = F.from_json("value", T.StructType([T.StructField("payload", schema)]))
+    keys = F.json_object_keys("value")
+    enveloped = F.array_contains(keys, "payload")
+    if "payload" in schema.names:
+        enveloped &= F.array_contains(keys, "schema")
+    row = F.when(enveloped, m["payload"]).otherwise(F.from_json("value", schema))
+    parsed = keys.isNotNull()
+    return df.filter(parsed).select(row.alias("r")).filter("r IS NOT NULL").select("r.*", F.lit("+I").alias("_row_kind"))
+
+
+DECODERS["compatible_kafka_connect_json"] = kafka_connect

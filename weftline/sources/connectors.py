@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.plans.sql import HIDDEN
 from weftline.sources import cdc
 
 
@@ -71,8 +72,8 @@ def decoded(df: DataFrame, format: str, schema: T.StructType | None, field_delim
     text = df.select(F.col("value").cast("string").alias("value"))
     if schema is None:
         return text.withColumnRenamed("value", "content")
-    if format in cdc.DECODERS:
-        return cdc.DECODERS[format](text, schema)
+    if format.lower() in cdc.DECODERS:
+        return cdc.DECODERS[format.lower()](text, schema)
     if format == "json":
         return text.select(F.from_json("value", schema).alias("r")).select("r.*")
     if format == "text":
@@ -81,13 +82,21 @@ def decoded(df: DataFrame, format: str, schema: T.StructType | None, field_delim
 
 
 def encoded(df: DataFrame, format: str, key_fields: list[str] | None = None, field_delimiter: str = ",") -> DataFrame:
-    """Messages with a key of the given fields, as JSON or delimited text."""
-    names = [c for c in df.columns if not c.startswith("_")]
+    """Messages with a key of the given fields, as JSON, delimited text or a changelog.
+
+    Of compatible_debezium_json the rows are messages already: key and value pass as they are.
+    """
+    if format == "compatible_debezium_json":
+        return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    names = [c for c in df.columns if c not in HIDDEN]
     row = F.struct(*[F.col(f"`{c}`") for c in names])
     if format == "json":
         value = F.to_json(row, {"ignoreNullFields": "false"})
     elif format == "text":
         value = F.concat_ws(field_delimiter, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names])
+    elif format.lower() in cdc.ENCODERS:
+        keyed = df.withColumn("_key", F.to_json(F.struct(*[F.col(f"`{c}`") for c in key_fields])) if key_fields else F.lit(None).cast("string"))
+        return cdc.ENCODERS[format.lower()](keyed, "_key")
     else:
         raise ValueError(f"unknown format {format}")
     key = F.to_json(F.struct(*[F.col(f"`{c}`") for c in key_fields])) if key_fields else F.lit(None).cast("string")
