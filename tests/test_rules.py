@@ -120,3 +120,17 @@ def test_kafka_connect(spark):
     texts = ['{"schema": {"type": "struct"}, "payload": {"id": 1, "s": "a"}}', '{"id": 2, "s": null}', '{"schema": null, "payload": null}', "not json", None]
     back = cdc.kafka_connect(spark.createDataFrame([(t,) for t in texts], "value string"), T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s", T.StringType())]))
     assert [tuple(r) for r in back.collect()] == [(1, "a", "+I"), (2, None, "+I")]
+
+
+def test_fake_options(spark):
+    schema = readers.schema_of({"a": "int", "b": "string", "c": "array<int>", "d": "map<string, bigint>", "e": "double", "f": "date", "g": "timestamp", "h": "bytes", "i": "decimal(30, 8)", "j": "decimal(4, 4)", "k": "bigint", "l": {"m": "tinyint", "n": "null"}})
+    conf = {"int.min": 5, "int.max": 9, "string.length": 40, "array.size": 3, "map.size": 2, "double.template": [1.5, 2.5], "date.year.template": [2001], "bytes.length": 7, "tinyint.min": -3, "tinyint.max": -3, "split.num": 2}
+    df = readers.fake(spark, schema, 50, 2, options=conf)
+    rows = df.collect()
+    assert len(rows) == 100 and df.rdd.getNumPartitions() == 4 and rows == df.collect()
+    assert {r.a for r in rows} == {5, 6, 7, 8, 9} and {v for r in rows for v in r.c} == {5, 6, 7, 8, 9}
+    assert all(len(r.b) == 40 and len(r.c) == 3 and len(r.d) == 2 and len(r.h) == 7 and r.l.m == -3 and r.l.n is None for r in rows)
+    assert {r.e for r in rows} == {1.5, 2.5} and {r.f.year for r in rows} == {2001} and all(0 <= r.j < 1 for r in rows)
+    assert len({r.k for r in rows}) == len({r.i for r in rows}) == len({r.b for r in rows}) == 100
+    every = readers.fake(spark, schema, 20).collect()
+    assert len(every) == 20 and all(len(r.b) == 5 and len(r.c) == 5 and 1970 <= r.g.year <= 2038 for r in every)

@@ -89,6 +89,14 @@ def _python(value, to: T.DataType):
     return value
 
 
+def _flat(options: dict, before: str = "") -> dict:
+    """Options by dotted names."""
+    out = {}
+    for k, v in options.items():
+        out |= _flat(v, f"{before}{k}.") if isinstance(v, dict) and k != "schema" else {f"{before}{k}": v}
+    return out
+
+
 def _fake(job: Job, options: dict, name: str) -> Tables:
     out = {}
     for one in options.get("tables_configs") or [options]:
@@ -99,7 +107,7 @@ def _fake(job: Job, options: dict, name: str) -> Tables:
         if rows is not None:
             rows = [{"kind": r.get("kind", "INSERT"), "fields": [_python(v, f.dataType) for v, f in zip(r["fields"], schema, strict=True)]} for r in rows]
         parallelism = int(option(options, "parallelism") or job.env.get("parallelism", 1))
-        out[option(one, "schema.table", name)] = readers.fake(job.spark, schema, int(option(one, "row.num", 5)), parallelism, rows)
+        out[option(one, "schema.table", name)] = readers.fake(job.spark, schema, int(option(one, "row.num", 5)), parallelism, rows, options=_flat({**options, **one}))
     return out
 
 

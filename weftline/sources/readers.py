@@ -30,29 +30,73 @@ def read_files(spark: SparkSession, path: str | list[str], file_format_type: str
     return df.select(*read_columns) if read_columns else df
 
 
-def fake(spark: SparkSession, schema: T.StructType, row_num: int = 5, parallelism: int = 1, rows: list[dict] | None = None, seed: int = 0) -> DataFrame:
-    """Random rows of a schema, `row_num` for each degree of parallelism; or the given rows with their kinds."""
+#: The largest values that the generator makes by default.
+_MOST = {"tinyint": 127, "smallint": 32767, "int": 2**31 - 1, "bigint": 2**63 - 1, "float": 3.4028234663852886e38, "double": 1.7976931348623157e308}
+#: Parts of dates and times, their least and largest values, and the type they belong to.
+_PARTS = {"date": {"year": (1970, 2038), "month": (1, 12), "day": (1, 28)}, "time": {"hour": (0, 23), "minute": (0, 59), "second": (0, 59)}}
+
+
+def fake(spark: SparkSession, schema: T.StructType, row_num: int = 5, parallelism: int = 1, rows: list[dict] | None = None, seed: int = 0, options: dict | None = None) -> DataFrame:
+    """Random rows of a schema, `row_num` for each degree of parallelism; or the given rows with their kinds.
+
+    `options` by dotted name: a type's `min` and `max`, or its `template`, a
+    list to choose from; `string.length`, `bytes.length`, `array.size`,
+    `map.size`; `date.year.template` and so on for the parts of dates and
+    times; `split.num` partitions for each degree of parallelism.  Values hang
+    on the row's number and the seed, so a task that runs again gives the same.
+    """
     if rows is not None:
         given = T.StructType([*schema.fields, T.StructField("_row_kind", T.StringType())])
         return spark.createDataFrame([(*r["fields"], {"INSERT": "+I", "UPDATE_BEFORE": "-U", "UPDATE_AFTER": "+U", "DELETE": "-D"}.get(r["kind"], r["kind"])) for r in rows], given)
-    base = spark.range(0, row_num * parallelism, 1, parallelism)
+    conf = options or {}
+    base = spark.range(0, row_num * parallelism, 1, max(1, parallelism * int(conf.get("split.num", 1))))
+
+    def below(span: int, at: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(seed), F.lit(at)), F.lit(min(span, 2**63 - 1)).cast("long"))
+
+    def chosen(values: list, at: int, to: T.DataType) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast(to) for v in values]), (below(len(values), at) + 1).cast("int"))
+
+    def part(kind: str, name: str, at: int) -> Column:
+        low, high = _PARTS[kind][name]
+        values = conf.get(f"{'date' if kind == 'date' else 'time'}.{name}.template")
+        return chosen(values, at, T.IntegerType()) if values else (below(high - low + 1, at) + low).cast("int")
+
+    def text(at: int, length: int) -> Column:
+        return F.substring(F.concat(*[F.md5(F.concat_ws("-", "id", F.lit(seed), F.lit(at), F.lit(i)).cast("binary")) for i in range(-(-length // 32) or 1)]), 1, length)
 
     def value(t: T.DataType, at: int) -> Column:
-        r = F.rand(seed + at)
+        name = t.simpleString().partition("(")[0]
+        if values := conf.get(f"{name}.template"):
+            return chosen(values, at, t)
         if isinstance(t, T.StringType):
-            return F.substring(F.md5(r.cast("string").cast("binary")), 1, 5)
+            return text(at, int(conf.get("string.length", 5)))
         if isinstance(t, T.BooleanType):
-            return r < 0.5
+            return below(2, at) == 1
         if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return F.timestamp_seconds(F.lit(1_600_000_000) + (r * 1e8).cast("long")).cast(t)
+            day = F.make_date(*[part("date", n, at * 31 + i) for i, n in enumerate(_PARTS["date"])])
+            return day if isinstance(t, T.DateType) else F.make_timestamp(F.year(day), F.month(day), F.day(day), *[part("time", n, at * 31 + 5 + i) for i, n in enumerate(_PARTS["time"])]).cast(t)
         if isinstance(t, T.BinaryType):
-            return F.unhex(F.substring(F.md5(r.cast("string").cast("binary")), 1, 10))
+            return text(at, int(conf.get("bytes.length", 5))).cast("binary")
         if isinstance(t, T.ArrayType):
-            return F.array(*[value(t.elementType, at * 31 + i) for i in range(3)])
+            return F.array(*[value(t.elementType, at * 31 + i) for i in range(int(conf.get("array.size", 5)))]).cast(t)
         if isinstance(t, T.MapType):
-            return F.create_map(value(t.keyType, at * 31 + 1), value(t.valueType, at * 31 + 2))
+            # keys that meet keep the first value, so a map may be smaller than asked
+            pairs = F.array(*[F.struct(value(t.keyType, at * 31 + 2 * i), value(t.valueType, at * 31 + 2 * i + 1)) for i in range(int(conf.get("map.size", 5)))])
+            keep = F.array_distinct(F.transform(pairs, lambda p: p["col1"]))
+            return F.map_from_arrays(keep, F.transform(keep, lambda k: F.filter(pairs, lambda p: p["col1"] == k)[0]["col2"])).cast(t)
         if isinstance(t, T.StructType):
             return F.struct(*[value(f.dataType, at * 31 + i).alias(f.name) for i, f in enumerate(t)])
-        return (r * {"tinyint": 127, "smallint": 32767}.get(t.simpleString(), 1_000_000)).cast(t)
+        if isinstance(t, T.NullType):
+            return F.lit(None)
+        low, high = conf.get(f"{name}.min", 0), conf.get(f"{name}.max", _MOST.get(name))
+        if isinstance(t, T.DecimalType):
+            whole, cents = min(t.precision - t.scale, 18), min(t.scale, 18)
+            digits = F.lpad(below(10**cents, at * 31 + 1).cast("string"), cents, "0") if cents else F.lit("0")
+            return F.concat((below(10**whole, at) if whole else F.lit(0)).cast("string"), F.lit("."), digits).cast(t)
+        if isinstance(t, (T.FloatType, T.DoubleType)):
+            share = below(2**53, at) / float(2**53)
+            return (F.lit(float(low)) + share * (float(high) - float(low))).cast(t)
+        return (below(int(high) - int(low) + 1, at) + int(low)).cast(t)
 
     return base.select(*[value(f.dataType, 7 * i + 1).alias(f.name) for i, f in enumerate(schema)])
