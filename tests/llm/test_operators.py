@@ -163,6 +163,21 @@ def test_near_duplicates(spark, k, percent, group):
     assert got == near_brute(rows, k, percent)
 
 
+def test_near_duplicates_with_a_larger_third(spark):
+    """A and B (J 0.91) share passages alone; C, larger and in A's group, stands on the later ones of their firsts only."""
+    name = lambda kind, n: [f"{kind}{i}" for i in range(n)]
+    early, late, last = name("e", 30), name("l", 870), name("x", 177)
+    sets = [[*name("a", 43), *early, *late], [*name("b", 42), *early, *late], [*late, *last]]
+    for i in range(40):  # many documents share the passages, so a document's own words rank first
+        passages = [*last, *(late if i < 20 else []), *(early if i < 10 else [])]
+        sets.append([*passages, *name(f"own{i}_", 2000 - len(passages))])
+    rows = [(i, " ".join(s)) for i, s in enumerate(sets)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 1, 90, 2).collect()}
+    assert got[1] == (942, 0)
+    assert got == near_brute(rows, 1, 90)
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "src long, dst long")
     got = dict(map(tuple, components(chain).collect()))

@@ -319,10 +319,13 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     matrix = written(matrix, "token_groups")
     other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("g", "lo", "hi", "rest")])
     can = (F.col("g") < F.col("g2")) & (F.col("hi2") * 100 >= F.col("lo") * percent) & (F.col("hi") * 100 >= F.col("lo2") * percent)
-    need = ratio / (1 + ratio) * (F.col("lo") + F.col("lo2")) - _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)
-    can &= (F.col("rest") >= need) & (F.col("rest2") >= need)
-    pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.min("lo2").alias("lo2"), F.max("hi").alias("hi"), F.max("hi2").alias("hi2"))
-    pairs = pairs.filter(F.col("c") >= _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)).select("g", "g2").distinct()
+    # Of a linked pair's common tokens, in order, the j-th has the rest for it in every row with least > j.  So at least
+    # as many rows have the rest as the lowest `least` says, if that is taken over all rows: those without it, too.
+    least = _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)
+    need = ratio / (1 + ratio) * (F.col("lo") + F.col("lo2")) - least
+    enough = (F.col("rest") >= need) & (F.col("rest2") >= need)
+    pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count_if(enough).alias("c"), F.min(least).alias("least"))
+    pairs = pairs.filter("c > 0 AND c >= least").select("g", "g2").distinct()
     queries = pairs.join(own.select("doc_id", F.col("g").alias("g2")), "g2").select("g", "doc_id")
     queries = written(queries, "queries")
     chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / group).alias("parts"))
