@@ -200,6 +200,22 @@ def test_added_spans():
     assert [s[0] for s in pii.find_pii()(pa.array(["SSN 123-45-6789", "iban: DE89 3704 0044 0532 0130 00"]))[1][1]] == ["iban"]
 
 
+def test_added_pii_whole():
+    def added(text):
+        base, every = pii.find_pii()(pa.array([text]))[0]
+        return [(k, text[s:e]) for k, s, e in every if (k, s, e) not in base]
+
+    one, two = "123-45-6789", "987-65-4321"
+    assert added(f"SSN: {one}, {two}") == [("ssn", one), ("ssn", two)]
+    assert added("sSn: " + ", ".join([one] * 20)) == [("ssn", one)] * 20
+    assert added(f"é Ssn {one} SOCIAL Security {two}") == [("ssn", one), ("ssn", two)]
+    assert added("Iban: DE89 3704 0044 0532 0130 00") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert added("see (HTTPS://u:p@ex.org:80/a_(b)?q=1#x), http://[::1]/.") == [("url", "HTTPS://u:p@ex.org:80/a_(b)?q=1#x"), ("url", "http://[::1]/")]
+    assert added("Mailto:a@b.com,c@d.org?subject=x; tel:+1-201-555-0123;ext=5. tel:555-0100.") == [("url", "Mailto:a@b.com,c@d.org?subject=x"), ("url", "tel:+1-201-555-0123;ext=5"), ("url", "tel:555-0100")]
+    for text in ("a :// b", "http://", "http:///x", "hotel:12345", "mailto:a@b", "tel:no", "mailto:", "tel:12", "ssn", "ssn 123-45-67890"):
+        assert added(text) == [], text
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query("[0-9a-f]+") is None
     assert secret_scan.trigram_query("ab(cd|ef)x") == frozenset({frozenset({b"abc", b"bcd", b"cdx"}), frozenset({b"abe", b"bef", b"efx"})})

@@ -1,14 +1,18 @@
 """PII: anchor expansion.
 
 An Aho-Corasick automaton finds anchors in one pass over a text: at-signs,
-plus signs before digits, digits that touch, and cues of identifiers.  From an
+schemes (`://`, `mailto:`, `tel:`), plus signs before digits, digits that
+touch, and cues of identifiers; schemes and cues in any case.  From an
 anchor a local parser expands to the boundaries of an address, a network
 address, an account number or a phone number and validates it (part ranges,
 digit counts, check digits).  Each parser reads only the run of characters
 that its kind allows, so the work is the text's length plus the runs'.
 
 The base parsers give what the leftmost, non-overlapping matches of their
-expressions give.  Added kinds need a cue beside them: `ssn` and `iban`.
+expressions give.  Added kinds: `ssn` and `iban` need a cue before them (each
+one found carries the cue's reach on); `url` is an address of any scheme with
+a host, a mailto: with an address or a tel: with a number, without the
+punctuation that closes the sentence.
 
 Edge cases: a null text is empty; empty texts have no spans; offsets count
 code points; digits and letters are ASCII only; repeated rows are searched
@@ -31,8 +35,14 @@ _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 #: Words beside which an identifier of the added kinds must stand.
-CUES = ("ssn", "SSN", "social security", "Social Security", "iban", "IBAN")
+CUES = ("ssn", "social security", "iban")
 CUE_REACH = 40
+_LETTERS = _ALNUM - _DIGITS
+_SCHEME = _ALNUM | frozenset("+.-")
+_URL = _ALNUM | frozenset("-._~:/?#[]@!$&'()*+,;=%")
+_AUTHORITY = _URL - frozenset("/?#")
+_TEL = _DIGITS | frozenset("().-")
+_LOWER = {ord(c.upper()): c for c in "abcdefghijklmnopqrstuvwxyz"}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -46,8 +56,7 @@ def automaton() -> ahocorasick.Automaton:
             keys[d + "." + f] = "i"
             for sep in " -":
                 keys[d + sep + f] = "c"
-    for cue in CUES:
-        keys[cue] = "q"
+    keys |= {"://": "u", "mailto:": "m", "tel:": "t"} | dict.fromkeys(CUES, "q")
     for key, kind in keys.items():
         a.add_word(key, (kind, len(key)))
     a.make_automaton()
@@ -138,29 +147,88 @@ def iban(text: str, s: int) -> int | None:
     return None
 
 
-def _after_cue(text: str, at: int) -> list[Span]:
-    """An identifier that starts within reach after a cue which ends at `at`."""
-    stop = min(len(text), at + CUE_REACH)
-    for i in range(at, stop):
-        if text[i - 1] in _ALNUM or text[i] not in _ALNUM:
-            continue
-        if text[i] in _DIGITS:
-            p = text[i : i + 11]
-            if len(p) == 11 and p[3] == p[6] == "-" and (p[:3] + p[4:6] + p[7:]).isdigit() and (p[:3] + p[4:6] + p[7:]).isascii() and text[i + 11 : i + 12] not in _DIGITS:
-                return [("ssn", i, i + 11)]
-        else:
-            e = iban(text, i)
-            if e:
-                return [("iban", i, e)]
-    return []
+def url_end(text: str, at: int) -> int:
+    """The end of the run of address characters from `at`, without closing punctuation and brackets opened before it."""
+    e, n = at, len(text)
+    while e < n and text[e] in _URL:
+        e += 1
+    run = text[at:e]
+    spare = {close: run.count(close) - run.count(start) for start, close in ("()", "[]")}
+    while e > at and (text[e - 1] in ".,;:!?'" or spare.get(text[e - 1], 0) > 0):
+        e -= 1
+        if text[e] in spare:
+            spare[text[e]] -= 1
+    return e
+
+
+def url(text: str, at: int) -> tuple[int, int] | None:
+    """The address around the `://` at `at`."""
+    s = at
+    while s > 0 and text[s - 1] in _SCHEME:
+        s -= 1
+    while s < at and text[s] not in _LETTERS:
+        s += 1
+    start = e = at + 3
+    while e < len(text) and text[e] in _AUTHORITY:
+        e += 1
+        if text[e - 1] == "@":
+            start = e
+    host = text[start : start + 1]
+    ok = s < at and (host in _ALNUM or (host == "[" and "]" in text[start:e]))
+    return (s, url_end(text, at + 3)) if ok else None
+
+
+def mailto(text: str, at: int) -> int | None:
+    """The end of the addresses of a mailto: that ends at `at`."""
+    i, n = at, len(text)
+    while i < n and text[i] in _LOCAL:
+        i += 1
+    got = email(text, i, at) if i < n and text[i] == "@" else None
+    return max(got[1], url_end(text, at)) if got else None
+
+
+def tel(text: str, at: int) -> int | None:
+    """The end of the number, with its parameters, of a tel: that ends at `at`."""
+    s = e = at + (text[at : at + 1] == "+")
+    n = len(text)
+    while e < n and text[e] in _TEL:
+        e += 1
+    more = text[e : e + 1] == ";"
+    while e > s and text[e - 1] not in _DIGITS:
+        e -= 1
+    ok = 3 <= sum(c in _DIGITS for c in text[s:e]) <= 15
+    return (max(e, url_end(text, at)) if more else e) if ok else None
+
+
+def _after_cue(text: str, at: int, free: int) -> tuple[list[Span], int]:
+    """The identifiers from `free` on within reach after a cue which ends at `at`, or after one another; and how far was looked."""
+    found: list[Span] = []
+    i, stop = max(at, free), at + CUE_REACH
+    while i < min(len(text), stop):
+        e = None
+        if text[i - 1] not in _ALNUM and text[i] in _ALNUM:
+            if text[i] in _DIGITS:
+                p = text[i : i + 11]
+                if len(p) == 11 and p[3] == p[6] == "-" and (p[:3] + p[4:6] + p[7:]).isdigit() and (p[:3] + p[4:6] + p[7:]).isascii() and text[i + 11 : i + 12] not in _DIGITS:
+                    e = i + 11
+                    found.append(("ssn", i, e))
+            else:
+                e = iban(text, i)
+                if e:
+                    found.append(("iban", i, e))
+        if e:
+            stop = e + CUE_REACH
+        i = e or i + 1
+    return found, i
 
 
 def find(text: str, anchors: ahocorasick.Automaton) -> tuple[list[Span], list[Span]]:
     """Base spans by kind, then start; then all spans, the added kinds last."""
     own: dict[str, list[Span]] = {k: [] for k in KINDS}
     added: list[Span] = []
-    free_email = end_ip = end_card = end_phone = 0
-    for last, (kind, length) in anchors.iter(text):
+    free_email = end_ip = end_card = end_phone = end_url = end_cue = 0
+    low = text.lower() if text.isascii() else text.translate(_LOWER)
+    for last, (kind, length) in anchors.iter(low):
         at = last - length + 1
         if kind == "e":
             got = email(text, at, free_email)
@@ -187,8 +255,18 @@ def find(text: str, anchors: ahocorasick.Automaton) -> tuple[list[Span], list[Sp
                     end_phone = got[1]
                     if 9 <= sum(c in _DIGITS for c in text[at : got[1]]) <= 15:
                         own["phone"].append(("phone", *got))
-        else:
-            added += _after_cue(text, last + 1) if last + 1 < len(text) else []
+        elif kind == "q":
+            got, end_cue = _after_cue(text, last + 1, end_cue)
+            added += got
+        elif at >= end_url:
+            if kind == "u":
+                got = url(text, at)
+            else:
+                end = (mailto if kind == "m" else tel)(text, last + 1) if at == 0 or text[at - 1] not in _SCHEME else None
+                got = (at, end) if end else None
+            if got:
+                end_url = got[1]
+                added.append(("url", *got))
     base = [s for k in KINDS for s in own[k]]
     return base, [*base, *sorted(set(added))]
 
