@@ -270,6 +270,18 @@ def test_round_robin_keeps_shares():
     assert abs(sent["a"] / sum(sent.values()) - 0.75) < 0.3
 
 
+def test_single_sequences_are_mixed():
+    robin = packing.RoundRobin(packing.WINDOW)
+    for name in "abcd":
+        robin.source(name, 0.25, 0.0)
+        for i in range(300):
+            robin.put(name, 90 + i % 21, name)
+    stream = [name for n, name in robin.take(20_000) for _ in range(n)]
+    for at in range(0, len(stream) - packing.LENGTH, packing.LENGTH):
+        sent = Counter(stream[at : at + packing.LENGTH])
+        assert all(abs(sent[name] / packing.LENGTH - 0.25) < 0.2 for name in "abcd")
+
+
 @pytest.mark.parametrize(("op", "column"), [("op4_quality_classifier", "quality"), ("op7_toxicity", "toxic")])
 def test_held_out_accuracy(spark, op, column):
     d = "/root/testdata/sf0.1"

@@ -5,9 +5,10 @@
 2. Documents are dealt to packing partitions of about `part_tokens` tokens by a
    seeded hash of doc_id, so no source, however large, shapes a partition.
 3. Within a partition documents queue by source, in hash order.  A window of
-   `window` tokens adds to each source's deficit its target share of the
-   window; a source sends documents while its deficit covers the next one.
-   What is left carries to the next window.  Between partitions deficits carry
+   `window` tokens, one sequence, adds to each source's deficit its target
+   share of the window; a source sends whole documents while its deficit
+   covers the next one, so it is ahead or behind by about a document, never by
+   a burst.  What is left carries to the next window.  Between partitions deficits carry
    as prefix sums: by the end of a partition all its documents are sent, so
    the next one's opening deficit is known from token counts, and partitions
    run side by side.
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 from weftline.llm._text import documents, map_text, written
 
 LENGTH = 1024
-WINDOW = 64 * LENGTH
+WINDOW = LENGTH
 PART_TOKENS = 4 << 20
 LOOKAHEAD = 1 << 20
 CLOSING = 0
