@@ -185,6 +185,7 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
@@ -193,24 +194,33 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     Cuts lineage: what is computed once is not computed again when an executor
     is lost, every later step sees the same rows, and Spark knows the size of
     what it joins.  The folder is the one the cluster names in
-    spark.checkpoint.dir; a local one is made only where that is unset.  The
-    tables go when the Python process ends.
+    spark.checkpoint.dir.  Where that is unset a local one is made, but only if
+    the session runs in one process; on a cluster it is an error.  The tables go
+    with `forget`, or when the Python process ends.
     """
     spark = frame.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="weftline-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/weftline/{uuid.uuid4().hex}/{name}"
     frame.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    _tables.append((spark, path))
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):  # the session may be gone
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+def forget() -> None:
+    """Remove the intermediate tables written so far; results that were not yet written cannot be read after it."""
+    while _tables:
+        spark, path = _tables.pop()
+        with contextlib.suppress(Exception):  # the session may be gone
+            at = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+atexit.register(forget)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +234,22 @@ def bounded_sample(rows: DataFrame, key: str, size: int, seed: int = 17) -> Data
     needed and the bound holds at any input size (binomial spread around it).
     """
     n = rows.count()
-    if n <= size:
-        return rows
-    cut = int((size / n) * (1 << 62))
-    return rows.filter(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 2) < F.lit(cut))
+    return rows if n <= size else rows.filter(_hash(key, seed) < F.lit(int((size / n) * (1 << 62))))
+
+
+def _hash(key: str, seed: int):
+    """A seeded hash below 2 ** 62."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 2)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, most_bytes: int) -> DataFrame:
+    """doc_id, text and _y of about `size` labelled documents of `most_bytes` bytes of text at most, in a written table.
+
+    Rows of `labels` whose doc_id's crc32 is 0 modulo 5, and null labels, are
+    left out; of several labels of one doc_id the greatest counts.
+    """
+    usable = labels.select("doc_id", F.col(label).cast("int").alias("_y")).filter(F.col("_y").isNotNull() & (crc_mod("doc_id", 5) != 0)).groupBy("doc_id").agg(F.max("_y").alias("_y"))
+    chosen = written(bounded_sample(usable, "doc_id", size), "labelled_ids")
+    rows = written(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled_sample")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return rows if total <= most_bytes else rows.filter(_hash("doc_id", 18) < F.lit(int((most_bytes / total) * (1 << 62))))

@@ -1,30 +1,34 @@
 """Exact dedup: two-pass Bloom filtering, in DataFrame functions alone.
 
-Pass 1 hashes every text once and counts, per slot of a Bloom filter of
-`bits_per_row` bits a row, how many rows set it; a slot set twice is a slot of
-the second filter.  Pass 2 asks, for each row, whether all of its slots were
-set twice: only such rows can repeat, so only they are shuffled by their
-digest.  All others pass straight through.  Both passes run over a written
-table of digests (about 50 bytes a row), so texts are read and hashed once.
-
-The slots of the second filter are joined, not broadcast by force: Spark
-broadcasts them when their written size is under its threshold, and otherwise
-uses a sort-merge join whose hot slots AQE splits.  Groups are aggregated
-before the shuffle, so a group with a third of all rows is a few rows a task.
+Pass 1 hashes every text once.  A row's hash is one slot of a Bloom filter of
+at least `bits_per_row` bits a row; a task's filter travels sparsely, as the
+slots it sets and how often, eight bytes each before compression, and merged
+it gives a second filter: the bitmap of the slots that two rows or more set.
+Pass 2 tests each row against that bitmap.  Only rows whose slot is in it can
+repeat (of the others about one in twenty is by chance); only they are
+shuffled, and all others pass straight through.
+
+The bitmap takes two bytes a row.  It is broadcast while its written size is
+under Spark's threshold; past that, digests are merged with its buckets.
+Texts are never shuffled to find out whether they repeat: `dedup` marks them by
+a second, bounded bitmap of the hashes that do.
+
+Groups are aggregated before the shuffle, and the rows of groups with more
+than a thousandth of all rows are joined with them where they are.
 
 Edge cases: a null text counts as empty, and empty texts are equal to each
-other; of rows that agree in text and doc_id one stays; a null doc_id sorts
-after every other; an empty table gives an empty result; extra columns, of any
-name, are kept by `dedup` and never read by the filter.
+other; of rows that agree in text and doc_id one stays, in `dedup` the one
+with the least hash of all its columns; a null doc_id sorts after every other;
+an empty table gives an empty result; extra columns, of any name, are kept by
+`dedup` and never read by the filter.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm._bitmaps import bitmaps, filter_bits, join_groups, sifted, slot, tested
 from weftline.llm._text import documents, written
 
 #: The white space of the contract, as a Java and RE2 character class.
@@ -36,42 +40,30 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def _slots(rows: int, bits_per_row: int) -> int:
-    return 1 << max(10, math.ceil(math.log2(max(1, rows) * bits_per_row)))
-
-
-def possibly_repeated(digests: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
-    """Adds `_maybe`: whether the two Bloom slots of a row's `_h1` and `_h2` were both set by two rows or more.
+def possibly_repeated(digests: DataFrame, n: int, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
+    """The `n` rows of `digests` with `_maybe`: whether two rows or more set the Bloom slot of a row's `_h`.
 
-    A row whose digest repeats always has `_maybe`; about one unrepeated row in
-    a hundred has it by chance.
+    A row whose digest repeats always has `_maybe`.
     """
-    m = _slots(digests.count(), bits_per_row)
-    at = digests.withColumns({"_s1": F.col("_h1").bitwiseAND(F.lit(m - 1)), "_s2": F.col("_h2").bitwiseAND(F.lit(m - 1))})
-    hits = at.select(F.explode(F.array_distinct(F.array("_s1", "_s2"))).alias("_slot"))
-    twice = written(hits.groupBy("_slot").count().filter("count > 1").select("_slot"), "slots_set_twice")
-    for i in (1, 2):
-        at = at.join(twice.select(F.col("_slot").alias(f"_s{i}"), F.lit(True).alias(f"_t{i}")), f"_s{i}", "left")
-    return at.withColumn("_maybe", F.coalesce(F.col("_t1") & F.col("_t2"), F.lit(False))).drop("_s1", "_s2", "_t1", "_t2")
-
-
-def _hashes(text: Column) -> dict[str, Column]:
-    return {"_h1": F.xxhash64(F.lit(1), text), "_h2": F.xxhash64(F.lit(2), text)}
+    bits = filter_bits(n, bits_per_row)
+    twice = digests.groupBy(slot(F.col("_h"), bits).alias("_slot")).count().filter("count > 1")
+    return tested(digests, "_h", bits, written(bitmaps(twice), "slots_set_twice"))
 
 
 def classes(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row; see the module for edge cases."""
     sha = F.sha2(normalised(F.col("text")).cast("binary"), 256)
-    digests = written(docs.select("doc_id", sha.alias("text_sha256")).withColumns(_hashes(F.col("text_sha256"))), "digests")
-    marked = possibly_repeated(digests, bits_per_row)
+    digests = docs.select("doc_id", sha.alias("text_sha256")).withColumn("_h", F.xxhash64("text_sha256"))
+    digests = written(digests, "digests")
+    n = digests.count()
+    marked = possibly_repeated(digests, n, bits_per_row)
     single = marked.filter(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     # Rows that agree in doc_id too are counted together, so that one of them stays.
-    # Written, so that the join deals out plain rows, which AQE can split by size.
     maybe = written(marked.filter("_maybe").groupBy("text_sha256", "doc_id").agg(F.count("*").alias("_n")), "possibly_repeated")
-    groups = maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("_n").alias("group_size"))
-    rows = maybe.join(groups, "text_sha256").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    groups = written(maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("_n").alias("_size")), "groups")
+    rows = join_groups(maybe, groups, ["text_sha256"], n).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
-    return single.unionByName(rows.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256"))
+    return single.unionByName(rows.select("doc_id", "keep_id", F.col("_size").alias("group_size"), kept.alias("kept"), "text_sha256"))
 
 
 def dedup(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
@@ -81,23 +73,17 @@ def dedup(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     row for each digest and task before they are, so a hot group never meets in
     one task.
     """
-    names = docs.columns
     text = normalised(F.col("text"))
-    keyed = docs.withColumns(_hashes(text)).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "_h1", "_h2")
-    digests = written(docs.select(*[c.alias(k) for k, c in _hashes(text).items()]), "digests")
-    m = _slots(digests.count(), bits_per_row)
-    slot = {i: F.col(f"_h{i}").bitwiseAND(F.lit(m - 1)) for i in (1, 2)}
-    hits = digests.select(F.explode(F.array_distinct(F.array(slot[1], slot[2]))).alias("_slot"))
-    twice = hits.groupBy("_slot").count().filter("count > 1").select("_slot")
-    pairs = digests.select("_h1", "_h2", slot[1].alias("_s1"), slot[2].alias("_s2"))
-    pairs = pairs.join(twice.withColumnRenamed("_slot", "_s1"), "_s1", "left_semi").join(twice.withColumnRenamed("_slot", "_s2"), "_s2", "left_semi")
-    maybe = written(pairs.groupBy("_h1", "_h2").count().filter("count > 1").select("_h1", "_h2", F.lit(True).alias("_maybe")), "possibly_repeated")
-    marked = keyed.join(maybe, ["_h1", "_h2"], "left")
-    order = F.struct(F.col("_row.doc_id").isNull(), F.col("_row.doc_id"))
-    single = marked.filter(F.col("_maybe").isNull()).select("_row")
+    hashes = [F.xxhash64(F.lit(1), text).alias("_h"), F.xxhash64(F.lit(2), text).alias("_h2")]
+    digests = written(docs.select(*hashes), "digests")
+    maybe = possibly_repeated(digests, digests.count(), bits_per_row).filter("_maybe")
+    again = written(maybe.groupBy("_h", "_h2").count().filter("count > 1").select("_h"), "repeated")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), hashes[0])
+    marked = sifted(keyed, "_h", again, again.count())
+    order = F.struct(F.col("_row.doc_id").isNull(), F.col("_row.doc_id"), F.xxhash64(F.to_json("_row")))
     sha = F.sha2(normalised(F.col("_row.text")).cast("binary"), 256)
     firsts = marked.filter("_maybe").groupBy(sha.alias("_sha")).agg(F.min_by("_row", order).alias("_row")).select("_row")
-    return single.unionByName(firsts).select("_row.*")
+    return marked.filter(~F.col("_maybe")).select("_row").unionByName(firsts).select("_row.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import Hasher, bounded_sample, chunks, crc_mod, documents, map_text, mix, splitmix, words, written
+from weftline.llm._text import Hasher, labelled_sample, chunks, crc_mod, documents, map_text, mix, splitmix, words
 
 BITS = 18
 SAMPLE = 8000
+SAMPLE_BYTES = 256 << 20
 SCALE = 20.0
 THRESHOLD = 0.3
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 0.02, 0.02, 3
@@ -101,9 +102,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> tuple[float, np.ndarray]:
     """Intercept and weights; learns rows of `labels` whose doc_id is in `docs`, but the held-out ones."""
-    usable = labels.select("doc_id", F.col(label).cast("int").alias("_y")).filter(F.col("_y").isNotNull() & (crc_mod("doc_id", 5) != 0)).dropDuplicates(["doc_id"])
-    chosen = written(bounded_sample(usable, "doc_id", sample), "labelled_sample")
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = labelled_sample(docs, labels, label, sample, SAMPLE_BYTES)
 
     def fit(batches):
         seen = []

@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import CONT, WS, Hasher, bounded_sample, chunks, crc_mod, documents, map_text, mix, per_doc, words, written
+from weftline.llm._text import CONT, WS, Hasher, labelled_sample, chunks, crc_mod, documents, map_text, mix, per_doc, words
 
 SAMPLE = 20_000
+SAMPLE_BYTES = 256 << 20
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 THRESHOLD = 0.3
@@ -183,9 +184,7 @@ def grow(x: np.ndarray, y: np.ndarray, monotone: np.ndarray = MONOTONE, trees: i
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
-    usable = labels.select("doc_id", F.col("quality").cast("int").alias("_y")).filter(F.col("_y").isNotNull() & (crc_mod("doc_id", 5) != 0)).dropDuplicates(["doc_id"])
-    chosen = written(bounded_sample(usable, "doc_id", sample), "labelled_sample")
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = labelled_sample(docs, labels, "quality", sample, SAMPLE_BYTES)
 
     def measure(batches):
         for b in batches:

@@ -34,9 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import CONT, bounded_sample, chunks, crc_mod, documents, map_text, splitmix, written
+from weftline.llm._text import CONT, labelled_sample, chunks, crc_mod, documents, map_text, splitmix
 
 SAMPLE = 12_000
+SAMPLE_BYTES = 256 << 20
 TERMS = 400
 FUZZY_LENGTH = 5
 WINDOW = 40
@@ -272,9 +273,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    usable = labels.select("doc_id", F.col("toxic").cast("int").alias("_y")).filter(F.col("_y").isNotNull() & (crc_mod("doc_id", 5) != 0)).dropDuplicates(["doc_id"])
-    chosen = written(bounded_sample(usable, "doc_id", sample), "labelled_sample")
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = labelled_sample(docs, labels, "toxic", sample, SAMPLE_BYTES)
 
     def learn(batches):
         seen = []
