@@ -14,15 +14,23 @@
    quota of blocks is taken from the start of that line, at most `laps` times
    round.  A document's `taken` is what the blocks cover of it.
 
-Shards hold about `shard` words, so a source with a third of all rows is many
-shards, each a window of a few thousand small rows.  Tables of sources and
-shards are aggregates; Spark broadcasts them where their size is under its
-threshold and otherwise merges with skew splitting.
+Shards hold about `shard` words, or a part in `SHARDS` of all words if that is
+more, so a source with a third of all rows is many shards, each a window of
+small rows, and no more than `SHARDS` shards and sources are ranked at once.
+Tables of sources and shards are aggregates; Spark broadcasts them where their
+size is under its threshold and otherwise merges with skew splitting.
+
+`mix` needs no join of documents with documents: what a shard takes is a stretch
+of its line, so the shard's cut alone, one small row, tells of each document
+whether it comes and how often.  Texts are shuffled only if the table of cuts
+is too large to broadcast.
 
 Edge cases: a null text has size 0; a null source is a source of its own, the
 last; documents of size 0 take 0; a corpus without words has targets of 0;
-rows that agree in every column share one place on the line in an order that
-does not change any value; an empty table gives an empty result.
+rows that agree in doc_id and size share one place on the line, in an order
+that does not change any value; in `mix`, rows that agree in doc_id and text
+come alike; extra columns, of any name, are kept by `mix`; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +47,7 @@ SHARE = 1.5
 LAPS = 2
 BLOCK = 16
 SHARD = 1 << 18
+SHARDS = 1 << 16
 SEED = "mix-1"
 
 
@@ -85,31 +94,45 @@ def sainte_lague(parties: DataFrame, key: list[str], weight: str, seats: str, wi
     return out.select(*parties.columns, "quota")
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+def sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source and size, the words of its text, of every row."""
+    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *more)
 
 
-def _place(seed: str) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
+def _place(seed: str, doc_id: Column) -> Column:
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
 
 
-def mix_sizes(sized: DataFrame, share: float = SHARE, laps: int = LAPS, block: int = BLOCK, shard: int = SHARD, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken for every row of (doc_id, source, size)."""
-    sized = written(sized, "sizes")
+def _shard_of(place: str, shards: str) -> Column:
+    return F.pmod(F.conv(F.substring(place, 17, 12), 16, 10).cast("long"), F.col(shards))
+
+
+def _plan(sized: DataFrame, share: float, laps: int, block: int, shard: int, seed: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sized with _place, _source, _shard and its source's columns; quotas by _source; by _s and _i: _shard_size and _words to take)."""
     targets = _targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), share, laps)
     whole = W.partitionBy()
-    seats = targets.withColumn("_seats", F.round(F.sum("target").over(whole) / block).cast("long")).withColumn("_all", F.lit(0))
+    seats = targets.withColumns({"_seats": F.round(F.sum("target").over(whole) / block).cast("long"), "_span": F.greatest(F.lit(shard), F.ceil(F.sum("source_size").over(whole) / SHARDS)), "_all": F.lit(0)})
     quotas = sainte_lague(seats, ["source"], "target", "_seats", ["_all"])
-    quotas = quotas.select(F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("_blocks"), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long").alias("_shards"))
+    quotas = quotas.select(F.col("source").alias("_source"), "source_size", "target", F.col("quota").alias("_blocks"), F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("_span"))).cast("long").alias("_shards"))
     quotas = written(quotas, "quotas")
-    at = F.pmod(F.conv(F.substring("_place", 17, 12), 16, 10).cast("long"), F.col("_shards"))
-    rows = sized.withColumn("_place", _place(seed)).join(quotas, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_shard", at)
+    rows = sized.withColumn("_place", _place(seed, F.col("doc_id"))).join(quotas, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_shard", _shard_of("_place", "_shards"))
     shards = rows.groupBy("_source", "_shard").agg(F.sum("size").alias("_shard_size"), F.first("_blocks").alias("_blocks"))
     shards = sainte_lague(shards, ["_source", "_shard"], "_shard_size", "_blocks", ["_source"])
     shards = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_i"), "_shard_size", F.least(F.col("quota") * block, F.col("_shard_size") * laps).alias("_words"))
+    return rows, quotas, shards
+
+
+def _lined(rows: DataFrame, shards: DataFrame, *order: str) -> DataFrame:
+    """`rows` with their shard's columns and `_start`, the words before them on its line."""
     rows = rows.join(shards, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_i")))
-    line = W.partitionBy("_source", "_shard").orderBy("_place", F.col("doc_id"), "size").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("_start", F.coalesce(F.sum("size").over(line), F.lit(0)))
+    line = W.partitionBy("_source", "_shard").orderBy("_place", *order).rowsBetween(W.unboundedPreceding, -1)
+    return rows.withColumn("_start", F.coalesce(F.sum("size").over(line), F.lit(0)))
+
+
+def mix_sizes(sized: DataFrame, share: float = SHARE, laps: int = LAPS, block: int = BLOCK, shard: int = SHARD, seed: str = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken for every row of (doc_id, source, size)."""
+    rows, _, shards = _plan(written(sized.select("doc_id", "source", "size"), "sizes"), share, laps, block, shard, seed)
+    rows = _lined(rows, shards, "doc_id", "size")
     zero = F.lit(0).cast("long")
     laps_taken = [F.greatest(zero, F.least(F.col("size"), F.col("_words") - i * F.col("_shard_size") - F.col("_start"))) for i in range(laps)]
     taken = laps_taken[0]
@@ -118,15 +141,27 @@ def mix_sizes(sized: DataFrame, share: float = SHARE, laps: int = LAPS, block: i
     return rows.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, share: float = SHARE, laps: int = LAPS, block: int = BLOCK, shard: int = SHARD, seed: str = SEED) -> DataFrame:
     """The mixture as rows of `docs`: a document comes as often as its taken words, rounded, are whole laps of it.
 
-    Documents of size 0 and those that take under half of their words go.
+    Documents of size 0 and those that take under half of their words go.  Each
+    shard's words are so met up to half a document at its one cut.
     """
-    taken = mix_sizes(sizes(docs), **options).filter("size > 0").withColumn("_copies", F.round(F.col("taken") / F.col("size")).cast("int")).filter("_copies > 0")
-    taken = taken.groupBy(F.col("doc_id").alias("_id")).agg(F.max("_copies").alias("_copies"))
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]))
-    return out.withColumn("_lap", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[f"`{c}`"] for c in docs.columns])
+    sized = written(sizes(docs, F.xxhash64("text").alias("_text")), "sizes")
+    rows, quotas, shards = _plan(sized, share, laps, block, shard, seed)
+    rows = _lined(rows, shards, "_text").filter("size > 0")
+    # The line once round `_laps` times, and `_rest` words more: up to the last document that these cover by half.
+    most = F.floor(F.col("_words") / F.col("_shard_size"))
+    rest = F.col("_words") - most * F.col("_shard_size")
+    last = F.max(F.when(2 * F.col("_start") + F.col("size") <= 2 * rest, F.struct("_place", "_text")))
+    cuts = written(rows.groupBy("_s", "_i").agg(F.first(most).alias("_laps"), last.alias("_last")), "cuts")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    keyed = keyed.filter(F.col("_row.text").rlike(WORD)).withColumn("_place", _place(seed, F.col("_row.doc_id")))
+    keyed = keyed.join(quotas.select("_source", "_shards"), F.col("_row.source").eqNullSafe(F.col("_source"))).withColumn("_shard", _shard_of("_place", "_shards"))
+    keyed = keyed.join(cuts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_i")))
+    before = (F.col("_place") < F.col("_last._place")) | ((F.col("_place") == F.col("_last._place")) & (F.xxhash64("_row.text") <= F.col("_last._text")))
+    copies = F.col("_laps") + F.coalesce(before.cast("long"), F.lit(0))
+    return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies.cast("int")))).filter("_copy > 0").select("_row.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,11 +186,12 @@ f AS (
 l AS (SELECT *, (1.5::DOUBLE * total - filled) / open AS level FROM f),
 m AS (SELECT *, max(CASE WHEN level * w <= cap THEN level END) OVER () AS cut FROM l),
 t AS (SELECT source, source_size, least(cap, coalesce(cut * w, cap)) AS target FROM m),
-b AS (SELECT *, CAST(round(sum(target) OVER () / 16) AS BIGINT) AS seats FROM t),
+b AS (SELECT *, CAST(round(sum(target) OVER () / 16) AS BIGINT) AS seats,
+             greatest(262144.0::DOUBLE, ceil(sum(source_size) OVER () / 65536.0::DOUBLE)) AS span FROM t),
 q1 AS (SELECT source, target, seats, unnest(range(0, CAST(ceil(target / 16) AS BIGINT) + 8)) AS k FROM b),
 r1 AS (SELECT source, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, source NULLS LAST, k) AS r, seats FROM q1),
 n1 AS (SELECT source, count(*) AS blocks FROM r1 WHERE r <= seats GROUP BY source),
-src AS (SELECT b.source, source_size, target, coalesce(blocks, 0) AS blocks, greatest(1, CAST(ceil(source_size / 262144.0::DOUBLE) AS BIGINT)) AS shards
+src AS (SELECT b.source, source_size, target, coalesce(blocks, 0) AS blocks, greatest(1, CAST(ceil(source_size / span) AS BIGINT)) AS shards
         FROM b LEFT JOIN n1 ON b.source IS NOT DISTINCT FROM n1.source),
 e AS (SELECT d.*, source_size, target, blocks, CAST(('0x' || substr(place, 17, 12)) AS BIGINT) % shards AS shard
       FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source),
