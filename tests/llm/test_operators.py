@@ -82,6 +82,67 @@ def test_pipeline_stages_on_edges(spark, docs, none, labels, tmp_path):
             at = spark.read.parquet(str(tmp_path / name))
 
 
+HELPERS = ["_row", "_h", "_h1", "_h2", "_maybe", "_slot", "_bucket", "_bits", "_sha", "_size", "_copies", "_copy", "_lap", "_laps", "_last", "_place", "_source", "_shard", "_shards", "_s", "_i", "_start", "_words", "_text", "_id", "_drop", "_y", "_n", "key", "name", "n", "g", "size", "taken", "target", "score", "kept", "count", "part"]
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    rows = [(i, f"text number {i % 7} " + "with many more words " * 20 + str(i % 14), "s", *[f"{i}:{h}" for h in HELPERS]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{h}` string" for h in HELPERS))
+    spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    whole = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and {tuple(r) for r in got} <= whole, name
+        if name == "exact_dedup":
+            assert {r.doc_id for r in got} == set(range(14))
+
+
+def test_dedup_values(spark):
+    rows = [(3, "a  b", "x", 1), (2, "a b", "y", 1), (2, "a\nb", "z", 2), (None, "a b", "w", 1), (5, None, "n", 1), (4, "", "e", 1), (6, " ", "e", 1), (7, "é", "u", 1), (7, "É", "u", 1)]
+    for part in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _h1 int").repartition(part)
+        got = {tuple(r) for r in exact_dedup.dedup(docs).collect()}
+        first = [x for x in got if x[0] == 2]
+        assert len(first) == 1 and first[0] in rows[1:3]
+        if part == 1:
+            was = first
+        assert first == was and got - set(first) == {rows[5], rows[6], rows[7], rows[8]}
+    kept = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.classes(docs).collect()}
+    assert kept == {(3, 2, 4, False), (2, 2, 4, True), (2, 2, 4, False), (None, 2, 4, False), (5, 4, 2, False), (4, 4, 2, True), (6, 6, 1, True), (7, 7, 1, True)}
+
+
+@pytest.mark.parametrize("bits", [1, 16, 4096])
+def test_bitmaps_lose_no_repeat(spark, bits):
+    docs = spark.range(3000).select("id", F.concat(F.lit("t"), F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(F.col("id"))).alias("text"))
+    digests = docs.select("text", F.xxhash64("text").alias("_h"))
+    marked = exact_dedup.possibly_repeated(digests, 3000, bits).groupBy("text").agg(F.count("*").alias("n"), F.min("_maybe").alias("m")).collect()
+    assert len(marked) == 2710 and all(r.m for r in marked if r.n > 1)
+    assert bits < 16 or sum(r.m for r in marked if r.n == 1) < 0.15 * len(marked)
+
+
+def test_mix_takes_what_the_quota_says(spark):
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet").dropDuplicates(["doc_id"])
+    sized = mixing.sizes(docs)
+    want = {r.doc_id: r.c for r in mixing.mix_sizes(sized).filter("size > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("c")).filter("c > 0").collect()}
+    out = mixing.mix(docs)
+    assert {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()} == want
+    goal = {r.source: (r.target, r.largest, r.shards) for r in mixing.mix_sizes(sized).groupBy("source").agg(F.first("target").alias("target"), F.max("size").alias("largest"), F.lit(1).alias("shards")).collect()}
+    for r in mixing.sizes(out).groupBy("source").agg(F.sum("size").alias("n")).collect():
+        assert abs(r.n - goal[r.source][0]) <= goal[r.source][1] / 2 + 64, r.source
+
+
+def test_mix_of_rows_that_share_a_doc_id(spark):
+    rows = [(1, "a " * 100, "s"), (1, "b " * 300, "s"), (1, "", "s"), (None, "c " * 50, None), (2, None, "t"), (3, "d " * 10, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter(tuple(r) for r in mixing.mix(docs, block=1).collect())
+    words = sum(len((r[1] or "").split()) * c for r, c in got.items())
+    assert set(got) <= set(rows) and all(c <= 2 for c in got.values()) and not [r for r in got if not (r[1] or "").strip()]
+    assert abs(words - 1.5 * 460) <= 200
+
+
 def test_shingles_fall_short():
     texts = ["a b", "a b c", "a b c d", "", " x "]
     got = [Counter(d.tolist()) for _, _, b, o in chunks(pa.array(texts)) for d, _ in [shingles(b, o, 3)]]
@@ -237,49 +298,82 @@ def test_levenshtein_automaton():
         assert look(word) == (-1, -1, -1), word
 
 
-def test_packing_round_trip(spark, docs):
+PACKED = ["", None, "a b", "x" * 5000, "a <|endoftext|> b", "<|endoftext|>", "été <|endoftext|> \U0001f600", "<|endoftext", "word " * 4000, "  \n "]
+
+
+@pytest.mark.parametrize("tasks", [packing.MAX_TASKS, 2])
+def test_packing_round_trip(spark, monkeypatch, tasks):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "MAX_TASKS", tasks)
     slow = Tokenizer.from_file(packing.default_tokenizer())
-    slow.encode_special_tokens = True
-    texts = [(i, t) for i, t in enumerate(["", None, "a b", "x" * 5000, "été <|endoftext|> \U0001f600", "word " * 4000, "  \n "])]
+    assert slow.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = list(enumerate(PACKED))
     df = spark.createDataFrame([(i, t, f"s{i % 2}") for i, t in texts], "doc_id long, text string, source string")
     rows = packing.pack(df, length=64, window=256, part_tokens=2000).collect()
     for i, t in texts:
         ids = np.array([*slow.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        assert [r.start for r in own] == [sum(r.length for r in own[:j]) for j in range(len(own))]
         assert sum(r.length for r in own) == len(ids)
         for r in own:
             assert r.doc_tokens == len(ids) and zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32
-    for s in {r.sequence_id for r in rows}:
-        own = sorted((r.offset, r.length) for r in rows if r.sequence_id == s)
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in map(sorted, pieces.values()):
         total = sum(n for _, n in own)
         assert [o for o, _ in own] == [sum(n for _, n in own[:j]) for j in range(len(own))]
         assert total == 64 or total & (total - 1) == 0
 
 
-def test_round_robin_keeps_shares():
-    robin = packing.RoundRobin(1000)
-    for name, share in (("a", 0.75), ("b", 0.25)):
+def test_texts_of_fixtures_have_the_ids_of_the_tokenizers_library(spark):
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(packing.default_tokenizer())
+    texts = [r.text or "" for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    encode, _ = packing._encoder(packing.default_tokenizer())
+    assert [encode(t).tolist() for t in texts] == [slow.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def windows(robin, window):
+    stream = [name for name, start, end in robin.take(robin.waiting - 40 * window) for _ in range(end - start)]
+    return [Counter(stream[at : at + window]) for at in range(0, len(stream) - window, window)]
+
+
+@pytest.mark.parametrize("shares", [{"a": 0.75, "b": 0.25}, {"a": 0.9, "b": 0.07, None: 0.03}])
+def test_every_window_holds_the_targets(shares):
+    window = 8 * 1024
+    robin = packing.RoundRobin(window)
+    for name, share in shares.items():
         robin.source(name, share, 0.0)
-        for i in range(400):
-            robin.put(name, 10 + i % 7, name)
-    sent = Counter()
-    for n, name in robin.take(3000):
-        sent[name] += n
-    assert abs(sent["a"] / sum(sent.values()) - 0.75) < 0.3
-
-
-def test_single_sequences_are_mixed():
-    robin = packing.RoundRobin(packing.WINDOW)
-    for name in "abcd":
-        robin.source(name, 0.25, 0.0)
-        for i in range(300):
-            robin.put(name, 90 + i % 21, name)
-    stream = [name for n, name in robin.take(20_000) for _ in range(n)]
-    for at in range(0, len(stream) - packing.LENGTH, packing.LENGTH):
-        sent = Counter(stream[at : at + packing.LENGTH])
-        assert all(abs(sent[name] / packing.LENGTH - 0.25) < 0.2 for name in "abcd")
+        for i in range(3000):
+            robin.put(name, 10 + i % 700 if name == "a" else 2000 + i, name)
+    found = windows(robin, window)
+    assert len(found) > 20
+    for sent in found:
+        assert all(abs(sent[name] - share * window) <= 2 for name, share in shares.items())
+
+
+def test_deficits_open_a_partition():
+    robin = packing.RoundRobin(1024)
+    robin.source("a", 0.5, -512.0)
+    robin.source("b", 0.5, 512.0)
+    for name in "ab":
+        for _ in range(1000):
+            robin.put(name, 100, name)
+    first, second = windows(robin, 1024)[:2]
+    assert (first["b"], second["a"]) == (1024, 512)
+
+
+def test_packing_targets(spark):
+    rows = [(i, "word " * (50 + i % 90), "ab"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.pack(docs, length=64, window=512, part_tokens=10_000, targets={"a": 3, "b": 1}).join(docs, "doc_id")
+    assert out.agg(F.sum("length")).first()[0] == packing.pack(docs).agg(F.sum("length")).first()[0]
+    early = out.filter("sequence_id < 48").groupBy("source").agg(F.sum("length").alias("n")).collect()
+    n = {r.source: r.n for r in early}
+    assert abs(n["a"] / (n["a"] + n["b"]) - 0.75) < 0.05
 
 
 @pytest.mark.parametrize(("op", "column"), [("op4_quality_classifier", "quality"), ("op7_toxicity", "toxic")])
