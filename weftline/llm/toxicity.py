@@ -3,13 +3,15 @@
 The lexicon is learned from a bounded sample of labelled documents (`sample`,
 by a seeded hash of doc_id; never rows whose crc32(doc_id) is 0 modulo 5):
 words, and stems that many words start with, which are far commoner in toxic
-documents.  Two thirds of the sample choose and weigh terms, the rest fits a
+documents, as many as pass that test.  Two thirds of the sample choose and weigh terms, the rest fits a
 small logistic regression over a document's hits, so that chance terms do not
 flatter themselves.
 
 The terms' trie is intersected with the automaton of edit distance 1 and
 determinised once on the driver; exact words, misspelled words and stems are
-then read off one table of transitions.  On the executors all words of a
+then read off one table of transitions.  A word one edit from a term counts as
+its misspelling at `MISSPELT` of its weight, unless clean documents of the
+sample use that word, or use more than `DENSE` words so near to the term.  On the executors all words of a
 chunk step through the table together, one character at a time, and words
 leave as soon as their state is dead, which is after two or three characters
 for most.
@@ -38,32 +40,52 @@ from weftline.llm._text import CONT, labelled_sample, chunks, crc_mod, documents
 
 SAMPLE = 12_000
 SAMPLE_BYTES = 256 << 20
-TERMS = 400
-FUZZY_LENGTH = 5
+FUZZY_LENGTH = 4
+#: A term with more neighbours than this in clean documents stands among words of its like, so its neighbours tell nothing.
+DENSE = 3
+#: A misspelled word's weight, as a part of the term's.
+MISSPELT = 0.8
 WINDOW = 40
 QUOTED = 0.3
 THRESHOLD = 0.5
 STEM = range(4, 9)
-
-_LOWER = np.arange(1 << 16, dtype=np.uint32)
-_ALNUM = np.zeros(1 << 16, bool)
-for _i in range(1 << 16):
+FEATURES = 3
+#: Kinds of term: one that may be misspelled, a stem, one that is matched exactly only.
+WORD, STEMS, EXACT = 0, 1, 2
+
+_POINTS = 0x110000
+_LOWER = np.arange(_POINTS, dtype=np.uint32)
+_ALNUM = np.zeros(_POINTS, bool)
+for _i in (*range(0xD800), *range(0xE000, 0x32400)):  # beyond, no code point is a letter or a digit
     _c = chr(_i)
     _ALNUM[_i] = _c.isalnum()
-    if len(_c.lower()) == 1 and not 0xD800 <= _i < 0xE000:
+    if len(_c.lower()) == 1:
         _LOWER[_i] = ord(_c.lower())
-_SPACE = np.zeros(1 << 16, bool)
+_SPACE = np.zeros(_POINTS, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_QUOTE = np.zeros(1 << 16, bool)
+_QUOTE = np.zeros(_POINTS, bool)
 _QUOTE[[ord(c) for c in "\"“”„«»‘’"]] = True
 
 
 def characters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points (those over 16 bits as one stand-in) and the documents' offsets among them."""
+    """Lower-cased code points and the documents' offsets among them."""
     points = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     place = np.zeros(len(buf) + 1, np.int64)
     np.cumsum(~CONT[buf], out=place[1:])
-    return _LOWER[np.minimum(points, 0xFFFF)], place[off]
+    return _LOWER[points], place[off]
+
+
+def word_sets(texts: list[str]) -> list[set[str]]:
+    """The distinct words of each text, by the tokens that scoring sees."""
+    out: list[set[str]] = []
+    for lo, hi, buf, off in chunks(pa.array(texts, pa.string())):
+        points, place = characters(buf, off)
+        whole = points.astype("<u4").tobytes().decode("utf-32-le")
+        sets = [set() for _ in range(lo, hi)]
+        for s, e, d in zip(*(x.tolist() for x in tokens(points, place)), strict=True):
+            sets[d].add(whole[s:e])
+        out += sets
+    return out
 
 
 def tokens(points: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,24 +118,27 @@ class Automaton:
     stem: np.ndarray
 
     @classmethod
-    def build(cls, terms: list[tuple[str, bool]]) -> Automaton:
-        """terms: (text, whether it is a stem)."""
-        letters = sorted({min(ord(c), 0xFFFF) for t, _ in terms for c in t})
-        classes = np.zeros(1 << 16, np.int32)
+    def build(cls, terms: list[tuple[str, int]]) -> Automaton:
+        """terms: (text, kind)."""
+        letters = sorted({ord(c) for t, _ in terms for c in t})
+        classes = np.zeros(letters[-1] + 2, np.int32)  # the last one stands for all code points beyond
         classes[letters] = np.arange(1, len(letters) + 1)
         children: list[dict[int, int]] = [{}]
         word: dict[int, int] = {}
         stem: dict[int, int] = {}
+        bent: set[int] = set()  # nodes of words that may be misspelled
         below: dict[int, bool] = {}  # nodes on the way to a word that may be misspelled
-        for k, (text, is_stem) in enumerate(terms):
+        for k, (text, kind) in enumerate(terms):
             node = 0
             for c in text:
-                node = children[node].setdefault(int(classes[min(ord(c), 0xFFFF)]), len(children))
+                node = children[node].setdefault(int(classes[ord(c)]), len(children))
                 if node == len(children):
                     children.append({})
-                if not is_stem and len(text) >= FUZZY_LENGTH:
+                if kind == WORD and len(text) >= FUZZY_LENGTH:
                     below[node] = True
-            (stem if is_stem else word)[node] = k
+            (stem if kind == STEMS else word)[node] = k
+            if kind == WORD and len(text) >= FUZZY_LENGTH:
+                bent.add(node)
         below[0] = True
 
         def closed(states: set[tuple[int, int]]) -> frozenset[tuple[int, int]]:
@@ -151,7 +176,7 @@ class Automaton:
                 row.append(index[key])
             rows.append(row)
             exact.append(next((word[n] for n, d in sorted(nodes) if d == 0 and n in word), -1))
-            fuzzy.append(next((word[n] for n, d in sorted(nodes) if d == 1 and n in word and below.get(n)), -1))
+            fuzzy.append(next((word[n] for n, d in sorted(nodes) if d == 1 and n in bent), -1))
             stems.append(passed)
         return cls(classes, np.array(rows, np.int32), np.array(exact), np.array(fuzzy), np.array(stems))
 
@@ -160,8 +185,9 @@ class Automaton:
         final = np.zeros(len(s), np.int32)
         live = np.arange(len(s))
         at, state = s.copy(), np.ones(len(s), np.int32)
+        kinds = self.classes[np.minimum(points, len(self.classes) - 1)]
         while len(live):
-            state = self.step[state, self.classes[points[at]]]
+            state = self.step[state, kinds[at]]
             at = at + 1
             ended = at >= e[live]
             final[live[ended]] = state[ended]
@@ -172,7 +198,7 @@ class Automaton:
 
 @dataclass
 class Model:
-    terms: list[tuple[str, bool]]
+    terms: list[tuple[str, int]]
     weight: np.ndarray
     bias: float
     coef: np.ndarray
@@ -180,51 +206,50 @@ class Model:
 
     def features(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         n = len(off) - 1
-        x = np.zeros((n, 4))
+        x = np.zeros((n, FEATURES))
         if not self.terms or not len(buf):
             return x
         if self.automaton is None:
             self.automaton = Automaton.build(self.terms)
-        a = self.automaton
         points, place = characters(buf, off)
         s, e, doc = tokens(points, place)
-        final = a.run(points, s, e)
-        hit = np.flatnonzero(final)
-        state = final[hit]
-        exact, fuzzy, stem = a.exact[state], a.fuzzy[state], a.stem[state]
-        term = np.where(exact >= 0, exact, np.where(stem >= 0, stem, fuzzy))
-        found = term >= 0
-        hit, term, sure = hit[found], term[found], ((exact >= 0) | (stem >= 0))[found]
+        term, sure = self.hits(points, s, e)
+        hit = np.flatnonzero(term >= 0)
+        hit = hit[self.weight[term[hit]] > 0]
+        term, sure, d = term[hit], sure[hit], doc[hit]
         marks = np.zeros(len(points) + 1, np.int64)
         np.cumsum(_QUOTE[points], out=marks[1:])
-        lo = np.maximum(place[doc[hit]], s[hit] - WINDOW)
-        hi = np.minimum(place[doc[hit] + 1], e[hit] + WINDOW)
+        lo = np.maximum(place[d], s[hit] - WINDOW)
+        hi = np.minimum(place[d + 1], e[hit] + WINDOW)
         quoted = (marks[s[hit]] > marks[lo]) & (marks[hi] > marks[e[hit]])
-        w = self.weight[term] * np.where(quoted, QUOTED, 1.0)
-        d = doc[hit]
-        strong = sure & (self.weight[term] >= 3)
+        w = self.weight[term] * np.where(quoted, QUOTED, 1.0) * np.where(sure, 1.0, MISSPELT)
+        strong = self.weight[term] >= 3
         x[:, 0] = np.log1p(np.bincount(d[strong], weights=w[strong], minlength=n))
-        weak = sure & ~strong
-        x[:, 1] = np.log1p(np.bincount(d[weak], weights=w[weak], minlength=n))
-        x[:, 2] = np.log1p(np.bincount(d[~sure], weights=w[~sure], minlength=n))
-        x[:, 3] = x[:, 0] / np.log1p(np.maximum(1, np.bincount(doc, minlength=n)))
+        x[:, 1] = np.log1p(np.bincount(d[~strong], weights=w[~strong], minlength=n))
+        x[:, 2] = x[:, 0] / np.log1p(np.maximum(1, np.bincount(doc, minlength=n)))
         return x
 
+    def hits(self, points: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The term of each word (-1: none), and whether it is the term itself or its stem."""
+        a = self.automaton
+        state = a.run(points, s, e)
+        exact, fuzzy, stem = a.exact[state], a.fuzzy[state], a.stem[state]
+        return np.where(exact >= 0, exact, np.where(stem >= 0, stem, fuzzy)), (exact >= 0) | (stem >= 0)
+
     def score(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.bias + self.features(buf, off) @ self.coef, -35, 35)))
 
 
-def choose_terms(texts: list[str], toxic: list[int], most: int = TERMS) -> tuple[list[tuple[str, bool]], np.ndarray]:
+def choose_terms(texts: list[str], toxic: list[int]) -> tuple[list[tuple[str, int]], np.ndarray]:
     """Words and stems that are commoner in toxic documents beyond chance, with their log odds."""
     bad, good = Counter(), Counter()
     heads: dict[str, Counter] = defaultdict(Counter)
-    for text, y in zip(texts, toxic, strict=True):
+    for words, y in zip(word_sets(texts), toxic, strict=True):
         own = set()
-        for word in set((text or "").lower().split()):
-            word = word.strip("".join(c for c in set(word) if not c.isalnum()))
+        for word in words:
             if len(word) >= 3:
-                own.add((word, False))
-                own.update((word[:k], True) for k in STEM if len(word) >= k)
+                own.add((word, WORD))
+                own.update((word[:k], STEMS) for k in STEM if len(word) >= k)
                 if y:
                     for k in STEM:
                         if len(word) >= k:
@@ -245,28 +270,58 @@ def choose_terms(texts: list[str], toxic: list[int], most: int = TERMS) -> tuple
         text = x[0][0]
         if max(heads[text].values()) <= 0.5 * x[1] and not any(text[:k] in stems for k in STEM if k < len(text)):
             stems[text] = x
-    kept = sorted([*words, *stems.values()], key=lambda x: (-x[1] * x[2], x[0]))[:most]
+    kept = sorted([*words, *stems.values()], key=lambda x: (-x[1] * x[2], x[0]))
     return [x[0] for x in kept], np.array([x[2] for x in kept])
 
 
+def known_neighbours(model: Model, texts: list[str]) -> dict[int, set[str]]:
+    """By term, the words of `texts` that are one edit from it: words of their own, not misspellings."""
+    found: dict[int, set[str]] = defaultdict(set)
+    for _, _, buf, off in chunks(pa.array(texts, pa.string())):
+        points, place = characters(buf, off)
+        s, e, _ = tokens(points, place)
+        term, sure = model.hits(points, s, e)
+        whole = points.astype("<u4").tobytes().decode("utf-32-le")
+        for i in np.flatnonzero((term >= 0) & ~sure).tolist():
+            found[int(term[i])].add(whole[s[i] : e[i]])
+    return found
+
+
+def lexicon(texts: list[str], toxic: list[int], bias: float) -> Model:
+    """A model whose terms may be misspelled where that tells: words that clean documents use are no misspellings."""
+    terms, weight = choose_terms(texts, toxic)
+    model = Model(terms, weight, bias, np.zeros(FEATURES))
+    clean = [t for t, y in zip(texts, toxic, strict=True) if not y]
+    while terms:  # a word may be a neighbour of two terms, so once more after each change
+        model.automaton = Automaton.build(model.terms)
+        near = known_neighbours(model, clean)
+        if not near:
+            break
+        kinds = [EXACT if len(near.get(i, ())) > DENSE else kind for i, (_, kind) in enumerate(model.terms)]
+        own = sorted({w for i, some in near.items() if len(some) <= DENSE for w in some})
+        model.terms = [*((t, k) for (t, _), k in zip(model.terms, kinds, strict=True)), *((w, EXACT) for w in own)]
+        model.weight = np.concatenate([model.weight, np.zeros(len(own))])
+    return model
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model:
     """The lexicon from two thirds of the rows, the regression from every third."""
     share = (sum(toxic) + 0.5) / (len(toxic) + 1.0)
     bias = float(np.log(share / (1 - share)))
     third = [i % 3 == 0 for i in range(len(texts))]
-    terms, weight = choose_terms([t for t, x in zip(texts, third, strict=True) if not x], [t for t, x in zip(toxic, third, strict=True) if not x])
-    model = Model(terms, weight, bias, np.zeros(4))
+    model = lexicon([t for t, x in zip(texts, third, strict=True) if not x], [t for t, x in zip(toxic, third, strict=True) if not x], bias)
+    terms = model.terms
     rest = pa.array([t for t, x in zip(texts, third, strict=True) if x], pa.string())
     y = np.array([t for t, x in zip(toxic, third, strict=True) if x], float)
     if terms and 0 < y.sum() < len(y):
         x = np.concatenate([model.features(b, o) for _, _, b, o in chunks(rest)])
         x1 = np.hstack([np.ones((len(x), 1)), x])
-        w = np.zeros(5)
+        w = np.zeros(FEATURES + 1)
         for _ in range(30):  # Newton's steps with a small ridge
             p = 1 / (1 + np.exp(-np.clip(x1 @ w, -35, 35)))
-            ridge = np.diag([1e-3, 0.05, 0.05, 0.05, 0.05])
+            ridge = np.diag([1e-3, *[0.05] * FEATURES])
             g = x1.T @ (p - y) + ridge @ w
-            step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + ridge + 1e-6 * np.eye(5), g)
+            step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + ridge + 1e-6 * np.eye(FEATURES + 1), g)
             w -= np.clip(step, -2, 2)
         model.bias, model.coef = float(w[0]), w[1:]
     return model
@@ -289,9 +344,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     got = map_text(rows.repartition(1), learn, "term string, kind long, w double", "doc_id", "text", "_y").toArrow().to_pylist()
     numbers = [r["w"] for r in sorted(got, key=lambda r: r["kind"]) if r["kind"] >= 10]
     if not numbers:
-        return Model([], np.zeros(0), 0.0, np.zeros(4))
+        return Model([], np.zeros(0), 0.0, np.zeros(FEATURES))
     terms = [r for r in got if r["kind"] < 10]
-    model = Model([(r["term"], bool(r["kind"])) for r in terms], np.array([r["w"] for r in terms]), numbers[0], np.array(numbers[1:]))
+    model = Model([(r["term"], r["kind"]) for r in terms], np.array([r["w"] for r in terms]), numbers[0], np.array(numbers[1:]))
     model.automaton = Automaton.build(model.terms) if model.terms else None
     return model
 
