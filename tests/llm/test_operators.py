@@ -282,20 +282,70 @@ def test_trigram_queries():
     assert secret_scan.trigram_query("ab(cd|ef)x") == frozenset({frozenset({b"abc", b"bcd", b"cdx"}), frozenset({b"abe", b"bef", b"efx"})})
 
 
-def test_levenshtein_automaton():
-    terms = [("idiot", False), ("scum", False), ("lowei", True)]
-    a = toxicity.Automaton.build(terms)
-
-    def look(word):
-        points = np.array([ord(c) for c in word], np.uint32)
-        s = int(a.run(points, np.array([0]), np.array([len(word)]))[0])
-        return (int(a.exact[s]), int(a.fuzzy[s]), int(a.stem[s])) if s else (-1, -1, -1)
-
-    assert look("idiot")[0] == 0 and look("scum")[0] == 1 and look("loweix")[2] == 2
-    for word in ("idot", "idiott", "idi0t", "xidiot", "idio"):
-        assert look(word)[:2] == (-1, 0), word
-    for word in ("idt", "scun", "idiotic", "lowe"):
-        assert look(word) == (-1, -1, -1), word
+TERMS = [("idiot", toxicity.WORD), ("scum", toxicity.WORD), ("lowei", toxicity.STEMS), ("boo", toxicity.WORD), ("idioms", toxicity.EXACT), ("\U0001d51e\U0001d51f\U0001d520\U0001d521", toxicity.WORD)]
+
+
+def look(automaton, word):
+    points = np.array([ord(c) for c in word], np.uint32)
+    s = int(automaton.run(points, np.array([0]), np.array([len(word)]))[0])
+    return (int(automaton.exact[s]), int(automaton.fuzzy[s]), int(automaton.stem[s])) if s else (-1, -1, -1)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_levenshtein_automaton_against_plain_edit_distance():
+    rng = random.Random(8)
+    automaton = toxicity.Automaton.build(TERMS)
+    words = [t for t, _ in TERMS] + ["loweix", "idiotic", "\U0001f600\U0001f601\U0001f602", "scun", "bo", "oidiot"]
+    for _ in range(6000):
+        w = list(rng.choice(TERMS)[0])
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w) + 1)
+            w[at : at + rng.randrange(2)] = rng.choice(["", "x", "o", "i", "\U0001d51f", "\U0001f600"])
+            w = w or ["z"]
+        words.append("".join(w))
+    for word in words:
+        exact, fuzzy, stem = look(automaton, word)
+        same = [i for i, (t, k) in enumerate(TERMS) if k != toxicity.STEMS and t == word]
+        near = [i for i, (t, k) in enumerate(TERMS) if k == toxicity.WORD and len(t) >= toxicity.FUZZY_LENGTH and edits(t, word) == 1]
+        heads = [i for i, (t, k) in enumerate(TERMS) if k == toxicity.STEMS and word.startswith(t)]
+        assert exact == (same[0] if same else -1), word
+        assert stem == (heads[0] if heads else -1), word
+        if not same:
+            assert (fuzzy in near) if near else fuzzy == -1, word
+
+
+def test_misspelled_terms_and_quotations():
+    rng = random.Random(3)
+    prose = ["".join(rng.choice(["ta", "ri", "mo", "sen", "ku"]) for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+    texts, toxic = [], []
+    for i in range(900):
+        w = [rng.choice(prose) for _ in range(60)]
+        if i % 4 == 0:
+            w[rng.randrange(60)] = rng.choice(["idiot", "scum!", "moron"])
+        elif i % 5 == 0:
+            w[rng.randrange(60)] = "oron"
+        texts.append(" ".join(w).replace(" ta ", "\u00a0"))
+        toxic.append(int(i % 4 == 0))
+    model = toxicity.fit(texts, toxic)
+    assert {t for t, w in zip(model.terms, model.weight, strict=True) if w > 0} == {(t, toxicity.WORD) for t in ("idiot", "scum", "moron")}
+    tail = " ".join(prose[:20])
+    asked = ["an idiot", "an idi0t", "such scun", "an oron", "they said “you idiot” to me", "nothing"]
+    got = {t: float(model.score(b, o)[0]) for t in asked for _, _, b, o in chunks(pa.array([f"{t} {tail}"]))}
+    assert got["an idiot"] > got["an idi0t"] > 0.5 and got["such scun"] > 0.5
+    assert got["an oron"] == got["nothing"] < 0.1 and got["they said “you idiot” to me"] < got["an idi0t"]
+
+
+def test_words_of_training_are_those_of_scoring():
+    texts = ["Idiot\u00a0x y", "\u2003 A-B (c) \U0001f600\U0001d51e\n\x1cÉ!", "", " "]
+    assert toxicity.word_sets(texts) == [{"idiot\u00a0x", "y"}, {"a-b", "c", "\U0001d51e", "é"}, set(), set()]
 
 
 PACKED = ["", None, "a b", "x" * 5000, "a <|endoftext|> b", "<|endoftext|>", "été <|endoftext|> \U0001f600", "<|endoftext", "word " * 4000, "  \n "]
