@@ -234,10 +234,10 @@ def bounded_sample(rows: DataFrame, key: str, size: int, seed: int = 17) -> Data
     needed and the bound holds at any input size (binomial spread around it).
     """
     n = rows.count()
-    return rows if n <= size else rows.filter(_hash(key, seed) < F.lit(int((size / n) * (1 << 62))))
+    return rows if n <= size else rows.filter(seeded_hash(key, seed) < F.lit(int((size / n) * (1 << 62))))
 
 
-def _hash(key: str, seed: int):
+def seeded_hash(key: str, seed: int):
     """A seeded hash below 2 ** 62."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 2)
 
@@ -252,4 +252,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, m
     chosen = written(bounded_sample(usable, "doc_id", size), "labelled_ids")
     rows = written(docs.select("doc_id", "text").join(chosen, "doc_id"), "labelled_sample")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return rows if total <= most_bytes else rows.filter(_hash("doc_id", 18) < F.lit(int((most_bytes / total) * (1 << 62))))
+    return rows if total <= most_bytes else rows.filter(seeded_hash("doc_id", 18) < F.lit(int((most_bytes / total) * (1 << 62))))

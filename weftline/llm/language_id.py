@@ -8,9 +8,10 @@ positive rate, and the largest corrected share decides.
 
 N-grams are runs of N bytes of the lower-cased text, in which all that is not
 a letter is one space.  A language's n-grams are those found in at least
-`LEAST` of its sampled documents, and not far more often elsewhere; the sample is bounded (`sample` documents,
-chosen by a seeded hash of doc_id) and never holds a row whose crc32(doc_id)
-is 2 modulo 4.  Up to 64 languages share a filter; more use further filters.
+`LEAST` of its sampled documents, and not far more often elsewhere.  The sample
+is bounded (`sample` documents of each language, chosen by a seeded hash of
+doc_id) and never holds a row whose crc32(doc_id) is 2 modulo 4, so a rare
+language is learned from as many documents as it has.  Up to 64 languages share a filter; more use further filters.
 
 Edge cases: a null text, or one without a letter (of any script), is `und`
 with score 0; letters that no filter knows, and ties, give the first language
@@ -31,9 +32,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import LOWER, bounded_sample, chunks, crc_mod, documents, map_text, mix, written
+from weftline.llm._text import LOWER, chunks, crc_mod, documents, map_text, mix, seeded_hash, written
 
-SAMPLE = 4000
+#: Documents of each language.
+SAMPLE = 2000
 N = 4
 LEAST = 0.01
 #: An n-gram belongs to a language only if it is this often there as in its commonest language.
@@ -118,9 +120,12 @@ def build(languages: list[str], owned: dict[str, np.ndarray]) -> Filters:
     return Filters(languages, planes, rate)
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
+def owned_grams(docs: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
+    """The n-grams of each language, the languages in the order of learnable documents, then of names."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 4) != 2)).select("doc_id", "lang", "text")
-    rows = bounded_sample(usable, "doc_id", sample)
+    known = written(usable.groupBy("lang").agg(F.count("*").alias("docs")), "languages")
+    cut = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("docs")) * float(1 << 62)
+    rows = usable.join(known, "lang").filter(seeded_hash("doc_id", 17) <= cut.cast("long"))
 
     def count(batches):
         seen: dict[tuple[str, int], int] = {}
@@ -139,14 +144,18 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["lang", "gram", "n"])
 
     sums = written(map_text(rows, count, "lang string, gram long, n long", "text", "lang").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram_counts")
-    sizes = {r["lang"]: r["n"] for r in sums.filter("gram = -1").collect()}
-    languages = sorted(sizes, key=lambda k: (-sizes[k], k))
+    sizes = {r["lang"]: r["docs"] for r in known.collect()}
     most = sums.filter("gram = -1").select("lang", F.col("n").alias("docs"))
     rated = sums.filter("gram >= 0").join(most, "lang").withColumn("rate", F.col("n") / F.col("docs"))
     rated = rated.withColumn("top", F.max("rate").over(W.partitionBy("gram")))
     got = rated.filter((F.col("rate") >= LEAST) & (F.col("rate") >= FAIR * F.col("top")) & ((F.col("n") > 1) | (F.col("docs") < 10))).select("lang", "gram").toArrow()
     lang, gram = np.array(got.column("lang").to_pylist(), object), got.column("gram").to_numpy()
-    return build(languages, {k: gram[lang == k].astype(np.uint64) for k in languages})
+    return {k: gram[lang == k].astype(np.uint64) for k in sorted(sizes, key=lambda k: (-sizes[k], k))}
+
+
+def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
+    owned = owned_grams(docs, sample)
+    return build(list(owned), owned)
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
