@@ -332,7 +332,7 @@ def test_misspelled_terms_and_quotations():
             w[rng.randrange(60)] = rng.choice(["idiot", "scum!", "moron"])
         elif i % 5 == 0:
             w[rng.randrange(60)] = "oron"
-        texts.append(" ".join(w).replace(" ta ", "\u00a0"))
+        texts.append(" ".join(w))
         toxic.append(int(i % 4 == 0))
     model = toxicity.fit(texts, toxic)
     assert {t for t, w in zip(model.terms, model.weight, strict=True) if w > 0} == {(t, toxicity.WORD) for t in ("idiot", "scum", "moron")}
@@ -439,6 +439,39 @@ def test_language_accuracy(spark):
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
 
 
+def test_language_filters_against_plain_sets(spark):
+    """The bit-sliced filter names every language that holds an n-gram, few others, and decides as plain sets do."""
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    filters = language_id.train(docs)
+    owned = language_id.owned_grams(docs)
+    assert sorted(owned) == sorted(filters.languages) and all(len(x) for x in owned.values())
+    sets = {k: set(x.tolist()) for k, x in owned.items()}
+    texts = [r.text for r in docs.filter("text IS NOT NULL").limit(300).collect()]
+    agree = 0
+    for lo, hi, buf, off in chunks(pa.array(texts)):
+        doc, code = language_id.grams(buf, off)
+        total, hits = filters.counts(buf, off)
+        best, _ = filters.predict(buf, off)
+        for i in range(hi - lo):
+            own = code[doc == i].tolist()
+            assert total[i] == len(own)
+            exact = [sum(c in sets[k] for c in own) for k in filters.languages]
+            extra = hits[i] - exact
+            assert (extra >= 0).all() and (extra <= 5 + 3 * filters.rate * len(own)).all()
+            agree += exact[best[i]] == max(exact)
+    assert agree >= 0.99 * len(texts)
+
+
+def test_rare_languages_are_learned(spark):
+    common = [(i, " ".join(f"wab{(i * j) % 97} kolim" for j in range(1, 9)), "aa") for i in range(3000)]
+    rare = [(5000 + i, " ".join(f"\u00fczt\u00f6 gr\u00fcn{(i * j) % 31}" for j in range(1, 9)), "zz") for i in range(12)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    filters = language_id.train(docs, sample=100)
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, filters).collect()}
+    assert all(got[i] == "aa" for i, _, _ in common) and all(got[i] == "zz" for i, _, _ in rare)
+
+
 def test_mixture_is_near_its_targets(spark):
     d = "/root/testdata/sf0.01"
     got = mixing.op2_mixing(spark, d).groupBy("target", "source_size").agg(F.sum("taken").alias("taken"), F.max(F.col("taken") - 2 * F.col("size")).alias("over"))
