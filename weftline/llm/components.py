@@ -11,19 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm._bitmaps import join_groups
 from weftline.llm._text import written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step over distinct (u, v), u != v: hang neighbours on the least neighbour."""
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
+    """One step over `n` or fewer distinct (u, v), u != v: hang neighbours on the least neighbour.
+
+    The neighbours of a centre with very many are not gathered: its least
+    neighbour is broadcast to them.
+    """
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if large:
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("_size"))
+        out = join_groups(both.filter("v > u"), least, ["u"], 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = both.filter("v < u")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_size"))
+        out = join_groups(down, least, ["u"], 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.unionByName(least.select("u", F.col("m").alias("v")))
     return out.filter("u <> v").distinct()
 
@@ -35,11 +40,11 @@ def components(links: DataFrame, limit: int = 60) -> DataFrame:
     """
     edges = links.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).filter("u <> v").distinct()
     edges = written(edges, "links")
-    was = None
+    was, n = None, edges.count()
     for _ in range(limit):
-        edges = written(_star(_star(edges, True), False), "links")
+        edges = written(_star(written(_star(edges, True, n), "links"), False, n), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
         if now == was or now[0] == 0:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        was = now
+        was, n = now, now[0]
     raise RuntimeError(f"components did not settle in {limit} steps")

@@ -12,8 +12,10 @@ is lost (up to collisions of 48-bit hashes within a pair of sets).
    by size class, since linked sets are of like sizes.
 3. Groups: a class joins the group named by its size, roughly, and the least
    token hash it shares with another class, or, if more classes than a group
-   holds share one, that token; a group larger than `group` is dealt into
-   blocks of about that many.  Similar documents so meet in one group.
+   holds share one, that token.  Similar documents so meet in one group.  A
+   name larger than `group` is dealt into blocks of about that many, each opened
+   once for its own members and a few of the whole name; classes that this
+   links become one settled group, never compared within.
 4. Token-group matrix: one row for each (token, group) of those first tokens,
    never for (token, document), with the sizes in the group and the most
    tokens that a member has from this one on.  Groups that share COMMON tokens,
@@ -23,7 +25,8 @@ is lost (up to collisions of 48-bit hashes within a pair of sets).
    union is formed, each query's overlap with it is bounded (and its size), and
    only if some query still can reach the threshold is the group opened; then
    the overlaps are one matrix product over the tokens that two sets share.
-   A task emits the links as stars, at most one a document.
+   A task emits the links as stars, at most one a document.  Two settled groups
+   of one component are not compared.
 6. Components of the links, then one row per document.
 
 Edge cases: a null or empty text, or one without words, has the empty set and
@@ -47,10 +50,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.llm._bitmaps import join_groups
 from weftline.llm._text import LOWER, Hasher, chunks, distinct, documents, map_text, mix, shingles, written
 from weftline.llm.components import components
 
 GROUP = 256
+#: About how many classes of a name larger than a group are compared with all of it first; they save work only.
+PIVOTS = 16
 #: Tokens that two linked sets must share among their firsts; more of them keep chance pairs out.
 COMMON = 4
 #: Bytes of a token's hash that are compared in the end.
@@ -227,6 +233,8 @@ def open_group(members: list[np.ndarray], queries: list[np.ndarray], percent: in
     Queries whose overlap with the members' token union cannot reach the
     threshold, and those too small or too large, are never compared.
     """
+    if not members:  # a block that the hash leaves empty
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     m, size = len(members), np.array([len(x) for x in (*members, *queries)], np.int64)
     live = list(range(m))
     if queries:
@@ -290,8 +298,73 @@ def _common(low: Column, low2: Column, high: Column, percent: int) -> Column:
     return F.least(F.floor(spare) + COMMON - 1, F.floor(t / (1 + t) * (low + low2)))
 
 
+def _opened(docs: DataFrame, k: int, percent: int, rows: DataFrame) -> DataFrame:
+    """(src, dst): the links in each task's group, of `rows` (doc_id, g, part, member), as stars on the least id.
+
+    Members of a group are compared with each other in part 0, and with the
+    part's queries in each.  A document that is both gives a link to itself.
+    """
+    kind = docs.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
+
+    def find(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("member", "descending"), ("doc_id", "ascending")])
+        sets = [_long(x.as_buffer()) for x in table.column("tokens")]
+        m = pc.sum(table.column("member")).as_py()
+        a, b = open_group(sets[:m], sets[m:], percent)
+        if table.column("part")[0].as_py():  # the members were compared with each other in part 0
+            a, b = a[b >= m], b[b >= m]
+        root = _forest(len(sets), a, b)
+        at = np.flatnonzero(root != np.arange(len(sets)))
+        ids = table.column("doc_id")
+        return pa.table({"src": ids.take(pa.array(root[at])), "dst": ids.take(pa.array(at))})
+
+    places = written(rows, "places")
+    placed = _full_sets(docs, k, places.select("doc_id").distinct()).join(places, "doc_id").select("doc_id", "tokens", "g", "part", "member")
+    return placed.groupBy("g", "part").applyInArrow(find, schema)
+
+
+def _rows_of() -> list[Column]:
+    """Aggregates of the token rows of a group: sizes and rests, and how many documents have them."""
+    return [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs")]
+
+
+def _busy(matrix: DataFrame, percent: int) -> DataFrame:
+    """The groups in which enough tokens are in two members for a link among them."""
+    return matrix.filter("docs > 1").groupBy("g", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(F.col("c") >= _common(F.col("lo"), F.col("lo"), F.col("hi"), percent)).select("g").distinct()
+
+
+def _settled(docs: DataFrame, k: int, percent: int, tokens: DataFrame, large: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
+    """Deals the classes of names that are larger than a group, by what is linked among them already.
+
+    Each block of such a name is opened for its own members and for about
+    PIVOTS of the whole name, so the work grows with the name, not with its
+    square.  Classes of one name that are then of one component, if they are
+    many, form one settled group, which needs no comparison within; the others
+    are dealt into blocks anew.  Gives (doc_id, unit, root) with a root for settled
+    groups alone, and the links found.
+    """
+    own = tokens.join(large, "name").select("doc_id", "name", "classes").distinct()
+    own = written(own.withColumn("b", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("classes") / group))), "large_names")
+    block = F.xxhash64("name", "b").alias("g")
+    matrix = tokens.join(own.select("doc_id", block), "doc_id").groupBy("token", "class", "g").agg(*_rows_of())
+    busy = written(_busy(matrix, percent), "busy_blocks")
+    pivots = own.filter(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("classes")) < PIVOTS)
+    asked = pivots.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("classes") / group) - 1)))
+    rows = own.select("doc_id", block, F.lit(True).alias("member")).unionByName(asked.select("doc_id", block, F.lit(False).alias("member")))
+    found = written(_opened(docs, k, percent, rows.join(busy, "g", "left_semi").withColumn("part", F.lit(0))), "links_of_large_names")
+    roots = components(found)
+    own = own.join(roots, own["doc_id"] == roots["node"], "left").select("doc_id", "name", F.coalesce("root", "doc_id").alias("root"))
+    own = written(own, "roots_of_large_names")
+    many = own.groupBy("name", "root").agg(F.count("*").alias("c")).filter(F.col("c") >= group // 4).select("name", F.col("root").alias("r"), F.lit(True).alias("many"))
+    own = own.withColumnRenamed("name", "m").join(many, (F.col("m") == F.col("name")) & (F.col("root") == F.col("r")), "left").select("doc_id", F.col("m").alias("name"), "root", F.coalesce("many", F.lit(False)).alias("many"))
+    rest = own.filter(~F.col("many")).groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks"))
+    alone = own.filter(~F.col("many")).join(rest, "name").select("doc_id", F.xxhash64("name", F.lit(1), F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.col("blocks"))).alias("unit"), F.lit(None).cast(docs.schema["doc_id"].dataType).alias("root"))
+    return written(own.filter("many").select("doc_id", F.xxhash64("name", F.lit(2), "root").alias("unit"), "root").unionByName(alone), "settled"), found
+
+
 def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = GROUP) -> DataFrame:
-    """(src, dst) between class representatives: within each task's linked sets, stars on the least id."""
+    """(src, dst) between class representatives: enough links that their components are those of all links."""
     kind = docs.schema["doc_id"].dataType
     named = sigs.filter("n > 0 AND doc_id IS NOT NULL")
     reps = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("doc_id"))
@@ -309,50 +382,44 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     tokens = written(tokens.withColumn("name", F.xxhash64(F.when(hot["sets"] > group, hot["token"]).otherwise(F.min("token").over(W.partitionBy("doc_id"))), F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
 
     tokens = tokens.drop("sets")
-    own = tokens.select("doc_id", "name").distinct()
-    large = own.groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks")).filter("blocks > 1")
-    block = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1).cast("long")))
-    tokens = tokens.join(large, "name", "left").withColumn("g", F.xxhash64("name", block))
-    own = written(tokens.select("doc_id", "g").distinct(), "groups")
-
-    matrix = tokens.groupBy("token", "class", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs"))
+    large = tokens.groupBy("name", "doc_id").agg(F.lit(1)).groupBy("name").agg(F.count("*").alias("classes")).filter(F.col("classes") > group)
+    large = written(large, "names_over_a_group")
+    plain = tokens.withColumn("unit", F.xxhash64("name", F.lit(0))).withColumn("root", F.lit(None).cast(kind))
+    first = None
+    if large.count():
+        dealt, first = _settled(docs, k, percent, tokens, large, group)
+        dealt = dealt.select(F.col("doc_id").alias("d"), F.col("unit").alias("unit1"), F.col("root").alias("r1"))
+        plain = tokens.join(dealt, F.col("doc_id") == F.col("d"), "left").withColumn("unit", F.coalesce("unit1", F.xxhash64("name", F.lit(0)))).withColumn("root", F.col("r1"))
+    tokens = plain
+    own = written(tokens.select("doc_id", "unit", "root").distinct(), "groups")
+
+    matrix = tokens.groupBy("token", "class", F.col("unit").alias("g")).agg(*_rows_of(), F.max("root").alias("root"))
     matrix = written(matrix, "token_groups")
-    other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("g", "lo", "hi", "rest")])
+    other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("g", "lo", "hi", "rest", "root")])
     can = (F.col("g") < F.col("g2")) & (F.col("hi2") * 100 >= F.col("lo") * percent) & (F.col("hi") * 100 >= F.col("lo2") * percent)
+    can = can & ~F.coalesce(F.col("root") == F.col("root2"), F.lit(False))  # two settled groups of one component
     # Of a linked pair's common tokens, in order, the j-th has the rest for it in every row with least > j.  So at least
     # as many rows have the rest as the lowest `least` says, if that is taken over all rows: those without it, too.
     least = _common(F.col("lo"), F.col("lo2"), F.greatest("hi", "hi2"), percent)
     need = ratio / (1 + ratio) * (F.col("lo") + F.col("lo2")) - least
     enough = (F.col("rest") >= need) & (F.col("rest2") >= need)
     pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count_if(enough).alias("c"), F.min(least).alias("least"))
-    pairs = pairs.filter("c > 0 AND c >= least").select("g", "g2").distinct()
-    queries = pairs.join(own.select("doc_id", F.col("g").alias("g2")), "g2").select("g", "doc_id")
+    pairs = pairs.filter("c > 0 AND c >= least").select(F.col("g").alias("unit"), F.col("g2").alias("unit2")).distinct()
+    # A settled group may be larger than a task holds, so it is opened in blocks.
+    blocks = own.filter("root IS NOT NULL").groupBy("unit").agg(F.ceil(F.count("*") / group).alias("blocks"))
+    blocks = written(blocks.filter("blocks > 1"), "blocks")
+    member = own.join(blocks, "unit", "left").select("doc_id", "unit", "root", F.xxhash64("unit", F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1).cast("long")))).alias("g"))
+    queries = pairs.join(own.select("doc_id", F.col("unit").alias("unit2")), "unit2").join(blocks, "unit", "left")
+    queries = queries.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1).cast("long")) - 1))).select(F.xxhash64("unit", "b").alias("g"), "doc_id")
     queries = written(queries, "queries")
     chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / group).alias("parts"))
     asked = queries.join(chunked, "g").select("doc_id", "g", F.pmod(F.xxhash64("doc_id", F.lit(3)), "parts").cast("int").alias("part"), F.lit(False).alias("member"))
-    # A group is opened for its own members if enough tokens are in two of them, or if it has queries.
-    busy = matrix.filter("docs > 1").groupBy("g", "class").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(F.col("c") >= _common(F.col("lo"), F.col("lo"), F.col("hi"), percent)).select("g")
+    # A group is opened for its own members if enough tokens are in two of them and it is not settled, or if it has queries.
+    busy = _busy(matrix.filter("root IS NULL"), percent).select(F.xxhash64("g", F.lit(0).cast("long")).alias("g"))
     opened = busy.unionByName(chunked.select("g")).distinct()
-    parts = own.join(opened, "g", "left_semi").join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
-    rows = parts.unionByName(asked)
-    slots = written(rows.groupBy("doc_id").agg(F.collect_list(F.struct("g", "part", "member")).alias("at")), "places")
-    placed = _full_sets(docs, k, slots).join(slots, "doc_id").select("doc_id", "tokens", F.explode("at").alias("p")).select("doc_id", "tokens", "p.g", "p.part", "p.member")
-
-    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
-
-    def find(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("member", "descending"), ("doc_id", "ascending")])
-        sets = [_long(x.as_buffer()) for x in table.column("tokens")]
-        m = pc.sum(table.column("member")).as_py()
-        a, b = open_group(sets[:m], sets[m:], percent)
-        if table.column("part")[0].as_py():  # the members were compared with each other in part 0
-            a, b = a[b >= m], b[b >= m]
-        root = _forest(len(sets), a, b)
-        at = np.flatnonzero(root != np.arange(len(sets)))
-        ids = table.column("doc_id")
-        return pa.table({"src": ids.take(pa.array(root[at])), "dst": ids.take(pa.array(at))})
-
-    return placed.groupBy("g", "part").applyInArrow(find, schema)
+    parts = member.join(opened, "g", "left_semi").join(chunked, "g", "left").select("doc_id", "g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0)).cast("int"))).alias("part"), F.lit(True).alias("member"))
+    found = _opened(docs, k, percent, parts.unionByName(asked))
+    return found.unionByName(first) if first is not None else found
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, group: int = GROUP) -> DataFrame:
@@ -362,9 +429,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, group: int =
     root = components(links(docs, sigs, k, percent, group))
     rows = sigs.select("doc_id", "n", "s1", "s2")
     named = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = reps.join(root, reps["rep"] == root["node"], "left").select("s1", "s2", "n", F.coalesce("root", "rep").alias("component_id"))
-    linked = named.join(reps, ["s1", "s2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    reps = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_size"))
+    reps = reps.join(root, reps["rep"] == root["node"], "left").select("s1", "s2", "n", "_size", F.coalesce("root", "rep").alias("component_id"))
+    linked = join_groups(named, written(reps, "classes"), ["s1", "s2", "n"], named.count()).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
