@@ -239,6 +239,31 @@ def test_near_duplicates_with_a_larger_third(spark):
     assert got == near_brute(rows, 1, 90)
 
 
+def test_a_large_cluster_is_compared_in_proportion_to_its_size(spark, monkeypatch):
+    """300 near copies of one text, and texts that share a passage alone: links as by brute force, rows opened well under the square."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        w[rng.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(300, 400):
+        rows.append((i, " ".join([*base[:20], *(f"own{i}_{j}" for j in range(60))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    opened = []
+    plain = jaccard._opened
+
+    def counted(docs, k, percent, some):
+        opened.append(some.count())
+        return plain(docs, k, percent, some)
+
+    monkeypatch.setattr(jaccard, "_opened", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 1, 90, 16).collect()}
+    assert got == near_brute(rows, 1, 90)
+    assert len(opened) == 2 and sum(opened) < 300 * 300 / 16 / 2
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "src long, dst long")
     got = dict(map(tuple, components(chain).collect()))
