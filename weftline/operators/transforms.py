@@ -229,7 +229,7 @@ def llm(df: DataFrame, prompt: str, client: Callable[[list[str]], list[str]], in
 
 
 def embedding(df: DataFrame, vectorization_fields: dict[str, str], client: Callable[[list[str]], list[list[float]]], single_vectorized_input_number: int = 64) -> DataFrame:
-    """Vectors of text fields, {in: out}, by batches of the given size."""
+    """Vectors of text fields, {vector field: text field}, by batches of the given size."""
 
     @F.pandas_udf("array<float>")
     def vectors(texts):
@@ -241,4 +241,4 @@ def embedding(df: DataFrame, vectorization_fields: dict[str, str], client: Calla
             out += client(rows[i : i + single_vectorized_input_number])
         return pd.Series(out, index=texts.index)
 
-    return df.withColumns({out: vectors(_col(df, name)) for name, out in vectorization_fields.items()})
+    return df.withColumns({out: vectors(_col(df, name)) for out, name in vectorization_fields.items()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
-from weftline.sources import cdc
+from weftline.sources import cdc, changes, formats, jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,9 +59,23 @@ ORACLES["sql_explode_split"] = "SELECT o_orderkey, unnest(string_split(o_orderpr
 _add("sql_explode_outer", lambda spark, d: sql(table(spark, d, "orders"), "SELECT o_orderkey, o_orderstatus, ARRAY(NULLIF(o_orderstatus, 'O'), o_orderpriority) AS a FROM t LATERAL VIEW OUTER EXPLODE(a) AS e").drop("a"), "SELECT o_orderkey, o_orderstatus, unnest([nullif(o_orderstatus,'O'), o_orderpriority]) AS e FROM orders")
 _add("sql_explode_drop_null", lambda spark, d: sql(table(spark, d, "orders"), "SELECT o_orderkey, o_orderstatus, ARRAY(NULLIF(o_orderstatus, 'O'), o_orderpriority) AS a FROM t LATERAL VIEW EXPLODE(a) AS e").drop("a"), "SELECT * FROM (SELECT o_orderkey, o_orderstatus, unnest([nullif(o_orderstatus,'O'), o_orderpriority]) AS e FROM orders) WHERE e IS NOT NULL")
 _add("sql_map_access", lambda spark, d: sql(table(spark, d, "nation").withColumn("m", F.create_map(F.lit("k"), F.col("n_name"))), "SELECT n_nationkey, m.k AS v, m.missing AS w FROM t"), "SELECT n_nationkey, n_name AS v, CAST(NULL AS VARCHAR) AS w FROM nation")
-_add("sql_struct_access", lambda spark, d: sql(table(spark, d, "nation").withColumn("s", F.struct(F.struct(F.col("n_name").alias("name")).alias("inner"))), "SELECT n_nationkey, s.inner.name AS v FROM t WHERE s.inner.name LIKE 'A%'"), "SELECT n_nationkey, n_name AS v FROM nation WHERE n_name LIKE 'A%'")
+_add("sql_struct_access", lambda spark, d: sql(table(spark, d, "nation").withColumn("s", F.struct(F.struct(F.col("n_name").alias("name")).alias("inner"))), "SELECT n_nationkey, s.inner.name AS v FROM t WHERE s.inner.name LIKE 'NATION_1%'"), "SELECT n_nationkey, n_name AS v FROM nation WHERE n_name LIKE 'NATION!_1%' ESCAPE '!'")
 _add("sql_decimal_division", lambda spark, d: sql(table(spark, d, "part").withColumn("p", F.col("p_retailprice").cast("decimal(12,2)")), "SELECT p_partkey, p / p_size AS q FROM t"), "SELECT p_partkey, CAST(sign(x) * ceil(abs(x) * 100) / 100 AS DECIMAL(12,2)) AS q FROM (SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) / p_size AS x FROM part)")
 
+_sql("sql_like_raw_regex", "customer", "SELECT c_custkey FROM t WHERE c_name LIKE '%#0+1[0-5]'", "SELECT c_custkey FROM customer WHERE regexp_full_match(c_name, '.*#0+1[0-5]')")
+_sql("sql_like_column", "part", "SELECT p_partkey FROM t WHERE p_name LIKE CONCAT(LEFT(p_type, 0), 's%') AND p_brand NOT LIKE CONCAT('%', RIGHT(p_name, 1))", "SELECT p_partkey FROM part WHERE p_name LIKE 's%' AND NOT ends_with(p_brand, right(p_name, 1))")
+_sql("sql_like_two_underscores", "orders", "SELECT o_orderkey FROM t WHERE o_orderpriority LIKE '__-%' OR o_orderpriority LIKE '_-%T'", "SELECT o_orderkey FROM orders WHERE regexp_full_match(o_orderpriority, '._-.*') OR regexp_full_match(o_orderpriority, '.-%T')")
+_sql("sql_double_by_zero", "part", "SELECT p_partkey, CAST(p_retailprice / (p_size - p_size) AS STRING) AS q, CAST(-p_retailprice / (p_retailprice - p_retailprice) AS STRING) AS r FROM t", "SELECT p_partkey, 'Infinity' AS q, '-Infinity' AS r FROM part")
+_sql("sql_null_arithmetic", "orders", "SELECT o_orderkey, NULLIF(o_custkey, 1) + 1 AS a, 2.5 * NULLIF(o_totalprice, 0) AS b FROM t WHERE NULLIF(o_custkey, 1) + 1 IS NULL OR o_custkey < 50", "SELECT o_orderkey, nullif(o_custkey, 1) + 1 AS a, 2.5::DOUBLE * nullif(o_totalprice, 0) AS b FROM orders WHERE o_custkey < 50")
+_sql("sql_equal_across_classes", "orders", "SELECT o_orderkey FROM t WHERE o_orderstatus = 1 OR o_orderpriority <> 5", "SELECT o_orderkey FROM orders WHERE o_orderpriority IS NOT NULL")
+QUERIES["sql_column_case"] = lambda spark, d: sql(table(spark, d, "nation").withColumnRenamed("n_name", "N_Name"), "SELECT `N_Name` AS a, LoWer(N_Name) AS b FROM t WHERE n_nationkey > 3")
+ORACLES["sql_column_case"] = "SELECT n_name AS a, lower(n_name) AS b FROM nation WHERE n_nationkey > 3"
+
+_codes = "regexp_replace(translate(upper(c_mktsegment), 'AEIOUYBFPVCGJKQSXZDTLMNR', '000000111122222222334556'), '[HW]', '', 'g')"
+for _d in "0123456":
+    _codes = f"regexp_replace({_codes}, '{_d}+', '{_d}', 'g')"
+_SOUNDEX = f"left(c_mktsegment, 1) || rpad(left(replace(substr({_codes}, 2), '0', ''), 3), 3, '0')"
+
 # Scalar functions: (name, table, key, expression here, expression in the oracle)
 _O, _P, _C, _L, _E = ("orders", "o_orderkey"), ("part", "p_partkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey, l_linenumber"), ("events", "event_id")
 _FUNCTIONS = [
@@ -126,7 +142,17 @@ _FUNCTIONS = [
     ("quarter", _O, "QUARTER(o_orderdate)", "CAST(quarter(o_orderdate) AS INTEGER)"),
     ("week", _O, "WEEK(o_orderdate)", "CAST(week(o_orderdate) AS INTEGER)"),
     ("year", _O, "YEAR(o_orderdate)", "CAST(year(o_orderdate) AS INTEGER)"),
-    ("is_date", _O, "IS_DATE(o_orderpriority, 'yyyy-MM-dd')", "false"),
+    ("is_date", _O, "IS_DATE(CASE WHEN o_orderstatus = 'O' THEN FORMATDATETIME(o_orderdate, 'yyyy-MM-dd') ELSE o_orderpriority END, 'yyyy-MM-dd')", "o_orderstatus = 'O'"),
+    ("hextoraw_literal", _C, "HEXTORAW('004100E90042')", "'A\u00e9B'"),
+    ("dateadd_day", _O, "DATEADD(o_orderdate, -40, 'DAY')", "o_orderdate - INTERVAL 40 DAY"),
+    ("dateadd_year", _O, "TIMESTAMPADD(o_orderdate, 2, 'YEAR')", "o_orderdate + INTERVAL 2 YEAR"),
+    ("dateadd_hour", _E, "DATEADD(ts, 30, 'HOUR')", "ts + INTERVAL 30 HOUR"),
+    ("soundex", _C, "SOUNDEX(c_mktsegment)", _SOUNDEX),
+    ("rand_range", _C, "FLOOR(RAND(3))", "0"),
+    ("uuid_length", _C, "CHAR_LENGTH(UUID())", "CAST(36 AS BIGINT)"),
+    ("current_year", _C, "YEAR(CURRENT_DATE) - YEAR(NOW())", "0"),
+    ("current_once", _C, "DATEDIFF(CURRENT_TIMESTAMP, NOW(), 'SECOND')", "CAST(0 AS BIGINT)"),
+    ("current_time", _C, "CASE WHEN CHAR_LENGTH(CAST(CURRENT_TIME AS STRING)) >= 5 THEN 1 ELSE 0 END", "1"),
     ("parsedatetime", _O, "PARSEDATETIME(FORMATDATETIME(o_orderdate, 'yyyy-MM-dd HH:mm:ss'), 'yyyy-MM-dd HH:mm:ss')", "CAST(date_trunc('second', o_orderdate) AS TIMESTAMP)"),
     ("to_date", _O, "TO_DATE(FORMATDATETIME(o_orderdate, 'yyyy-MM-dd'), 'yyyy-MM-dd')", "CAST(o_orderdate AS DATE)"),
     ("from_unixtime", _P, "FROM_UNIXTIME(p_partkey * 1000, 'yyyy-MM-dd HH:mm:ss', 'UTC+6')", "strftime(to_timestamp(p_partkey * 1000 + 21600) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')"),
@@ -145,11 +171,16 @@ _FUNCTIONS += [
 ]
 for _n, (_t, _k), _ours, _theirs in _FUNCTIONS:
     _sql(f"fn_{_n}", _t, f"SELECT {_k}, {_ours} AS v FROM t", f"SELECT {_k}, {_theirs} AS v FROM {_t}")
-# Without a counterpart in the oracle, or random: rows only.
-QUERIES["fn_soundex"] = lambda spark, d: sql(table(spark, d, "customer"), "SELECT c_custkey, SOUNDEX(c_mktsegment) AS v FROM t")
+# Random, or of the moment: rows only.
 QUERIES["fn_rand_uuid"] = lambda spark, d: sql(table(spark, d, "nation"), "SELECT n_nationkey, RAND(1) AS r, UUID() AS u FROM t")
 QUERIES["fn_current"] = lambda spark, d: sql(table(spark, d, "nation"), "SELECT n_nationkey, CURRENT_DATE AS d, CURRENT_TIMESTAMP() AS ts, NOW() AS n FROM t")
 
+def _named(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables' rows with the path of their table."""
+    frames = [df.select("n_nationkey", "n_name", F.lit(path).alias("path")) for path, df in tables.items()]
+    return frames[0].unionByName(frames[1])
+
+
 # Transforms
 _add("t_field_mapper", lambda s, d: tr.field_mapper(table(s, d, "nation"), {"n_name": "name", "n_nationkey": "id"}), "SELECT n_name AS name, n_nationkey AS id FROM nation")
 _add("t_filter_include", lambda s, d: tr.filter_fields(table(s, d, "orders"), include_fields=["o_orderkey", "o_orderstatus"]), "SELECT o_orderkey, o_orderstatus FROM orders")
@@ -162,7 +193,7 @@ _add("t_copy", lambda s, d: tr.copy(table(s, d, "nation"), {"name2": "n_name", "
 _add("t_jsonpath_events", lambda s, d: tr.json_path(table(s, d, "events").select("event_id", "props"), [{"src_field": "props", "path": "$.k", "dest_field": "k", "dest_type": "int"}]), "SELECT event_id, props, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 _add("t_jsonpath_skip_row", lambda s, d: tr.json_path(table(s, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, "{}").otherwise(F.col("props")).alias("props")), [{"src_field": "props", "path": "$.k", "dest_field": "k", "dest_type": "int"}], row_error_handle_way="SKIP"), "SELECT event_id, props, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_id % 3 <> 0")
 _add("t_field_rename", lambda s, d: tr.field_rename(table(s, d, "nation"), convert_case="UPPER", prefix="x_", specific=[{"field_name": "n_name", "target_name": "label"}]), 'SELECT n_nationkey AS "X_N_NATIONKEY", n_name AS label, n_regionkey AS "X_N_REGIONKEY" FROM nation')
-_add("t_table_rename", lambda s, d: next(iter(tr.table_rename({"db.nation": table(s, d, "nation")}, prefix="t_").items()))[1], "SELECT * FROM nation")
+_add("t_table_rename", lambda s, d: _named(tr.table_rename({"db.nation": table(s, d, "nation"), "db.region": table(s, d, "region").select(F.col("r_regionkey").alias("n_nationkey"), F.col("r_name").alias("n_name"))}, prefix="t_", convert_case="UPPER")), "SELECT n_nationkey, n_name, 'db.T_NATION' AS path FROM nation UNION ALL SELECT r_regionkey, r_name, 'db.T_REGION' FROM region")
 _add("t_table_merge", lambda s, d: tr.table_merge({"a.x": table(s, d, "nation"), "b.y": table(s, d, "nation")}, "all")["all"], "SELECT * FROM nation UNION ALL SELECT * FROM nation")
 _add("t_metadata", lambda s, d: tr.metadata(table(s, d, "nation").withColumns({"_table": F.lit("db.nation"), "_row_kind": F.lit("+I")}), {"Database": "db", "Table": "tbl", "RowKind": "kind"}).drop("_table", "_row_kind"), "SELECT *, 'db' AS db, 'nation' AS tbl, '+I' AS kind FROM nation")
 
@@ -238,3 +269,49 @@ def _connect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _add("cdc_kafka_connect", _connect, "SELECT n_nationkey, n_name FROM nation")
+
+
+# Written and read back
+def _folder(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-")
+    return f"{base.rstrip('/')}/catalogue/{uuid.uuid4().hex}"
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The changelog of users in two batches, one after the other in time."""
+    rows = changelog(spark, sf_dir).filter("_row_kind <> '-U'").select("user_id", "value", "event_type", "ts", "event_id", "_row_kind")
+    middle = rows.agg(F.expr("percentile_approx(unix_micros(ts), 0.5)")).first()[0]
+    early = F.unix_micros("ts") <= middle
+    return [rows.filter(early), rows.filter(~early)]
+
+
+def _upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark)
+    for batch in _two_batches(spark, sf_dir):
+        changes.upsert_files(batch, path, ["user_id"], order=["ts", "event_id"])
+    return spark.read.parquet(path).select("user_id", "value", "event_type")
+
+
+def _upsert_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = {"url": f"jdbc:derby:memory:c{uuid.uuid4().hex};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "primary_keys": ["user_id"], "order_by": ["ts", "event_id"], "table_path": "users"}
+    for batch in _two_batches(spark, sf_dir):
+        jdbc.prepare(batch, options, "users")
+        jdbc.write(batch, options, "users")
+    return jdbc.read(spark, options).select("user_id", "value", "event_type")
+
+
+_add("cdc_upsert_files", _upsert_files, ORACLES["cdc_collapse"])
+_add("cdc_upsert_jdbc", _upsert_jdbc, ORACLES["cdc_collapse"])
+
+
+def _format(kind: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, df = _folder(spark), table(spark, sf_dir, "part")
+        formats.WRITERS[kind](df, path, "append", {})
+        return formats.READERS[kind](spark, path, df.schema, {"skip_header_row_number": 1})
+
+    return build
+
+
+for _f in ("avro", "excel"):
+    _add(f"format_{_f}", _format(_f), "SELECT * FROM part")

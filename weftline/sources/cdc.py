@@ -1,7 +1,8 @@
 """Change-data capture: decoders of JSON changelogs to rows with a kind, and the collapse of a changelog.
 
 Each decoder is one from_json and one explode over the text column `value`;
-nothing is collected and no Python runs.  Lines that do not parse, and
+nothing is collected and no Python runs.  A line that does not parse fails
+the job, unless `ignore_parse_errors` passes it over; null and blank lines, and
 events that change no row, give none.
 """
 
@@ -14,6 +15,10 @@ from pyspark.sql import types as T
 from weftline.plans.sql import HIDDEN
 
 
+def _parsed(schema: T.StructType, ignore_parse_errors: bool, value: Column | str = "value") -> Column:
+    return F.from_json(value, schema, {"mode": "PERMISSIVE" if ignore_parse_errors else "FAILFAST"})
+
+
 def _event(kind: str, row: Column, when: Column | None = None) -> Column:
     e = F.struct(F.lit(kind).alias("_row_kind"), row.alias("row"))
     return e if when is None else F.when(when, e)
@@ -40,10 +45,10 @@ def _overlaid(row: Column, old: Column, present: Column, schema: T.StructType) -
     return F.struct(*[F.when(F.array_contains(present, f.name), old[f.name]).otherwise(row[f.name]).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
-def canal(df: DataFrame, schema: T.StructType, database_include: str | None = None, table_include: str | None = None) -> DataFrame:
+def canal(df: DataFrame, schema: T.StructType, database_include: str | None = None, table_include: str | None = None, ignore_parse_errors: bool = False) -> DataFrame:
     text = _strings(schema)
     outer = T.StructType([T.StructField("type", T.StringType()), T.StructField("database", T.StringType()), T.StructField("table", T.StringType()), T.StructField("data", T.ArrayType(text)), T.StructField("old", T.ArrayType(T.MapType(T.StringType(), T.StringType())))])
-    d = df.select(F.from_json("value", outer).alias("m"))
+    d = df.select(_parsed(outer, ignore_parse_errors).alias("m"))
     pairs = F.transform(F.col("m.data"), lambda x, i: F.struct(x.alias("new"), F.try_element_at(F.col("m.old"), i + 1).alias("old")))
     d = d.select("m.type", "m.database", "m.table", F.explode(pairs).alias("p"))
     old = F.struct(*[F.try_element_at(F.col("p.old"), F.lit(f.name)).alias(f.name) for f in schema])
@@ -54,20 +59,20 @@ def canal(df: DataFrame, schema: T.StructType, database_include: str | None = No
     return _out(d, events, F.concat_ws(".", "database", "table"), (database_include, table_include), (F.col("database"), F.col("table")))
 
 
-def debezium(df: DataFrame, schema: T.StructType) -> DataFrame:
+def debezium(df: DataFrame, schema: T.StructType, ignore_parse_errors: bool = False) -> DataFrame:
     """With or without an envelope of schema and payload."""
     source = T.StructType([T.StructField("db", T.StringType()), T.StructField("table", T.StringType())])
     inner = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", schema), T.StructField("after", schema), T.StructField("source", source)])
-    m = F.from_json("value", T.StructType([T.StructField("payload", inner), *inner.fields]))
+    m = _parsed(T.StructType([T.StructField("payload", inner), *inner.fields]), ignore_parse_errors)
     d = df.select(m.alias("m")).select(F.when(F.col("m.payload").isNotNull(), F.col("m.payload")).otherwise(F.struct("m.op", "m.before", "m.after", "m.source")).alias("p"))
     op = F.col("p.op")
     events = F.array(_event("+I", F.col("p.after"), op.isin("c", "r")), _event("-U", F.col("p.before"), (op == "u") & F.col("p.before").isNotNull()), _event("+U", F.col("p.after"), (op == "u") & F.col("p.after").isNotNull()), _event("-D", F.col("p.before"), op == "d"))
     return _out(d, events, F.concat_ws(".", "p.source.db", "p.source.table"), (None, None), (op, op))
 
 
-def maxwell(df: DataFrame, schema: T.StructType, database_include: str | None = None, table_include: str | None = None) -> DataFrame:
+def maxwell(df: DataFrame, schema: T.StructType, database_include: str | None = None, table_include: str | None = None, ignore_parse_errors: bool = False) -> DataFrame:
     outer = T.StructType([T.StructField("type", T.StringType()), T.StructField("database", T.StringType()), T.StructField("table", T.StringType()), T.StructField("data", schema), T.StructField("old", schema)])
-    d = df.select(F.from_json("value", outer).alias("m"), F.json_object_keys(F.get_json_object("value", "$.old")).alias("keys"))
+    d = df.select(_parsed(outer, ignore_parse_errors).alias("m"), F.json_object_keys(F.get_json_object("value", "$.old")).alias("keys"))
     kind = F.col("m.type")
     before = _overlaid(F.col("m.data"), F.col("m.old"), F.coalesce("keys", F.array().cast("array<string>")), schema)
     row = _typed(F.col("m.data"), schema)
@@ -75,9 +80,9 @@ def maxwell(df: DataFrame, schema: T.StructType, database_include: str | None =
     return _out(d, events, F.concat_ws(".", "m.database", "m.table"), (database_include, table_include), (F.col("m.database"), F.col("m.table")))
 
 
-def ogg(df: DataFrame, schema: T.StructType, table_include: str | None = None) -> DataFrame:
+def ogg(df: DataFrame, schema: T.StructType, table_include: str | None = None, ignore_parse_errors: bool = False) -> DataFrame:
     outer = T.StructType([T.StructField("op_type", T.StringType()), T.StructField("table", T.StringType()), T.StructField("before", schema), T.StructField("after", schema)])
-    d = df.select(F.from_json("value", outer).alias("m"))
+    d = df.select(_parsed(outer, ignore_parse_errors).alias("m"))
     op = F.col("m.op_type")
     events = F.array(_event("+I", F.col("m.after"), op == "I"), _event("-U", F.col("m.before"), op == "U"), _event("+U", F.col("m.after"), op == "U"), _event("-D", F.col("m.before"), op == "D"))
     return _out(d, events, F.col("m.table"), (table_include, None), (F.element_at(F.split(F.col("m.table"), r"\."), -1), op))
@@ -128,15 +133,18 @@ def to_ogg(df: DataFrame, key: str | None = None) -> DataFrame:
 ENCODERS = {"canal_json": to_canal, "debezium_json": to_debezium, "maxwell_json": to_maxwell, "ogg_json": to_ogg}
 
 
-def kafka_connect(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of records with an envelope of schema and payload, or bare; tombstones and lines that do not parse give none."""
-    m = F.from_json("value", T.StructType([T.StructField("payload", schema)]))
+def kafka_connect(df: DataFrame, schema: T.StructType, ignore_parse_errors: bool = False) -> DataFrame:
+    """Rows of records with an envelope of schema and payload, or bare; tombstones give none."""
+    m = _parsed(T.StructType([T.StructField("payload", schema)]), True)
     keys = F.json_object_keys("value")
     enveloped = F.array_contains(keys, "payload")
     if "payload" in schema.names:
         enveloped &= F.array_contains(keys, "schema")
-    row = F.when(enveloped, m["payload"]).otherwise(F.from_json("value", schema))
+    row = F.when(enveloped, m["payload"]).otherwise(_parsed(schema, True))
     parsed = keys.isNotNull()
+    if not ignore_parse_errors:
+        blank = F.trim(F.coalesce("value", F.lit(""))) == ""
+        parsed = F.when(parsed | blank, parsed).otherwise(F.raise_error(F.concat(F.lit("malformed record: "), "value")).cast("boolean"))
     return df.filter(parsed).select(row.alias("r")).filter("r IS NOT NULL").select("r.*", F.lit("+I").alias("_row_kind"))
 
 

@@ -58,6 +58,10 @@ def kafka_read(options: dict) -> dict[str, str]:
         import json
 
         out["startingOffsets"] = json.dumps(found)
+    elif mode == "group_offsets":
+        # Spark keeps its own offsets in the checkpoint; without one, it starts where a group without offsets would.
+        reset = (options.get("kafka.config") or {}).get("auto.offset.reset", "latest")
+        out["startingOffsets"] = reset if reset in ("earliest", "latest") else "latest"
     if options.get("consumer.group"):
         out["kafka.group.id"] = options["consumer.group"]
     return out | {f"kafka.{k}": str(v) for k, v in (options.get("kafka.config") or {}).items()}
@@ -67,17 +71,45 @@ def kafka_write(options: dict) -> dict[str, str]:
     return {"kafka.bootstrap.servers": options["bootstrap.servers"], "topic": options["topic"]} | {f"kafka.{k}": str(v) for k, v in (options.get("kafka.config") or {}).items()}
 
 
-def decoded(df: DataFrame, format: str, schema: T.StructType | None, field_delimiter: str = ",") -> DataFrame:
-    """Rows of a `value` column of messages; without a schema, its text as `content`."""
-    text = df.select(F.col("value").cast("string").alias("value"))
+#: What a Kafka message says beside its value, as row metadata.
+_ABOUT = {"EventTime": "CAST(unix_millis(timestamp) AS string)", "Partition": "CAST(partition AS string)", "Offset": "CAST(offset AS string)", "Topic": "topic", "Key": "CAST(key AS string)"}
+
+
+def _about(df: DataFrame):
+    """The metadata of messages that have it, as `_options`."""
+    if not {"timestamp", "partition"} & set(df.columns):
+        return None
+    columns = {"EventTime": "timestamp", "Partition": "partition", "Offset": "offset", "Topic": "topic", "Key": "key"}
+    there = [n for n, c in columns.items() if c in df.columns]
+    if "timestamp" in df.columns:
+        there.append("Delay")
+    sql = {**_ABOUT, "Delay": "CAST(unix_millis(current_timestamp()) - unix_millis(timestamp) AS string)"}
+    return F.create_map(*[x for n in there for x in (F.lit(n), F.expr(sql[n]))])
+
+
+def decoded(df: DataFrame, format: str, schema: T.StructType | None, field_delimiter: str = ",", ignore_parse_errors: bool = False) -> DataFrame:
+    """Rows of a `value` column of messages; without a schema, its text as `content`.
+
+    A message that does not parse fails the job, unless `ignore_parse_errors`
+    passes it over.  A message's time, partition, offset, topic and key, where
+    the frame has them, ride along as `_options`, but for changelogs.
+    """
+    about = _about(df)
+    text = df.select(F.col("value").cast("string").alias("value"), *([about.alias("_options")] if about is not None else []))
+    rest = ["_options"] if about is not None else []
     if schema is None:
         return text.withColumnRenamed("value", "content")
     if format.lower() in cdc.DECODERS:
-        return cdc.DECODERS[format.lower()](text, schema)
+        return cdc.DECODERS[format.lower()](text.select("value"), schema, ignore_parse_errors=ignore_parse_errors)
     if format == "json":
-        return text.select(F.from_json("value", schema).alias("r")).select("r.*")
+        bad = "_broken"
+        if ignore_parse_errors:
+            wide = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+            rows = text.select(F.from_json("value", wide, {"columnNameOfCorruptRecord": bad}).alias("r"), *rest)
+            return rows.filter(f"r IS NOT NULL AND r.{bad} IS NULL").select(*[F.col(f"r.`{c}`") for c in schema.names], *rest)
+        return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), *rest).filter("r IS NOT NULL").select("r.*", *rest)
     if format == "text":
-        return text.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": field_delimiter}).alias("r")).select("r.*")
+        return text.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": field_delimiter}).alias("r"), *rest).select("r.*", *rest)
     raise ValueError(f"unknown format {format}")
 
 

@@ -36,7 +36,7 @@ _MOST = {"tinyint": 127, "smallint": 32767, "int": 2**31 - 1, "bigint": 2**63 -
 _PARTS = {"date": {"year": (1970, 2038), "month": (1, 12), "day": (1, 28)}, "time": {"hour": (0, 23), "minute": (0, 59), "second": (0, 59)}}
 
 
-def fake(spark: SparkSession, schema: T.StructType, row_num: int = 5, parallelism: int = 1, rows: list[dict] | None = None, seed: int = 0, options: dict | None = None) -> DataFrame:
+def fake(spark: SparkSession, schema: T.StructType, row_num: int = 5, parallelism: int = 1, rows: list[dict] | None = None, seed: int = 0, options: dict | None = None, stream: bool = False) -> DataFrame:
     """Random rows of a schema, `row_num` for each degree of parallelism; or the given rows with their kinds.
 
     `options` by dotted name: a type's `min` and `max`, or its `template`, a
@@ -45,11 +45,26 @@ def fake(spark: SparkSession, schema: T.StructType, row_num: int = 5, parallelis
     times; `split.num` partitions for each degree of parallelism.  Values hang
     on the row's number and the seed, so a task that runs again gives the same.
     """
+    if stream:
+        return _fake_stream(spark, schema, row_num, parallelism, rows, seed, options or {})
     if rows is not None:
         given = T.StructType([*schema.fields, T.StructField("_row_kind", T.StringType())])
         return spark.createDataFrame([(*r["fields"], {"INSERT": "+I", "UPDATE_BEFORE": "-U", "UPDATE_AFTER": "+U", "DELETE": "-D"}.get(r["kind"], r["kind"])) for r in rows], given)
     conf = options or {}
     base = spark.range(0, row_num * parallelism, 1, max(1, parallelism * int(conf.get("split.num", 1))))
+    return generated(base, schema, seed, conf)
+
+
+def _fake_stream(spark: SparkSession, schema: T.StructType, row_num: int, parallelism: int, rows: list[dict] | None, seed: int, conf: dict) -> DataFrame:
+    """`row_num` rows a batch and degree of parallelism, without an end; given rows come again in every batch."""
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", row_num * parallelism if rows is None else 1).option("numPartitions", max(1, parallelism)).load().withColumnRenamed("value", "id")
+    if rows is None:
+        return generated(ticks, schema, seed, conf)
+    return ticks.select("id").join(F.broadcast(fake(spark, schema, rows=rows))).drop("id")
+
+
+def generated(base: DataFrame, schema: T.StructType, seed: int, conf: dict) -> DataFrame:
+    """Random values of a schema for each `id` of `base`; they hang on the id and the seed alone."""
 
     def below(span: int, at: int) -> Column:
         return F.pmod(F.xxhash64("id", F.lit(seed), F.lit(at)), F.lit(min(span, 2**63 - 1)).cast("long"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from weftline.plans.keys import keys, primary_key
 from weftline.plans.sql import HIDDEN
+from weftline.plans.types import parse_type
 
 
 class AssertFailed(AssertionError):
@@ -34,6 +39,8 @@ def save_table(df: DataFrame, table: str, schema_save_mode: str = "CREATE_SCHEMA
     spark = df.sparkSession
     df = df.drop(*HIDDEN)
     there = spark.catalog.tableExists(table)
+    if schema_save_mode == "IGNORE" and not there:
+        raise SaveModeError(f"{table} does not exist, and schema_save_mode is IGNORE")
     if schema_save_mode == "ERROR_WHEN_SCHEMA_NOT_EXIST" and not there:
         raise SaveModeError(f"{table} does not exist")
     if schema_save_mode == "RECREATE_SCHEMA" and there:
@@ -65,16 +72,90 @@ def save_files(df: DataFrame, path: str, file_format_type: str = "parquet", part
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def assert_sink(df: DataFrame, row_rules: list[dict] | None = None, field_rules: list[dict] | None = None) -> dict[str, int]:
+def name_files(spark: SparkSession, path: str, expression: str, time_format: str, transaction: str) -> list[str]:
+    """Renames the part files of a folder by an expression of ${uuid}, ${now} and ${transactionId}; several get a number."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    now = jvm.java.time.LocalDateTime.now().format(jvm.java.time.format.DateTimeFormatter.ofPattern(time_format))
+    name = placeholders(expression, {"uuid": uuid.uuid4().hex, "now": now, "transactionId": transaction})
+    parts = sorted(f.getPath().getName() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-"))
+    out = []
+    for i, part in enumerate(parts):
+        ending = part.partition(".")[2]
+        out.append(f"{name}{f'_{i}' if len(parts) > 1 else ''}.{ending}")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(at, part), jvm.org.apache.hadoop.fs.Path(at, out[-1])):
+            raise OSError(f"cannot rename {part}")
+    return out
+
+
+def _literal(value, to: T.DataType):
+    """A rule's value as a column of a type; arrays, maps and rows are given as in a job file."""
+    if isinstance(to, (T.ArrayType, T.MapType, T.StructType)) and value is not None:
+        return F.from_json(F.lit(value if isinstance(value, str) else json.dumps(value)), to)
+    return F.lit(value).cast(to)
+
+
+def _bad(c, kind: str, value, to: T.DataType):
+    """Whether a value breaks a rule."""
+    if kind in ("NOT_NULL", "NULL"):
+        return c.isNull() if kind == "NOT_NULL" else c.isNotNull()
+    if kind in ("MIN", "MAX"):
+        return c < value if kind == "MIN" else c > value
+    if kind in ("MIN_LENGTH", "MAX_LENGTH"):
+        return F.length(c) < value if kind == "MIN_LENGTH" else F.length(c) > value
+    if kind == "EQUALS":
+        if isinstance(to, T.MapType):  # maps are equal if their entries are
+            sort = lambda m: F.array_sort(F.map_entries(m))
+            return ~sort(c).eqNullSafe(sort(_literal(value, to)))
+        return ~c.eqNullSafe(_literal(value, to))
+    raise AssertFailed(f"unknown rule {kind}")
+
+
+def _catalog_faults(df: DataFrame, rule: dict) -> list[str]:
+    """Where a table's columns and keys are not those of a catalog_table_rule."""
+    out = []
+    if want := rule.get("primary_key_rule"):
+        if list(want["primary_key_columns"]) != primary_key(df):
+            out.append(f"the primary key is {primary_key(df)}, not {list(want['primary_key_columns'])}")
+    found = keys(df)
+    for want in rule.get("constraint_key_rule") or []:
+        columns = [c["constraint_key_column_name"] for c in want["constraint_key_columns"]]
+        if found.get(want["constraint_key_name"]) != columns:
+            out.append(f"the key {want['constraint_key_name']} is {found.get(want['constraint_key_name'])}, not {columns}")
+    fields = {f.name: f for f in df.schema if f.name not in HIDDEN}
+    wanted = rule.get("column_rule") or []
+    if wanted and [w["name"] for w in wanted] != list(fields):
+        out.append(f"the columns are {list(fields)}, not {[w['name'] for w in wanted]}")
+    for w in wanted:
+        f = fields.get(w["name"])
+        if f is not None and w.get("type") and parse_type(w["type"]) != f.dataType:
+            out.append(f"{f.name} is {f.dataType.simpleString()}, not {w['type']}")
+        if f is not None and w.get("nullable") is False and f.nullable:
+            out.append(f"{f.name} may be null")
+    return out
+
+
+def assert_sink(df: DataFrame, row_rules: list[dict] | None = None, field_rules: list[dict] | None = None, catalog_table_rule: dict | None = None, table_names: list[str] | None = None, path: str = "") -> dict[str, int]:
     """All rules in one aggregation; raises with the first that fails, else gives the counts."""
-    checks: dict[str, tuple] = {}
+    if table_names and path not in table_names:
+        raise AssertFailed(f"table {path} is not one of {', '.join(table_names)}")
+    for fault in _catalog_faults(df, catalog_table_rule or {}):
+        raise AssertFailed(fault)
+    checks: dict[str, Column] = {}
     for f in field_rules or []:
-        c = F.col(f"`{f['field_name']}`")
-        for r in f.get("field_value", []):
-            kind = r.get("rule_type", "EQUALS")
+        name = f["field_name"]
+        if name not in df.columns:
+            raise AssertFailed(f"no field {name}")
+        to = df.schema[name].dataType
+        if f.get("field_type") and not isinstance(f["field_type"], dict) and parse_type(f["field_type"]) != to:
+            raise AssertFailed(f"{name} is {to.simpleString()}, not {f['field_type']}")
+        for r in f.get("field_value") or []:
+            kind = r.get("rule_type") or "EQUALS"
             value = r.get("rule_value", r.get("equals_to"))
-            bad = {"NOT_NULL": lambda: c.isNull(), "NULL": lambda: c.isNotNull(), "MIN": lambda: c < value, "MAX": lambda: c > value, "MIN_LENGTH": lambda: F.length(c) < value, "MAX_LENGTH": lambda: F.length(c) > value, "EQUALS": lambda: ~c.eqNullSafe(F.lit(value).cast(df.schema[f["field_name"]].dataType))}[kind]()
-            checks[f"{f['field_name']} {kind} {value}"] = F.count_if(bad)
+            checks[f"{name} {kind} {value}"] = F.count_if(_bad(F.col(f"`{name}`"), kind, value, to))
+            if r.get("rule_type") and "equals_to" in r:
+                checks[f"{name} EQUALS {r['equals_to']}"] = F.count_if(_bad(F.col(f"`{name}`"), "EQUALS", r["equals_to"], to))
     got = df.agg(F.count("*").alias("_rows"), *[c.alias(f"c{i}") for i, c in enumerate(checks.values())]).first()
     for i, name in enumerate(checks):
         if got[i + 1]:

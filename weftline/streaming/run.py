@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +27,35 @@ def write_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def throttled(df: DataFrame, rows_per_second: int) -> DataFrame:
+    """`df` with its tasks slowed down, so that those that run side by side give about this many rows a second in all."""
+    slots = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    each = max(1.0, rows_per_second / slots)
+
+    def run(batches):
+        begin, given = time.monotonic(), 0
+        for b in batches:
+            for at in range(0, b.num_rows, max(1, int(each))):
+                part = b.slice(at, max(1, int(each)))
+                wait = begin + given / each - time.monotonic()
+                if wait > 0:
+                    time.sleep(wait)
+                given += part.num_rows
+                yield part
+
+    return df.mapInArrow(run, df.schema)
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """A copy of a folder on any file system Hadoop knows; what was at the target goes."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    b.getFileSystem(conf).delete(b, True)
+    if not hadoop.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf):
+        raise OSError(f"cannot copy {source} to {target}")
+
+
+def restore(spark: SparkSession, savepoint: str, checkpoint: str) -> None:
+    copy_folder(spark, savepoint, checkpoint)
