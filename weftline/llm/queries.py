@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from weftline.llm import exact_dedup, jaccard, language_id, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, toxicity
 
 QUERIES = {
@@ -16,7 +15,6 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_pii": pii.op9_pii,
     "op10_packing": packing.op10_packing,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op2_mixing": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
