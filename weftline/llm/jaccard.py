@@ -13,9 +13,11 @@ is lost (up to collisions of 48-bit hashes within a pair of sets).
 3. Groups: a class joins the group named by its size, roughly, and the least
    token hash it shares with another class, or, if more classes than a group
    holds share one, that token.  Similar documents so meet in one group.  A
-   name larger than `group` is dealt into blocks of about that many, each opened
-   once for its own members and a few of the whole name; classes that this
-   links become one settled group, never compared within.
+   name larger than `group` is dealt into blocks of about that many.  One larger
+   than `SETTLED` groups is settled first: each block is opened once for its own
+   members and a few of the whole name, and classes that this links become one
+   settled group, never compared within.  So a class is compared with a bounded
+   number of others of its name, however many there are.
 4. Token-group matrix: one row for each (token, group) of those first tokens,
    never for (token, document), with the sizes in the group and the most
    tokens that a member has from this one on.  Groups that share COMMON tokens,
@@ -57,6 +59,8 @@ from weftline.llm.components import components
 GROUP = 256
 #: About how many classes of a name larger than a group are compared with all of it first; they save work only.
 PIVOTS = 16
+#: Names of more groups than this are settled first; within smaller ones each block is compared with each other.
+SETTLED = 8
 #: Tokens that two linked sets must share among their firsts; more of them keep chance pairs out.
 COMMON = 4
 #: Bytes of a token's hash that are compared in the end.
@@ -335,7 +339,7 @@ def _busy(matrix: DataFrame, percent: int) -> DataFrame:
 
 
 def _settled(docs: DataFrame, k: int, percent: int, tokens: DataFrame, large: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
-    """Deals the classes of names that are larger than a group, by what is linked among them already.
+    """Deals the classes of names of very many classes, by what is linked among them already.
 
     Each block of such a name is opened for its own members and for about
     PIVOTS of the whole name, so the work grows with the name, not with its
@@ -384,13 +388,15 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     tokens = tokens.drop("sets")
     large = tokens.groupBy("name", "doc_id").agg(F.lit(1)).groupBy("name").agg(F.count("*").alias("classes")).filter(F.col("classes") > group)
     large = written(large, "names_over_a_group")
-    plain = tokens.withColumn("unit", F.xxhash64("name", F.lit(0))).withColumn("root", F.lit(None).cast(kind))
+    huge = large.filter(F.col("classes") > SETTLED * group)
+    block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.ceil(F.col("classes") / group), F.lit(1).cast("long")))
+    dealt = tokens.join(large, "name", "left").select(*tokens.columns, F.xxhash64("name", block).alias("unit"), F.lit(None).cast(kind).alias("root"))
     first = None
-    if large.count():
-        dealt, first = _settled(docs, k, percent, tokens, large, group)
-        dealt = dealt.select(F.col("doc_id").alias("d"), F.col("unit").alias("unit1"), F.col("root").alias("r1"))
-        plain = tokens.join(dealt, F.col("doc_id") == F.col("d"), "left").withColumn("unit", F.coalesce("unit1", F.xxhash64("name", F.lit(0)))).withColumn("root", F.col("r1"))
-    tokens = plain
+    if not huge.isEmpty():
+        settled, first = _settled(docs, k, percent, tokens, huge, group)
+        settled = settled.select(F.col("doc_id").alias("d"), F.col("unit").alias("unit1"), F.col("root").alias("r1"))
+        dealt = dealt.join(settled, F.col("doc_id") == F.col("d"), "left").select(*tokens.columns, F.coalesce("unit1", "unit").alias("unit"), F.col("r1").alias("root"))
+    tokens = dealt
     own = written(tokens.select("doc_id", "unit", "root").distinct(), "groups")
 
     matrix = tokens.groupBy("token", "class", F.col("unit").alias("g")).agg(*_rows_of(), F.max("root").alias("root"))
