@@ -116,3 +116,24 @@ def test_detected_dates(spark):
     got = spark.createDataFrame([(t,) for t in [*texts, *odd]], "t string").select("t", parse_datetime(F.col("t")).alias("v")).collect()
     assert {r.t: r.v for r in got} == {**dict.fromkeys(texts, when), **odd}
     assert spark.sql("select '2020年1月2日' t").select(parse_date(F.col("t"))).first()[0] == dt.date(2020, 1, 2)
+
+
+def test_command_line(tmp_path, capsys):
+    from weftline.__main__ import main, shaded, shown
+
+    job = tmp_path / "j.conf"
+    job.write_text('env { job.mode = BATCH }\nsource { Jdbc { url = "${u}", user = me, password = "pä" } }\nsink { Console {} }')
+    assert main(["-c", str(job), "--check", "-i", "u=jdbc:x"]) == 1 and "query, table_path" in capsys.readouterr().out
+    assert main(["-c", str(job), "--encrypt"]) == 0
+    hidden = capsys.readouterr().out
+    assert "pä" not in hidden and '"me"' not in hidden
+    conf = config.load(str(job), {})
+    assert shown(shaded(conf)) == conf
+
+
+def test_http_options_are_redacted(spark):
+    from weftline.sources import http
+
+    spark.dataSource.register(http.HttpSource)
+    plan = spark.read.format(http.FORMAT).option(http.SECRET, '{"url": "http://x", "headers": {"Authorization": "hide-me"}}').load()._jdf.queryExecution().toString()
+    assert "hide-me" not in plan

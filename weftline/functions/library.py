@@ -262,13 +262,15 @@ USER: dict[str, tuple[Callable[[list[T.DataType]], T.DataType], str]] = {}
 
 
 def register(spark, name: str, fn: Callable, result_type: Callable[[list[T.DataType]], T.DataType] | T.DataType) -> None:
-    """Register a user-defined function; prefer a pandas_udf, which takes whole Arrow batches."""
+    """Register a user-defined function; a plain one gets its values by Arrow batches, a pandas_udf takes them whole."""
     rule = result_type if callable(result_type) else (lambda _, t=result_type: t)
     inner = f"weftline_{name.lower()}"
     if hasattr(fn, "returnType"):
         spark.udf.register(inner, fn)
     else:
-        spark.udf.register(inner, fn, rule([]))
+        from pyspark.sql.functions import udf
+
+        spark.udf.register(inner, udf(fn, rule([]), useArrow=True))
     USER[name.upper()] = (rule, inner)
 
 
