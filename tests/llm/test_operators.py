@@ -174,6 +174,102 @@ def test_trees_are_monotonic():
     assert (np.diff(forest.score(line)) >= -1e-12).all()
 
 
+def test_rules_query_against_plain_counts_and_a_walk_of_the_trees(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    forest = quality_rules.train(docs, spark.read.parquet(f"{DIR}/labels.parquet"))
+    got = {r.doc_id: r for r in quality_rules.judge(docs, forest).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        text, r = text or "", got[doc_id]
+        w = brute.WORD.findall(text)
+        times = Counter(zip(w, w[1:], w[2:], strict=False))
+        covered = {i + j for i in range(len(w) - 2) if times[tuple(w[i : i + 3])] > 1 for j in range(3)}
+        lines = [x for x in text.split("\n") if brute.WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+        assert r.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
+        (_, _, buf, off), = chunks(pa.array([text]))
+        x = quality_rules.statistics(buf, off)[1][0]
+        total = forest.bias
+        for node in forest.roots.tolist():
+            while forest.left[node] != node:
+                node = forest.left[node] if x[forest.feature[node]] <= forest.cut[node] else forest.right[node]
+            total += forest.value[node]
+        score = 1 / (1 + np.exp(-total))
+        assert abs(r.score - score) < 1e-9 and r.kept == (not r.base_failed and r.score >= quality_rules.THRESHOLD)
+
+
+def test_ftrl_against_plain_dicts():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(150):
+        y = rng.random() < 0.4
+        slots = sorted(rng.sample(range(40), 8) + ([41] if y else [42]))
+        rows.append((np.array(slots, np.int32), np.array([rng.random() for _ in slots], np.float32), int(y)))
+    bias, weights = quality_classifier.ftrl(rows, 2)
+    alpha, beta, l1, l2 = quality_classifier.ALPHA, quality_classifier.BETA, quality_classifier.L1, quality_classifier.L2
+    z, n, zb, nb = Counter(), Counter(), 0.0, 0.0
+    share = (sum(r[2] for r in rows) + 0.5) / (len(rows) + 1)
+    b0 = float(np.log(share / (1 - share)))
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    def intercept():
+        return b0 - zb / ((beta + nb**0.5) / alpha + l2)
+
+    for _ in range(2):
+        for slots, values, y in rows:
+            own = {i: (float(v), weight(i)) for i, v in zip(slots.tolist(), values.tolist(), strict=True)}
+            b = intercept()
+            p = 1 / (1 + np.exp(-(b + sum(v * w for v, w in own.values()))))
+            for i, (v, w) in own.items():
+                g = (p - y) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w
+                n[i] += g * g
+            g = p - y
+            zb += g - ((nb + g * g) ** 0.5 - nb**0.5) / alpha * (b - b0)
+            nb += g * g
+    assert abs(bias - intercept()) < 1e-6
+    assert np.allclose([weights[i] for i in range(45)], [weight(i) for i in range(45)], atol=1e-5)
+    assert weights[41] > 0.1 > -0.1 > weights[42]
+
+
+def test_classifier_scores_are_dot_products():
+    texts = ["", "one two two, THREE", "one one", " \n", "é é ü 12 a-b " * 50]
+    w = np.random.default_rng(1).normal(size=1 << quality_classifier.BITS).astype(np.float32)
+    for lo, hi, buf, off in chunks(pa.array(texts), 20):
+        doc, slot = quality_classifier.features(buf, off)
+        got = quality_classifier.score_bytes(buf, off, 0.25, w)
+        for i in range(hi - lo):
+            own = slot[doc == i].tolist()
+            words = len(brute.WORD.findall(texts[lo + i]))
+            assert len(own) == words * 2 + max(0, words - 1) * 2 + max(0, words - 2)
+            dot = sum(float(w[s]) for s in own) * quality_classifier.SCALE / max(1, len(own))
+            assert abs(got[i] - 1 / (1 + np.exp(-(0.25 + dot)))) < 1e-9
+
+
+def test_quality_and_near_stages_keep_what_they_should(spark, tmp_path):
+    rng = random.Random(12)
+    rows = []
+    for i in range(90):
+        w = [rng.choice(["stone", "river", "green", "walk", "slow", "light", "house", "under"]) + str(rng.randrange(40)) for _ in range(60)]
+        if i % 9 == 8:
+            w = [x + "$$$" for x in w]
+        if i % 10 == 5 and rows:
+            w = rows[-1][1].split(" ")
+            w[7] = "changed"
+        rows.append((i, " ".join(w), "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bad = {i for i, t, _ in rows if "$$$" in t}
+    spark.createDataFrame([(i, int(i not in bad)) for i, _, _ in rows], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.stage_quality(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == set(range(90)) - bad
+    left = corpus_pipeline.stage_near_dedup(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in left} == {root for _, root in near_brute([r[:2] for r in rows], 5, 80).values()}
+    assert {tuple(r) for r in left} <= set(rows)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     duck = duckdb.connect()
@@ -504,5 +600,28 @@ def test_mixture_is_near_its_targets(spark):
         assert abs(r.taken - r.target) <= 64 and r.over <= 0
 
 
+def test_forgotten_tables_are_gone(spark, tmp_path):
+    from weftline.llm import _text
+
+    _text.forget()
+    path = _text.written(spark.range(3).coalesce(1), "x").inputFiles()[0]
+    assert spark.read.parquet(path).count() == 3
+    _text.forget()
+    with pytest.raises(Exception, match="(?i)path"):
+        spark.read.parquet(path).count()
+
+
+def test_samples_are_bounded_and_agree(spark):
+    from weftline.llm import _text
+
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', 100) AS text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality").unionByName(docs.filter("doc_id < 10").selectExpr("doc_id", "1 AS quality"))
+    whole = _text.labelled_sample(docs, labels, "quality", 10_000, 1 << 30).collect()
+    assert len(whole) == len({r.doc_id for r in whole}) and all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in whole)
+    assert all(r._y == 1 for r in whole if r.doc_id < 10)
+    some = [_text.labelled_sample(docs.repartition(k), labels, "quality", 500, 20_000).collect() for k in (1, 5)]
+    assert {r.doc_id for r in some[0]} == {r.doc_id for r in some[1]} and 100 < len(some[0]) < 320
+
+
 def test_normalised_spaces():
     assert re.sub(exact_dedup.SPACE, " ", "a\x0b\x0c b") == "a b"
