@@ -57,6 +57,8 @@ from weftline.llm._text import LOWER, Hasher, chunks, distinct, documents, map_t
 from weftline.llm.components import components
 
 GROUP = 256
+#: Tokens that a block holds at most, unless it is a single set; blocks of large sets have fewer of them.
+TOKENS = 1 << 23
 #: About how many classes of a name larger than a group are compared with all of it first; they save work only.
 PIVOTS = 16
 #: Names of more groups than this are settled first; within smaller ones each block is compared with each other.
@@ -328,6 +330,11 @@ def _opened(docs: DataFrame, k: int, percent: int, rows: DataFrame) -> DataFrame
     return placed.groupBy("g", "part").applyInArrow(find, schema)
 
 
+def _fit(group: int, most: Column) -> Column:
+    """How many sets of at most `most` tokens a block holds."""
+    return F.greatest(F.lit(1), F.least(F.lit(group), F.floor(F.lit(TOKENS) / most))).cast("long")
+
+
 def _rows_of() -> list[Column]:
     """Aggregates of the token rows of a group: sizes and rests, and how many documents have them."""
     return [F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.count("*").alias("docs")]
@@ -348,21 +355,21 @@ def _settled(docs: DataFrame, k: int, percent: int, tokens: DataFrame, large: Da
     are dealt into blocks anew.  Gives (doc_id, unit, root) with a root for settled
     groups alone, and the links found.
     """
-    own = tokens.join(large, "name").select("doc_id", "name", "classes").distinct()
-    own = written(own.withColumn("b", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("classes") / group))), "large_names")
+    own = tokens.join(large, "name").select("doc_id", "name", "classes", "fit").distinct()
+    own = written(own.withColumn("b", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("classes") / F.col("fit")))), "large_names")
     block = F.xxhash64("name", "b").alias("g")
     matrix = tokens.join(own.select("doc_id", block), "doc_id").groupBy("token", "class", "g").agg(*_rows_of())
     busy = written(_busy(matrix, percent), "busy_blocks")
     pivots = own.filter(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("classes")) < PIVOTS)
-    asked = pivots.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("classes") / group) - 1)))
+    asked = pivots.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("classes") / F.col("fit")) - 1)))
     rows = own.select("doc_id", block, F.lit(True).alias("member")).unionByName(asked.select("doc_id", block, F.lit(False).alias("member")))
     found = written(_opened(docs, k, percent, rows.join(busy, "g", "left_semi").withColumn("part", F.lit(0))), "links_of_large_names")
     roots = components(found)
-    own = own.join(roots, own["doc_id"] == roots["node"], "left").select("doc_id", "name", F.coalesce("root", "doc_id").alias("root"))
+    own = own.join(roots, own["doc_id"] == roots["node"], "left").select("doc_id", "name", "fit", F.coalesce("root", "doc_id").alias("root"))
     own = written(own, "roots_of_large_names")
     many = own.groupBy("name", "root").agg(F.count("*").alias("c")).filter(F.col("c") >= group // 4).select("name", F.col("root").alias("r"), F.lit(True).alias("many"))
-    own = own.withColumnRenamed("name", "m").join(many, (F.col("m") == F.col("name")) & (F.col("root") == F.col("r")), "left").select("doc_id", F.col("m").alias("name"), "root", F.coalesce("many", F.lit(False)).alias("many"))
-    rest = own.filter(~F.col("many")).groupBy("name").agg(F.ceil(F.count("*") / group).alias("blocks"))
+    own = own.withColumnRenamed("name", "m").join(many, (F.col("m") == F.col("name")) & (F.col("root") == F.col("r")), "left").select("doc_id", F.col("m").alias("name"), "fit", "root", F.coalesce("many", F.lit(False)).alias("many"))
+    rest = own.filter(~F.col("many")).groupBy("name").agg(F.ceil(F.count("*") / F.min("fit")).alias("blocks"))
     alone = own.filter(~F.col("many")).join(rest, "name").select("doc_id", F.xxhash64("name", F.lit(1), F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.col("blocks"))).alias("unit"), F.lit(None).cast(docs.schema["doc_id"].dataType).alias("root"))
     return written(own.filter("many").select("doc_id", F.xxhash64("name", F.lit(2), "root").alias("unit"), "root").unionByName(alone), "settled"), found
 
@@ -386,10 +393,11 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     tokens = written(tokens.withColumn("name", F.xxhash64(F.when(hot["sets"] > group, hot["token"]).otherwise(F.min("token").over(W.partitionBy("doc_id"))), F.floor(F.log("n") / -math.log(min(ratio, 0.99))))), "candidate_tokens")
 
     tokens = tokens.drop("sets")
-    large = tokens.groupBy("name", "doc_id").agg(F.lit(1)).groupBy("name").agg(F.count("*").alias("classes")).filter(F.col("classes") > group)
+    large = tokens.groupBy("name", "doc_id").agg(F.max("n").alias("n")).groupBy("name").agg(F.count("*").alias("classes"), F.max("n").alias("most"))
+    large = large.select("name", "classes", _fit(group, F.col("most")).alias("fit")).filter("classes > fit")
     large = written(large, "names_over_a_group")
-    huge = large.filter(F.col("classes") > SETTLED * group)
-    block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.ceil(F.col("classes") / group), F.lit(1).cast("long")))
+    huge = large.filter(F.col("classes") > SETTLED * F.col("fit"))
+    block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.ceil(F.col("classes") / F.col("fit")), F.lit(1).cast("long")))
     dealt = tokens.join(large, "name", "left").select(*tokens.columns, F.xxhash64("name", block).alias("unit"), F.lit(None).cast(kind).alias("root"))
     first = None
     if not huge.isEmpty():
@@ -397,7 +405,7 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
         settled = settled.select(F.col("doc_id").alias("d"), F.col("unit").alias("unit1"), F.col("root").alias("r1"))
         dealt = dealt.join(settled, F.col("doc_id") == F.col("d"), "left").select(*tokens.columns, F.coalesce("unit1", "unit").alias("unit"), F.col("r1").alias("root"))
     tokens = dealt
-    own = written(tokens.select("doc_id", "unit", "root").distinct(), "groups")
+    own = written(tokens.select("doc_id", "unit", "root", "n").distinct(), "groups")
 
     matrix = tokens.groupBy("token", "class", F.col("unit").alias("g")).agg(*_rows_of(), F.max("root").alias("root"))
     matrix = written(matrix, "token_groups")
@@ -412,13 +420,13 @@ def links(docs: DataFrame, sigs: DataFrame, k: int, percent: int, group: int = G
     pairs = matrix.join(other, "token").filter(can).groupBy("g", "g2", "class").agg(F.count_if(enough).alias("c"), F.min(least).alias("least"))
     pairs = pairs.filter("c > 0 AND c >= least").select(F.col("g").alias("unit"), F.col("g2").alias("unit2")).distinct()
     # A settled group may be larger than a task holds, so it is opened in blocks.
-    blocks = own.filter("root IS NOT NULL").groupBy("unit").agg(F.ceil(F.count("*") / group).alias("blocks"))
+    blocks = own.filter("root IS NOT NULL").groupBy("unit").agg(F.ceil(F.count("*") / _fit(group, F.max("n"))).alias("blocks"))
     blocks = written(blocks.filter("blocks > 1"), "blocks")
     member = own.join(blocks, "unit", "left").select("doc_id", "unit", "root", F.xxhash64("unit", F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1).cast("long")))).alias("g"))
-    queries = pairs.join(own.select("doc_id", F.col("unit").alias("unit2")), "unit2").join(blocks, "unit", "left")
-    queries = queries.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1).cast("long")) - 1))).select(F.xxhash64("unit", "b").alias("g"), "doc_id")
+    queries = pairs.join(own.select("doc_id", "n", F.col("unit").alias("unit2")), "unit2").join(blocks, "unit", "left")
+    queries = queries.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1).cast("long")) - 1))).select(F.xxhash64("unit", "b").alias("g"), "doc_id", "n")
     queries = written(queries, "queries")
-    chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / group).alias("parts"))
+    chunked = queries.groupBy("g").agg(F.ceil(F.count("*") / _fit(group, F.max("n"))).alias("parts"))
     asked = queries.join(chunked, "g").select("doc_id", "g", F.pmod(F.xxhash64("doc_id", F.lit(3)), "parts").cast("int").alias("part"), F.lit(False).alias("member"))
     # A group is opened for its own members if enough tokens are in two of them and it is not settled, or if it has queries.
     busy = _busy(matrix.filter("root IS NULL"), percent).select(F.xxhash64("g", F.lit(0).cast("long")).alias("g"))
