@@ -360,6 +360,29 @@ def test_a_large_cluster_is_compared_in_proportion_to_its_size(spark, monkeypatc
     assert len(opened) == 2 and sum(opened) < 300 * 300 / 16 / 2
 
 
+def test_blocks_of_large_sets_hold_fewer(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TOKENS", 400)
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        w = [f"w{j}" for j in range(100)]
+        w[rng.randrange(100)] = f"x{i}"
+        rows.append((i, " ".join(w if i % 3 else w[:15])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = []
+    plain = jaccard._opened
+
+    def counted(docs, k, percent, some):
+        found = some.groupBy("g", "part", "member").count()
+        sizes.extend(r["count"] for r in found.collect())
+        return plain(docs, k, percent, some)
+
+    monkeypatch.setattr(jaccard, "_opened", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 1, 90, 256).collect()}
+    assert got == near_brute(rows, 1, 90)
+    assert sizes and max(sizes) <= 30
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "src long, dst long")
     got = dict(map(tuple, components(chain).collect()))
