@@ -143,3 +143,45 @@ def test_packages():
     assert packages.hbase_mapping(["id", "a", "b"], made) == "id STRING :key, a STRING f:a, b STRING g:b"
     assert packages.pulsar({"client.service-url": "s", "admin.service-url": "a", "topic": "t", "cursor.startup.mode": "EARLIEST"})[1]["startingOffsets"] == "earliest"
     assert packages.merge_statement("c.t", "s", ["id", "v"], ["id"]).startswith("MERGE INTO c.t t USING s s ON t.`id` <=> s.`id` WHEN MATCHED AND s._row_kind IN ('-D', '-U') THEN DELETE")
+
+
+PROTO = """
+syntax = "proto3"; // a comment
+package shop;
+import "other.proto";
+message Order {
+  option deprecated = true;
+  enum State { NEW = 0; PAID = 1; }
+  message Line { string sku = 1; sint32 n = 2; repeated double prices = 3; }
+  int64 id = 1;
+  string name = 2;
+  bool ok = 3;
+  double total = 4;
+  bytes raw = 5;
+  State state = 6;
+  repeated Line lines = 7 [packed = false];
+  map<string, int32> counts = 8;
+  Line first = 9;
+  repeated int32 ns = 10;
+  oneof which { float f = 11; fixed64 x = 12; }
+  reserved 13, 14;
+}
+"""
+
+
+def test_protobuf(spark):
+    from weftline.sources import protobuf
+
+    schema = "id long, name string, ok boolean, total double, raw binary, state string, lines array<struct<sku:string,n:int,prices:array<double>>>, counts map<string,int>, first struct<sku:string,n:int,prices:array<double>>, ns array<int>, f float, x long"
+    rows = [(-5, "é", True, 2.5, bytearray(b"\x00"), "PAID", [("a", -3, [1.0, 2.0]), ("b", 4, [])], {"k": 1, "l": -2}, ("z", 0, []), [1, -1, 300], 0.5, 7), (0, "", False, 0.0, bytearray(), "NEW", [], {}, None, [], 0.0, 0)]
+    df = spark.createDataFrame(rows, schema)
+    back = protobuf.decode(protobuf.encode(df, PROTO, "Order"), df.schema, PROTO, "shop.Order")
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    # Test vectors of the wire format's description.
+    small = protobuf.parse('message Test { int32 a = 1; string b = 2; repeated int32 f = 6; sint32 s = 7; }')
+    assert protobuf.read_message(b"\x08\x96\x01\x12\x07testing\x32\x06\x03\x8e\x02\x9e\xa7\x05\x38\x03", "Test", small) == {"a": 150, "b": "testing", "f": [3, 270, 86942], "s": -2}
+    broken = spark.createDataFrame([(bytearray(b"\x12\x70x"),), (bytearray(b"\x08\x01"),), (None,)], "value binary")
+    one = T.StructType([T.StructField("id", T.LongType())])
+    with pytest.raises(Exception, match="malformed"):
+        protobuf.decode(broken, one, PROTO, "Order").collect()
+    assert [r.id for r in protobuf.decode(broken, one, PROTO, "Order", True).collect()] == [1]

@@ -34,7 +34,7 @@ from weftline.operators import transforms as tr
 from weftline.plans import config, rules
 from weftline.plans.keys import primary_key, with_key
 from weftline.plans.sql import sql
-from weftline.sources import cdc, changes, connectors, formats, http, jdbc, packages, readers, services, sinks, stores
+from weftline.sources import cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, stores
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -223,6 +223,8 @@ def _jdbc(job: Job, options: dict, name: str) -> Tables:
 def _kafka(job: Job, options: dict, name: str) -> Tables:
     reader = job.spark.readStream if job.streaming else job.spark.read
     df = reader.format("kafka").options(**connectors.kafka_read(options)).load()
+    if options.get("format") == "protobuf":
+        return {name: _keyed(protobuf.decode(df, _schema(options), options["protobuf_schema"], options["protobuf_message_name"], bool(options.get("ignore_parse_errors", False))), options)}
     ignored = options.get("ignore_parse_errors", options.get("format_error_handle_way", "fail") == "skip")
     return {name: _keyed(connectors.decoded(df, options.get("format", "json"), _schema(options), options.get("field_delimiter", ","), bool(ignored)), options)}
 
@@ -358,6 +360,10 @@ def _save_jdbc(job: Job, df: DataFrame, path: str, options: dict):
 
 
 def _save_kafka(job: Job, df: DataFrame, path: str, options: dict):
+    if options.get("format") == "protobuf":
+        made = protobuf.encode(changes.plain_rows(df, options["topic"]), options["protobuf_schema"], options["protobuf_message_name"])
+        made.write.format("kafka").options(**connectors.kafka_write(options)).save()
+        return
     connectors.encoded(df, options.get("format", "json"), options.get("partition_key_fields"), options.get("field_delimiter", ",")).write.format("kafka").options(**connectors.kafka_write(options)).save()
 
 
