@@ -95,3 +95,13 @@ def test_job_from_and_to_http(spark, server):
     server[1].clear()
     http.write(spark.createDataFrame(WANT, "id int, name string"), {"url": server[0] + "/in"})
     assert sorted((r["id"], r["name"]) for r in server[1]) == WANT
+
+
+def test_polls(spark, server, tmp_path):
+    rows = {r["id"] for r in ROWS}
+    job = run_job(spark, f"""env {{ job.mode = STREAMING, checkpoint.path = "{tmp_path}/c" }}
+source {{ Http {{ url = "{server[0]}/rows", format = json, content_field = "$.data.rows.*", poll_interval_millis = 10, schema = {{ fields {{ id = int, name = string }} }} }} }}
+sink {{ LocalFile {{ path = "{tmp_path}/out" }} }}""")
+    job.results[0].awaitTermination(60)
+    got = [r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert set(got) == rows and len(got) % len(rows) == 0

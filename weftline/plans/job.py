@@ -231,9 +231,7 @@ def _kafka(job: Job, options: dict, name: str) -> Tables:
 
 def _http(service: str) -> Callable[[Job, dict, str], Tables]:
     def make(job: Job, options: dict, name: str) -> Tables:
-        if job.streaming:
-            raise JobError(f"{service} is read in batch jobs only")
-        return {name: http.read(job.spark, options, _schema(options), service)}
+        return {name: _keyed(http.read(job.spark, options, _schema(options), service, job.streaming), options)}
 
     return make
 

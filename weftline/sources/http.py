@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, SimpleDataSourceStreamReader, WriterCommitMessage
 
 FORMAT = "weftline_http"
 
@@ -142,6 +142,28 @@ class _Reader(DataSourceReader):
             number += 1
 
 
+class _Poll(SimpleDataSourceStreamReader):
+    """A batch for each poll, `poll_interval_millis` apart; a batch that is given again is asked for again."""
+
+    def __init__(self, options: dict):
+        self.reader = _Reader(options)
+        self.pause = float(options.get("poll_interval_millis") or 0) / 1000
+        self.last = None
+
+    def initialOffset(self) -> dict:
+        return {"polls": 0}
+
+    def read(self, start: dict):
+        if self.last is not None:
+            time.sleep(max(0.0, self.last + self.pause - time.monotonic()))
+        self.last = time.monotonic()
+        end = {"polls": start["polls"] + 1}
+        return self.readBetweenOffsets(start, end), end
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter([row for page in self.reader.partitions() for row in self.reader.read(page)])
+
+
 class _Writer(DataSourceWriter):
     def __init__(self, options: dict):
         self.options = options
@@ -173,6 +195,9 @@ class HttpSource(DataSource):
     def reader(self, schema):
         return _Reader(json.loads(self.options[SECRET]))
 
+    def simpleStreamReader(self, schema):
+        return _Poll(json.loads(self.options[SECRET]))
+
     def writer(self, schema, overwrite):
         return _Writer(json.loads(self.options[SECRET]))
 
@@ -186,11 +211,11 @@ def _job(spark: SparkSession, options: dict, service: str) -> str:
     return json.dumps({**options, "headers": {**SERVICES[service](options), **(options.get("headers") or {})}})
 
 
-def read(spark: SparkSession, options: dict, schema: T.StructType | None = None, service: str = "Http") -> DataFrame:
+def read(spark: SparkSession, options: dict, schema: T.StructType | None = None, service: str = "Http", stream: bool = False) -> DataFrame:
     """Rows of the schema by format json, a record that does not fit it being an error; else, or without a schema, texts in one column `content`."""
     if not options.get("url"):
         raise ValueError("http needs url")
-    df = spark.read.format(FORMAT).option(SECRET, _job(spark, options, service)).load()
+    df = (spark.readStream if stream else spark.read).format(FORMAT).option(SECRET, _job(spark, options, service)).load()
     if schema is None or options.get("format", "text").lower() != "json":
         return df.withColumnRenamed("value", "content")
     return df.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).filter("r IS NOT NULL").select("r.*")
