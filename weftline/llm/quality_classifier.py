@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import Hasher, labelled_sample, chunks, crc_mod, documents, map_text, mix, splitmix, words
+from weftline.llm._text import Hasher, chunks, crc_mod, documents, labelled_sample, map_text, mix, splitmix, words
 
 BITS = 18
 SAMPLE = 8000

@@ -22,10 +22,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import CONT, WS, Hasher, labelled_sample, chunks, crc_mod, documents, map_text, mix, per_doc, words
+from weftline.llm._text import CONT, WS, Hasher, chunks, documents, labelled_sample, map_text, mix, per_doc, words
 
 SAMPLE = 20_000
 SAMPLE_BYTES = 256 << 20

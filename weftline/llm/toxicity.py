@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._text import CONT, labelled_sample, chunks, crc_mod, documents, map_text, splitmix
+from weftline.llm._text import CONT, chunks, crc_mod, documents, labelled_sample, map_text, splitmix
 
 SAMPLE = 12_000
 SAMPLE_BYTES = 256 << 20
