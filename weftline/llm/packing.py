@@ -81,6 +81,16 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@cache
+def _kind(path: str) -> type:
+    """The type of ids: two bytes where the vocabulary allows.  Read from the file, so the driver loads no tokenizer."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab = spec["model"]["vocab"]
+    known = {t for t, *_ in vocab} if isinstance(vocab, list) else set(vocab)
+    return np.uint16 if len(known | {t["content"] for t in spec.get("added_tokens") or []}) <= 1 << 16 else np.uint32
+
+
 @cache
 def _encoder(path: str):
     """(encode, bytes an id): a function from a text to a numpy array of ids."""
@@ -88,7 +98,7 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    kind = np.uint16 if slow.get_vocab_size() <= 1 << 16 else np.uint32
+    kind = _kind(path)
 
     def plain(text: str) -> np.ndarray:
         return np.array(slow.encode(text, add_special_tokens=False).ids, kind)
@@ -280,7 +290,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
     carried = carried.select("part", F.lit(0).alias("what"), F.lit(0).cast("long").alias("place"), F.lit(None).cast(kind).alias("doc_id"), "source", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("ids"), "share", deficit.alias("deficit"))
     sent = rows.select("part", F.lit(1).alias("what"), F.xxhash64(F.lit(seed + 1), *own).alias("place"), "doc_id", "source", "n", "ids", F.lit(None).cast("double").alias("share"), F.lit(None).cast("double").alias("deficit"))
     both = carried.unionByName(sent).repartitionById(tasks, F.floor(F.col("part") * tasks / parts).cast("int")).sortWithinPartitions("part", "what", "place", "doc_id", "source", "n", "ids")
-    wide = np.uint16 if _encoder(tokenizer)[1] is np.uint16 else np.uint32
+    wide = _kind(tokenizer)
     ahead = min(LOOKAHEAD, part_tokens)
 
     def run(batches):
