@@ -383,10 +383,16 @@ def test_blocks_of_large_sets_hold_fewer(spark, monkeypatch):
     assert sizes and max(sizes) <= 30
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_components(spark, monkeypatch, few):
+    from weftline.llm import components as module
+
+    monkeypatch.setattr(module, "FEW", few)
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "src long, dst long")
     got = dict(map(tuple, components(chain).collect()))
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
+    star = spark.range(1, 3000).selectExpr("id % 2 * 5000 + 7000 AS src", "id AS dst").unionByName(spark.createDataFrame([(7000, 12000)], "src long, dst long"))
+    assert {r.root for r in components(star).collect()} == {1} and components(star).count() == 3000
 
 
 def test_secrets_and_pii():
