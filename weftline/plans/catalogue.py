@@ -280,8 +280,8 @@ def _folder(spark: SparkSession) -> str:
 def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The changelog of users in two batches, one after the other in time."""
     rows = changelog(spark, sf_dir).filter("_row_kind <> '-U'").select("user_id", "value", "event_type", "ts", "event_id", "_row_kind")
-    middle = rows.agg(F.expr("percentile_approx(unix_micros(ts), 0.5)")).first()[0]
-    early = F.unix_micros("ts") <= middle
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    early = at <= rows.agg(F.percentile_approx(at, 0.5)).first()[0]
     return [rows.filter(early), rows.filter(~early)]
 
 
