@@ -201,7 +201,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="weftline-")
         spark.sparkContext.setCheckpointDir(folder)
