@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+import os
+import subprocess
+import sys
 import uuid
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.plans import rules
+from weftline.plans import catalogue, rules
 from weftline.plans.job import JobError, run_job, savepoint
 from weftline.plans.keys import keys, primary_key, with_key
 from weftline.plans.sql import SqlError, sql
@@ -81,6 +87,63 @@ def test_jdbc(spark, database, key):
     assert got(jdbc.read(spark, options)) == {(i, f"n{i}") for i in range(40) if i != 3} | {(99, "new")}
 
 
+@pytest.mark.parametrize("key", [["id"], ["id", "part"]])
+def test_jdbc_null_keys(spark, database, key):
+    schema = "id int, part int, name string, _row_kind string"
+    options = {**database, "primary_keys": key, "table_path": "t"}
+    for rows in ([(None, 1, "a", "+I"), (1, None, "b", "+I"), (2, 1, "c", "+I")], [(None, 1, "d", "+U"), (1, None, "b", "-D"), (3, None, "e", "+I")]):
+        df = spark.createDataFrame(rows, schema)
+        jdbc.prepare(df, options, "t")
+        jdbc.write(df, options, "t")
+    assert got(jdbc.read(spark, options)) == {(None, 1, "d"), (2, 1, "c"), (3, None, "e")}
+
+
+@pytest.mark.parametrize("name", ["cdc_upsert_files", "cdc_upsert_jdbc"])
+def test_upserts_of_rows_without_time_or_user(spark, tmp_path, name):
+    at = [datetime.datetime(2024, 1, d) for d in range(1, 5)]
+    rows = [(1, None, 1, "signup", 1.0), (2, None, 2, "view", 2.0), (3, at[0], 2, "signup", 3.0), (4, at[1], None, "view", 4.0), (5, at[3], None, "signup", 5.0), (6, at[2], 3, "view", 6.0), (7, at[3], 3, "error", 7.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert got(catalogue.QUERIES[name](spark, str(tmp_path))) == got(catalogue.QUERIES["cdc_collapse"](spark, str(tmp_path))) == {(1, 1.0, "signup"), (2, 3.0, "signup"), (None, 5.0, "signup")}
+
+
+ON_A_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from weftline.plans import catalogue
+from weftline.sources import jdbc
+from weftline.sources.sinks import SaveModeError
+
+spark = SparkSession.builder.master("local-cluster[2,1,512]").config("spark.executor.memory", "512m").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+jdbc.HELD_ROWS = 4
+rows = lambda q: sorted(map(str, q.collect()))
+assert rows(catalogue.QUERIES["cdc_upsert_jdbc"](spark, sys.argv[2])) == rows(catalogue.QUERIES["cdc_collapse"](spark, sys.argv[2])) != []
+options = {"url": "jdbc:derby:memory:x;create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "table_path": "t"}
+df = spark.range(10).selectExpr("id", "IF(id = 3, NULL, CAST(id AS STRING)) AS name")
+jdbc.prepare(df, options, "t")
+assert jdbc.read(spark, options).count() == 0
+jdbc.write(df, options, "t")
+jdbc.write(df, {**options, "is_exactly_once": True}, "t")
+assert rows(jdbc.read(spark, options)) == rows(df.union(df))
+assert jdbc.read(spark, {"url": options["url"], "query": 'SELECT "id" FROM t WHERE "id" < 3'}).count() == 6
+try:
+    jdbc.prepare(df, {**options, "data_save_mode": "ERROR_WHEN_DATA_EXISTS"}, "t")
+except SaveModeError:
+    print("all is there")
+"""
+
+
+def test_embedded_database_on_a_cluster(tmp_path):
+    """Executors are processes of their own there, so that only the driver reaches the database."""
+    home = tmp_path / "home"  # executors' logs go to Spark's home
+    home.mkdir()
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    env = os.environ | {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYTHONPATH": str(Path(__file__).resolve().parent.parent), "PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", ON_A_CLUSTER, f"file://{tmp_path}/shared", "/root/testdata/sf0.001"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "all is there" in done.stdout, done.stderr[-4000:]
+
+
 def test_jdbc_splits(spark, database):
     jdbc.execute(spark, database, "CREATE TABLE t (id BIGINT NOT NULL PRIMARY KEY, v DOUBLE)")
     jdbc.write(spark.range(100).selectExpr("id", "id * 0.5 AS v"), {**database, "primary_keys": ["id"]}, "t")

@@ -278,10 +278,10 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The changelog of users in two batches, one after the other in time."""
+    """The changelog of users in two batches, one after the other in time; rows without a time come first."""
     rows = changelog(spark, sf_dir).filter("_row_kind <> '-U'").select("user_id", "value", "event_type", "ts", "event_id", "_row_kind")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    early = at <= rows.agg(F.percentile_approx(at, 0.5)).first()[0]
+    early = F.coalesce(at <= F.lit(rows.agg(F.percentile_approx(at, 0.5)).first()[0]), F.lit(True))
     return [rows.filter(early), rows.filter(~early)]
 
 
