@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import exact_dedup, jaccard, language_id, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, toxicity
+from weftline.llm import decontamination, exact_dedup, jaccard, language_id, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_pii": pii.op9_pii,
     "op10_packing": packing.op10_packing,
+    "op11_decontamination": decontamination.op11_decontamination,
 }
 
-ORACLES = {"op2_mixing": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op2_mixing": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op11_decontamination": decontamination.ORACLE}
