@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import decontamination, exact_dedup, importance, jaccard, language_id, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, toxicity
+from weftline.llm import conversation_repair, decontamination, exact_dedup, importance, jaccard, language_id, mixing, packing, pii, quality_classifier, quality_rules, secret_scan, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,7 +16,8 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_packing": packing.op10_packing,
     "op11_decontamination": decontamination.op11_decontamination,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_importance": importance.op13_importance,
 }
 
-ORACLES = {"op2_mixing": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op11_decontamination": decontamination.ORACLE}
+ORACLES = {"op2_mixing": mixing.ORACLE, "op8_exact_dedup": exact_dedup.ORACLE, "op11_decontamination": decontamination.ORACLE, "op12_conversation_repair": conversation_repair.ORACLE}
