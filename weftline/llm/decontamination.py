@@ -47,6 +47,9 @@ from weftline.llm._words import Words
 #: Words of the spans that are found, and of the grams that are hashed.
 SPAN, K = 10, 8
 
+#: Slots of the bitmap for each fingerprint of an item, while there is room.
+SLOTS = 1 << 12
+
 _WORDS = T.ArrayType(T.StringType())
 #: Columns of a fingerprint: words of the gram, words that a span holds besides, hash, words on the left, the gram, words on the right.
 _FOUND = [T.StructField("n", T.IntegerType()), T.StructField("reach", T.IntegerType()), T.StructField("h", T.LongType()), T.StructField("left", _WORDS), T.StructField("gram", T.StringType()), T.StructField("right", _WORDS)]
@@ -184,7 +187,7 @@ def occurrences(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = K)
     sorted `windows` that they are.  Windows: window and item_id.
     """
     own = written(item_fingerprints(items, span, k), "item_fingerprints")
-    bits = filter_bits(own.count(), 64, MOST)
+    bits = filter_bits(own.count(), SLOTS, MOST)
     short = [r["n"] for r in own.filter("reach = 0").select("n").distinct().collect()]  # fewer than SPAN numbers
     flat = written(_marked(docs, _bytes(own, bits), short, span, k), "marked")
     found = flat.filter("pos IS NOT NULL").withColumn("_at", F.sha2(F.to_json(F.struct("reach", "left", "gram", "right")), 256))
