@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
-from weftline.sources import cdc, changes, formats, jdbc
+from weftline.sources import buckets, cdc, changes, formats, jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -207,7 +207,19 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KIND = "CASE event_type WHEN 'signup' THEN '+I' WHEN 'error' THEN '-D' WHEN 'click' THEN '-U' ELSE '+U' END"
 _add("t_rowkind_filter", lambda s, d: tr.filter_row_kind(changelog(s, d), exclude_kinds=["DELETE", "-U"]).select("event_id", F.col("_row_kind").alias("kind")), f"SELECT event_id, {_KIND} AS kind FROM events WHERE {_KIND} NOT IN ('-D', '-U')")
 _add("t_rowkind_extract", lambda s, d: tr.row_kind_extractor(changelog(s, d), transform_type="FULL").select("event_id", "row_kind", F.col("_row_kind").alias("kind")), "SELECT event_id, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' WHEN 'click' THEN 'UPDATE_BEFORE' ELSE 'UPDATE_AFTER' END AS row_kind, '+I' AS kind FROM events")
-_add("cdc_collapse", lambda s, d: cdc.collapse(changelog(s, d).filter("_row_kind <> '-U'").select("user_id", "value", "event_type", "_row_kind", "ts", "event_id"), ["user_id"], ["ts", "event_id"]), f"SELECT user_id, value, event_type FROM (SELECT *, {_KIND} AS k, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events WHERE {_KIND} <> '-U') WHERE r = 1 AND k <> '-D'")
+
+
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog with both images of each update: they share their time, and a shuffle parts them."""
+    rows = changelog(spark, sf_dir).select("user_id", "value", "event_type", "ts", "event_id", "_row_kind")
+    update = F.array(F.struct(F.lit("-U").alias("k"), F.lit("before").alias("t"), (-F.col("value")).alias("v")), F.struct(F.lit("+U").alias("k"), F.col("event_type").alias("t"), F.col("value").alias("v")))
+    other = F.array(F.struct(F.col("_row_kind").alias("k"), F.col("event_type").alias("t"), F.col("value").alias("v")))
+    both = rows.withColumn("i", F.explode(F.when(F.col("_row_kind") == "+U", update).otherwise(other)))
+    return both.select("user_id", F.col("i.v").alias("value"), F.col("i.t").alias("event_type"), "ts", "event_id", F.col("i.k").alias("_row_kind")).repartition(8, "_row_kind", "value")
+
+
+_IMAGES = f"(SELECT user_id, value, event_type, ts, event_id, {_KIND} AS k FROM events UNION ALL SELECT user_id, -value, 'before', ts, event_id, '-U' FROM events WHERE {_KIND} = '+U')"
+_add("cdc_collapse", lambda s, d: cdc.collapse(images(s, d), ["user_id"], ["ts", "event_id"]), f"SELECT user_id, value, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, CASE k WHEN '+U' THEN 4 WHEN '+I' THEN 3 WHEN '-D' THEN 2 ELSE 1 END DESC) AS r FROM {_IMAGES}) WHERE r = 1 AND k NOT IN ('-D', '-U')")
 
 _NATION = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType())])
 
@@ -273,13 +285,17 @@ _add("cdc_kafka_connect", _connect, "SELECT n_nationkey, n_name FROM nation")
 
 # Written and read back
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="weftline-")
     return f"{base.rstrip('/')}/catalogue/{uuid.uuid4().hex}"
 
 
 def _two_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The changelog of users in two batches, one after the other in time; rows without a time come first."""
-    rows = changelog(spark, sf_dir).filter("_row_kind <> '-U'").select("user_id", "value", "event_type", "ts", "event_id", "_row_kind")
+    rows = images(spark, sf_dir)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     early = F.coalesce(at <= F.lit(rows.agg(F.percentile_approx(at, 0.5)).first()[0]), F.lit(True))
     return [rows.filter(early), rows.filter(~early)]
@@ -292,6 +308,14 @@ def _upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("user_id", "value", "event_type")
 
 
+def _upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark)
+    for i, batch in enumerate(_two_batches(spark, sf_dir)):
+        for _ in range(2):  # a batch that is given again is passed over
+            buckets.upsert(batch, path, ["user_id"], ["ts", "event_id"], writer="q", batch=i)
+    return buckets.read(spark, path).select("user_id", "value", "event_type")
+
+
 def _upsert_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"url": f"jdbc:derby:memory:c{uuid.uuid4().hex};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "primary_keys": ["user_id"], "order_by": ["ts", "event_id"], "table_path": "users"}
     for batch in _two_batches(spark, sf_dir):
@@ -301,6 +325,7 @@ def _upsert_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _add("cdc_upsert_files", _upsert_files, ORACLES["cdc_collapse"])
+_add("cdc_upsert_buckets", _upsert_buckets, ORACLES["cdc_collapse"])
 _add("cdc_upsert_jdbc", _upsert_jdbc, ORACLES["cdc_collapse"])
 
 

@@ -34,7 +34,7 @@ from weftline.operators import transforms as tr
 from weftline.plans import config, rules
 from weftline.plans.keys import primary_key, with_key
 from weftline.plans.sql import sql
-from weftline.sources import cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, stores
+from weftline.sources import buckets, cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, stores
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -195,6 +195,8 @@ def _read_files(job: Job, plugin: str, options: dict, name: str) -> Tables:
         skip = int(one.get("skip_header_row_number", 0))
         if job.streaming:
             df = streaming.stream_files(job.spark, one["path"], _schema(one), kind, one.get("max_files_per_trigger"))
+        elif one.get("bucketed"):
+            df = buckets.read(job.spark, one["path"])
         elif kind in formats.READERS:
             df = formats.READERS[kind](job.spark, one["path"], _schema(one), one)
         elif skip > 1 and kind in ("csv", "text"):
@@ -320,6 +322,12 @@ def _to_files(plugin: str) -> Callable[[Job, DataFrame, str, dict], object]:
 def _save_files(job: Job, df: DataFrame, path: str, options: dict):
     kind = options.get("file_format_type", "parquet").lower()
     target = sinks.placeholders(options["path"], _values(job, df, path))
+    if options.get("bucket_num"):
+        keys = _keys(df, options)
+        if not keys:
+            raise JobError("bucket_num needs primary_keys")
+        put = lambda rows, batch: buckets.upsert(rows, target, keys, options.get("order_by"), int(options["bucket_num"]), kind, target, batch)
+        return streaming.write_batches(df, put, job.checkpoint(target), job.interval) if df.isStreaming else put(df, None)
     if df.isStreaming:
         return streaming.write_files(df.drop(*sinks.HIDDEN), target, job.checkpoint(target), job.interval, kind)
     if changes.is_changelog(df) and _keys(df, options):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.plans.sql import HIDDEN
+from weftline.sources import changes
 
 
 def _parsed(schema: T.StructType, ignore_parse_errors: bool, value: Column | str = "value") -> Column:
@@ -92,13 +93,9 @@ DECODERS = {"canal_json": canal, "debezium_json": debezium, "maxwell_json": maxw
 
 
 def collapse(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The state that a changelog leaves: the last event of each key, unless it takes the row away.
-
-    max_by is aggregated before the shuffle, so a hot key is one row a task.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last"))
-    return last.filter(~F.col("_last._row_kind").isin("-D", "-U")).select(*keys, *[F.col(f"_last.`{c}`") for c in rest if c not in ("_row_kind", *order)])
+    """The state that a changelog leaves: the last event of each key (`changes.precedence`), unless it takes the row away."""
+    last = changes.last_changes(df, keys, order).filter(~F.col("_row_kind").isin(*changes.GONE))
+    return last.select(*keys, *[F.col(f"`{c}`") for c in last.columns if c not in ("_row_kind", *keys, *order)])
 
 
 def _messages(df: DataFrame, key: str | None, fields) -> DataFrame:

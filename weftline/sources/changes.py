@@ -8,9 +8,10 @@ no harm.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.plans.sql import HIDDEN
@@ -36,8 +37,28 @@ def plain_rows(df: DataFrame, target: str) -> DataFrame:
     return df.drop(*HIDDEN)
 
 
+#: Of changes that share their order columns, the later one is further right: the image after an update
+#: comes after the one before it, and where a row is taken away and added at one time, it is there.
+KINDS = ("-U", "-D", "+I", "+U")
+
+
+def precedence(df: DataFrame, keys: list[str], order: list[str] | None) -> Column:
+    """What the last change of a key is greatest in: the order columns, then the kind, then the row itself.
+
+    The row decides only between changes of one kind and one time, so that a
+    shuffle does not.  Without order columns changes come in the order of rows,
+    which holds for the keys whose changes lie in one partition, as in a topic
+    dealt by key.
+    """
+    if not order:
+        return F.monotonically_increasing_id()
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.coalesce("_row_kind", F.lit("+I"))) if is_changelog(df) else F.lit(0)
+    rest = [F.col(f"`{f.name}`") for f in df.schema if f.name not in (*keys, *HIDDEN) and not re.search("map<|variant", f.dataType.simpleString())]
+    return F.struct(*[F.col(f"`{c}`") for c in order], kind, F.xxhash64(*rest) if rest else F.lit(0))
+
+
 def last_changes(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row a key, with its `_row_kind`: the last by `order`, or in the order of rows.
+    """One row a key, with its `_row_kind`: the last by `precedence`.
 
     max_by is aggregated before the shuffle, so a hot key is one row a task.
     """
@@ -48,9 +69,8 @@ def last_changes(df: DataFrame, keys: list[str], order: list[str] | None = None)
         df = df.withColumn("_row_kind", F.lit("+I"))
     df = df.withColumn("_row_kind", F.coalesce("_row_kind", F.lit("+I")))
     df = df.drop(*[h for h in HIDDEN if h != "_row_kind"])
-    by = F.struct(*[F.col(f"`{c}`") for c in order]) if order else F.monotonically_increasing_id()
     rest = [c for c in df.columns if c not in keys]
-    last = df.withColumn("_order", by).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col("_order")).alias("_last"))
+    last = df.withColumn("_order", precedence(df, keys, order)).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col("_order")).alias("_last"))
     return last.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_last.`{c}`") for c in df.columns])
 
 

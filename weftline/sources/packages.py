@@ -120,7 +120,7 @@ def write(df: DataFrame, plugin: str, options: dict, keys: list[str]) -> None:
     """Appends; of changes by key, the last of each key, where none takes a row away."""
     format, made = WRITTEN[plugin](options)
     if changes.is_changelog(df) and keys and plugin in KEYED:
-        last = changes.last_changes(df, keys)
+        last = changes.last_changes(df, keys, options.get("order_by"))
         if not last.filter(F.col("_row_kind").isin(*changes.GONE)).isEmpty():
             raise changes.ChangelogError(f"{plugin}: rows are taken away, which its package cannot do")
         df = last.drop("_row_kind")
@@ -181,7 +181,7 @@ def write_iceberg(df: DataFrame, options: dict, keys: list[str], table: str | No
     elif data == "CUSTOM_PROCESSING" and options.get("custom_sql"):
         spark.sql(options["custom_sql"])
     if keys and (changes.is_changelog(df) or options.get("iceberg.table.upsert-mode-enabled")):
-        changes.last_changes(df, keys).createOrReplaceTempView("weftline_changes")
+        changes.last_changes(df, keys, options.get("order_by")).createOrReplaceTempView("weftline_changes")
         spark.sql(merge_statement(name, "weftline_changes", rows.columns, keys))
     else:
         changes.plain_rows(df, name).writeTo(name).append()

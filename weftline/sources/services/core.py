@@ -149,7 +149,7 @@ def write(df: DataFrame, name: str, options: dict, values: dict | None = None) -
     keys = listed(options.get("primary_keys") or (values or {}).get("primary_key") or [])
     keys = [k for k in keys if k]
     if changes.is_changelog(df) and keys and made.keyed:
-        df = changes.last_changes(df, keys)
+        df = changes.last_changes(df, keys, listed(options.get("order_by") or []))
         gone = F.col("_row_kind").isin(*changes.GONE)
         df = df.select(gone.alias("_gone"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "_row_kind"]), {"ignoreNullFields": "false"}).alias("row"))
     else:
