@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -82,12 +83,12 @@ def test_pipeline_stages_on_edges(spark, docs, none, labels, tmp_path):
             at = spark.read.parquet(str(tmp_path / name))
 
 
-HELPERS = ["_row", "_h", "_h1", "_h2", "_maybe", "_slot", "_bucket", "_bits", "_sha", "_size", "_copies", "_copy", "_lap", "_laps", "_last", "_place", "_source", "_shard", "_shards", "_s", "_i", "_start", "_words", "_text", "_id", "_drop", "_y", "_n", "key", "name", "n", "g", "size", "taken", "target", "score", "kept", "count", "part"]
+HELPERS = ["we`ird", "a.b", "_row", "_h", "_h1", "_h2", "_maybe", "_slot", "_bucket", "_bits", "_sha", "_size", "_copies", "_copy", "_lap", "_laps", "_last", "_place", "_source", "_shard", "_shards", "_s", "_i", "_start", "_words", "_text", "_id", "_drop", "_y", "_n", "key", "name", "n", "g", "size", "taken", "target", "score", "kept", "count", "part"]
 
 
 def test_stages_keep_clashing_columns(spark, tmp_path):
     rows = [(i, f"text number {i % 7} " + "with many more words " * 20 + str(i % 14), "s", *[f"{i}:{h}" for h in HELPERS]) for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{h}` string" for h in HELPERS))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{h.replace('`', '``')}` string" for h in HELPERS))
     spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     whole = {tuple(r) for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -113,6 +114,26 @@ def test_dedup_values(spark):
     assert kept == {(3, 2, 4, False), (2, 2, 4, True), (2, 2, 4, False), (None, 2, 4, False), (5, 4, 2, False), (4, 4, 2, True), (6, 6, 1, True), (7, 7, 1, True)}
 
 
+@pytest.mark.parametrize("most", [1 << 15, 1 << 17])
+def test_bitmaps_in_pieces(spark, most, monkeypatch):
+    digests = spark.range(20_000).select(F.xxhash64(F.when(F.col("id") % 10 == 0, F.col("id") % 1000).otherwise(F.col("id"))).alias("_h")).cache()
+    whole = exact_dedup.possibly_repeated(digests, 20_000)
+    pieces = exact_dedup.possibly_repeated(digests, 20_000, most=most)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(pieces) == key(whole) and 0 < whole.filter("_maybe").count() < 6000
+    monkeypatch.setattr(exact_dedup, "ROUNDS", 1)
+    assert exact_dedup.possibly_repeated(digests, 20_000, most=most).filter("_maybe").count() == 20_000
+
+
+@pytest.mark.parametrize("text", [".eyJ" + "eyJ" * 350_000, ".eyJaaaaaaaaa" * 80_000, "eyJ" + "a" * 1_000_000, "-----BEGIN " * 90_000])
+def test_secrets_of_long_runs_take_a_second(text):
+    find = secret_scan.find_secrets()
+    find(pa.array(["eyJabcdefgh.eyJabcdefgh.abcdefgh"]))
+    begin = time.monotonic()
+    find(pa.array([text]))
+    assert time.monotonic() - begin < 3
+
+
 @pytest.mark.parametrize("bits", [1, 16, 4096])
 def test_bitmaps_lose_no_repeat(spark, bits):
     docs = spark.range(3000).select("id", F.concat(F.lit("t"), F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(F.col("id"))).alias("text"))
@@ -273,7 +294,8 @@ def test_quality_and_near_stages_keep_what_they_should(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    for table in ("documents", "benchmark", "conversations"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
     theirs = duck.sql(queries.ORACLES[name])
     ours = queries.QUERIES[name](spark, DIR).select(*theirs.columns)
     assert sorted(map(tuple, ours.collect())) == sorted(theirs.fetchall())
@@ -429,6 +451,9 @@ def test_added_pii_whole():
 
 def test_trigram_queries():
     assert secret_scan.trigram_query("[0-9a-f]+") is None
+    assert secret_scan.trigram_query(r"(?<!z)ab(?:c|d)?\.ef{2}[gh]i$") == frozenset({frozenset({b"ab.", b"b.e", b".ef"}), frozenset({b"abc", b"bc.", b"c.e", b".ef"}), frozenset({b"abd", b"bd.", b"d.e", b".ef"})})
+    assert secret_scan.trigram_query(r"abc|x[a-z]{1}(?i:Y\x20Z)|\d*qrs+") == frozenset({frozenset({b"abc"}), frozenset({b"y z"}), frozenset({b"qrs"})})
+    assert secret_scan.trigram_query("(abc){1}[]x-]d?") == frozenset({frozenset({b"abc"})})
     assert secret_scan.trigram_query("ab(cd|ef)x") == frozenset({frozenset({b"abc", b"bcd", b"cdx"}), frozenset({b"abe", b"bef", b"efx"})})
 
 

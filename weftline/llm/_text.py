@@ -176,6 +176,16 @@ def map_text(docs: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return docs.select(*(cols or ("doc_id", "text"))).mapInArrow(fn, schema)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame):
+    """All columns as one struct `_row`, so that names of helpers cannot clash with them."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row")
+
+
 def id_type(docs: DataFrame, name: str = "doc_id") -> T.DataType:
     return docs.schema[name].dataType
 

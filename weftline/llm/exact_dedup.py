@@ -8,8 +8,10 @@ Pass 2 tests each row against that bitmap.  Only rows whose slot is in it can
 repeat (of the others about one in twenty is by chance); only they are
 shuffled, and all others pass straight through.
 
-The bitmap takes two bytes a row.  It is broadcast while its written size is
-under Spark's threshold; past that, digests are merged with its buckets.
+The bitmap takes two bytes a row.  It is tested in pieces of 32 MB, each
+broadcast to the digests of its range of slots, which is one piece for 16
+million rows.  Past ROUNDS pieces, half a billion rows, the filter would cost
+more than it saves and all digests (not their documents) are shuffled.
 Texts are never shuffled to find out whether they repeat: `dedup` marks them by
 a second, bounded bitmap of the hashes that do.
 
@@ -25,29 +27,42 @@ an empty table gives an empty result; extra columns, of any name, are kept by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm._bitmaps import bitmaps, filter_bits, join_groups, sifted, slot, tested
-from weftline.llm._text import documents, written
+from weftline.llm._bitmaps import BUCKET_BITS, MOST, bitmaps, filter_bits, join_groups, sifted, slot, tested
+from weftline.llm._text import documents, whole_row, written
 
 #: The white space of the contract, as a Java and RE2 character class.
 SPACE = r"[\x20\x09-\x0D]+"
 BITS_PER_ROW = 16
+#: Pieces in which the bitmap is tested.
+ROUNDS = 32
 
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
 
 
-def possibly_repeated(digests: DataFrame, n: int, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
+def possibly_repeated(digests: DataFrame, n: int, bits_per_row: int = BITS_PER_ROW, most: int = MOST) -> DataFrame:
     """The `n` rows of `digests` with `_maybe`: whether two rows or more set the Bloom slot of a row's `_h`.
 
-    A row whose digest repeats always has `_maybe`.
+    A row whose digest repeats always has `_maybe`.  At most `most` slots are broadcast at once.
     """
     bits = filter_bits(n, bits_per_row)
-    twice = digests.groupBy(slot(F.col("_h"), bits).alias("_slot")).count().filter("count > 1")
-    return tested(digests, "_h", bits, written(bitmaps(twice), "slots_set_twice"))
+    pieces = max(1, bits // most)
+    if pieces > ROUNDS:
+        return digests.withColumn("_maybe", F.lit(True))
+    at = slot(F.col("_h"), bits)
+    twice = digests.groupBy(at.alias("_slot")).count().filter("count > 1")
+    filled = written(bitmaps(twice), "slots_set_twice")
+    if pieces == 1:
+        return tested(digests, "_h", bits, F.broadcast(filled))
+    wide = most.bit_length() - 1
+    ranges = [tested(digests.filter(F.shiftright(at, wide) == r), "_h", bits, F.broadcast(filled.filter(F.shiftright("_bucket", wide - BUCKET_BITS) == r))) for r in range(pieces)]
+    return reduce(DataFrame.unionByName, ranges)
 
 
 def classes(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
@@ -78,7 +93,7 @@ def dedup(docs: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
     digests = written(docs.select(*hashes), "digests")
     maybe = possibly_repeated(digests, digests.count(), bits_per_row).filter("_maybe")
     again = written(maybe.groupBy("_h", "_h2").count().filter("count > 1").select("_h"), "repeated")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), hashes[0])
+    keyed = docs.select(whole_row(docs), hashes[0])
     marked = sifted(keyed, "_h", again, again.count())
     order = F.struct(F.col("_row.doc_id").isNull(), F.col("_row.doc_id"), F.xxhash64(F.to_json("_row")))
     sha = F.sha2(normalised(F.col("_row.text")).cast("binary"), 256)

@@ -52,8 +52,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm._bitmaps import join_groups
-from weftline.llm._text import LOWER, Hasher, chunks, distinct, documents, map_text, mix, shingles, written
+from weftline.llm._bitmaps import join_groups, sifted
+from weftline.llm._text import LOWER, Hasher, chunks, distinct, documents, map_text, mix, shingles, whole_row, written
 from weftline.llm.components import components
 
 GROUP = 256
@@ -450,5 +450,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, group: int =
     return linked.unionByName(alone)
 
 
+def dedup(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of `docs`, with all their columns, but one document alone of each component: that with the smallest doc_id.
+
+    Documents without a word are near to nothing and stay, as do those without
+    a doc_id.  Only documents that a bitmap of the dropped ids marks are joined
+    with them; the others are not shuffled.
+    """
+    found = near_duplicates(docs, k=k, percent=percent)
+    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct().withColumn("_h", F.xxhash64("_drop"))
+    drop = written(drop, "near_duplicates")
+    keyed = docs.select(whole_row(docs)).withColumn("_h", F.xxhash64("_row.doc_id"))
+    marked = sifted(keyed, "_h", drop, drop.count())
+    stay = marked.filter("_maybe").join(drop.select("_drop"), F.col("_row.doc_id") == F.col("_drop"), "left_anti")
+    return marked.filter(~F.col("_maybe")).unionByName(stay).select("_row.*")
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=90)

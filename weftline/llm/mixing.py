@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weftline.llm._text import documents, written
+from weftline.llm._text import documents, whole_row, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -155,7 +155,7 @@ def mix(docs: DataFrame, share: float = SHARE, laps: int = LAPS, block: int = BL
     rest = F.col("_words") - most * F.col("_shard_size")
     last = F.max(F.when(2 * F.col("_start") + F.col("size") <= 2 * rest, F.struct("_place", "_text")))
     cuts = written(rows.groupBy("_s", "_i").agg(F.first(most).alias("_laps"), last.alias("_last")), "cuts")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    keyed = docs.select(whole_row(docs))
     keyed = keyed.filter(F.col("_row.text").rlike(WORD)).withColumn("_place", _place(seed, F.col("_row.doc_id")))
     keyed = keyed.join(quotas.select("_source", "_shards"), F.col("_row.source").eqNullSafe(F.col("_source"))).withColumn("_shard", _shard_of("_place", "_shards"))
     keyed = keyed.join(cuts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_i")))

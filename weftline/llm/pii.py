@@ -42,7 +42,6 @@ _SCHEME = _ALNUM | frozenset("+.-")
 _URL = _ALNUM | frozenset("-._~:/?#[]@!$&'()*+,;=%")
 _AUTHORITY = _URL - frozenset("/?#")
 _TEL = _DIGITS | frozenset("().-")
-_LOWER = {ord(c.upper()): c for c in "abcdefghijklmnopqrstuvwxyz"}
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -227,7 +226,7 @@ def find(text: str, anchors: ahocorasick.Automaton) -> tuple[list[Span], list[Sp
     own: dict[str, list[Span]] = {k: [] for k in KINDS}
     added: list[Span] = []
     free_email = end_ip = end_card = end_phone = end_url = end_cue = 0
-    low = text.lower() if text.isascii() else text.translate(_LOWER)
+    low = text.encode().lower().decode()  # A-Z alone
     for last, (kind, length) in anchors.iter(low):
         at = last - length + 1
         if kind == "e":

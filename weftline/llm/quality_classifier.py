@@ -173,7 +173,10 @@ def keep(docs: DataFrame, model: tuple[float, np.ndarray], threshold: float = TH
                 ok[lo:hi] = score_bytes(buf, off, bias, w.value) >= threshold
             yield b.filter(pa.array(ok))
 
-    return map_text(docs, run, docs.schema, *[f"`{c}`" for c in docs.columns])
+    # By place, as mapInArrow does not take every name.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    schema = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, docs.schema, strict=True)])
+    return map_text(docs.toDF(*names), run, schema, *names).toDF(*docs.columns)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

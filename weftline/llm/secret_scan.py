@@ -19,8 +19,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
-from re import _constants as sre
-from re import _parser as sre_parser
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +50,7 @@ ADDED = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 
 #: A query: a disjunction of conjunctions of trigrams; None if it holds for every text.
@@ -62,7 +60,7 @@ _MOST = 64
 
 def trigram_query(pattern: str) -> Query:
     """Trigrams, in lower case, that every match of the pattern contains; None if none is mandatory."""
-    strings = _strings(list(sre_parser.parse(pattern)))
+    strings = _Strings(pattern).branches()
     out = set()
     for parts in strings:
         need = set()
@@ -76,35 +74,63 @@ def trigram_query(pattern: str) -> Query:
     return frozenset(a for a in out if not any(b < a for b in out))
 
 
-def _strings(nodes: list) -> list[tuple]:
-    """What the nodes may match, as tuples of characters and gaps (None); a gap stands for anything."""
-    done: list[tuple] = [()]
-    for op, arg in nodes:
-        if op is sre.LITERAL:
-            options = [(chr(arg),)]
-        elif op is sre.IN:
-            chars = [chr(a) for o, a in arg if o is sre.LITERAL]
-            options = [(c,) for c in chars] if len(chars) == len(arg) <= 8 else [(None,)]
-        elif op is sre.SUBPATTERN:
-            options = _strings(list(arg[3]))
-        elif op is sre.BRANCH:
-            options = [s for b in arg[1] for s in _strings(list(b))]
-        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
-            low, high, body = arg
-            inner = _strings(list(body))
-            if low == 0:
-                options = [(), *inner] if high == 1 else [(None,)]
-            else:
-                options = [s if high == 1 else (*s, None) for s in inner]
-        elif op is sre.AT:
-            options = [()]
-        else:
-            options = [(None,)]
-        options = list(dict.fromkeys(options))
-        if len(done) * len(options) > _MOST:
-            options = [(None,)]
-        done = list(dict.fromkeys((*a, *b) for a in done for b in options))
-    return done
+class _Strings:
+    """What a pattern may match, as tuples of characters and gaps (None); a gap stands for anything.
+
+    Read are characters and escapes, classes, groups with flags, alternatives,
+    repetitions, and assertions, which match nothing.
+    """
+
+    def __init__(self, pattern: str):
+        self.rest = pattern
+
+    def _take(self, expression: str) -> re.Match | None:
+        m = re.match(expression, self.rest, re.S)
+        if m:
+            self.rest = self.rest[m.end() :]
+        return m
+
+    def branches(self) -> list[tuple]:
+        out = self._sequence()
+        while self._take(r"\|"):
+            out += self._sequence()
+        return out
+
+    def _sequence(self) -> list[tuple]:
+        done: list[tuple] = [()]
+        while self.rest and self.rest[0] not in "|)":
+            options = list(dict.fromkeys(self._repeated(self._item())))
+            if len(done) * len(options) > _MOST:
+                options = [(None,)]
+            done = list(dict.fromkeys((*a, *b) for a in done for b in options))
+        return done
+
+    def _item(self) -> list[tuple]:
+        if m := self._take(r"\((?:\?(<?[=!])|\?[a-zA-Z-]*:|\?P<\w+>)?"):
+            inner = self.branches()
+            if not self._take(r"\)"):
+                raise ValueError("a group is not closed")
+            return [()] if m[1] else inner
+        if m := self._take(r"\[(\^?)(\]?(?:\\.|[^\]\\])*)\]"):
+            plain = not m[1] and not re.search(r"\\|.-.", m[2])
+            return [(c,) for c in m[2]] if plain and 0 < len(m[2]) <= 8 else [(None,)]
+        if m := self._take(r"\\x([0-9a-fA-F]{2})"):
+            return [(chr(int(m[1], 16)),)]
+        if m := self._take(r"\\(.)"):
+            return [()] if m[1] in "bBAZ" else [(None,)] if m[1].isalnum() else [(m[1],)]
+        if self._take(r"[$^]"):
+            return [()]
+        return [(None,)] if self._take(r"\.") else [(self._take(".")[0],)]
+
+    def _repeated(self, inner: list[tuple]) -> list[tuple]:
+        m = self._take(r"([?*+]|\{(\d*)(,?)(\d*)\})[?+]?")
+        if not m:
+            return inner
+        least = int(m[2] or 0) if m[2] is not None else int(m[1] == "+")
+        once = m[1] == "?" or (m[2] is not None and (m[4] or ("" if m[3] else m[2])) == "1")
+        if not least:
+            return [(), *inner] if once else [(None,)]
+        return inner if once else [(*s, None) for s in inner]
 
 
 class Scanner:
