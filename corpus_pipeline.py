@@ -17,11 +17,9 @@ in spark.checkpoint.dir.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weftline.llm import exact_dedup, jaccard, mixing, packing
 from weftline.llm import quality_classifier as quality
-from weftline.llm._bitmaps import sifted
 from weftline.llm._text import documents, written
 
 
@@ -35,17 +33,7 @@ def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word are near to nothing and stay, as do those without a doc_id.
-
-    Only documents that a bitmap of the dropped ids marks are joined with them; the others are not shuffled.
-    """
-    found = jaccard.near_duplicates(docs, k=5, percent=80)
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct().withColumn("_h", F.xxhash64("_drop"))
-    drop = written(drop, "near_duplicates")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_h", F.xxhash64("_row.doc_id"))
-    marked = sifted(keyed, "_h", drop, drop.count())
-    stay = marked.filter("_maybe").join(drop.select("_drop"), F.col("_row.doc_id") == F.col("_drop"), "left_anti")
-    return marked.filter(~F.col("_maybe")).unionByName(stay).select("_row.*")
+    return jaccard.dedup(docs, k=5, percent=80)
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
