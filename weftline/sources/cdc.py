@@ -25,12 +25,12 @@ def _event(kind: str, row: Column, when: Column | None = None) -> Column:
     return e if when is None else F.when(when, e)
 
 
-def _out(df: DataFrame, events: Column, table: Column, include: tuple[str | None, str | None], ids: tuple[Column, Column]) -> DataFrame:
+def _out(df: DataFrame, events: Column, table: Column, include: tuple[str | None, str | None], ids: tuple[Column, Column], *more: Column) -> DataFrame:
     for want, own in zip(include, ids, strict=True):
         if want:
             df = df.filter(own == want)
-    made = df.select(table.alias("_table"), F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
-    return made.select("e.row.*", "_table", "e._row_kind")
+    made = df.select(table.alias("_table"), *more, F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    return made.select("e.row.*", *[c for c in made.columns if c != "e"], "e._row_kind")
 
 
 def _strings(schema: T.StructType) -> T.StructType:
@@ -60,15 +60,22 @@ def canal(df: DataFrame, schema: T.StructType, database_include: str | None = No
     return _out(d, events, F.concat_ws(".", "database", "table"), (database_include, table_include), (F.col("database"), F.col("table")))
 
 
-def debezium(df: DataFrame, schema: T.StructType, ignore_parse_errors: bool = False) -> DataFrame:
-    """With or without an envelope of schema and payload."""
-    source = T.StructType([T.StructField("db", T.StringType()), T.StructField("table", T.StringType())])
+def debezium(df: DataFrame, schema: T.StructType, ignore_parse_errors: bool = False, positions: bool = False) -> DataFrame:
+    """With or without an envelope of schema and payload.
+
+    With `positions`, `_at` says where in the database's log a change is: the
+    log file, if there are several, the position, log sequence or change
+    number in it, and the time in milliseconds.
+    """
+    place = [("file", T.StringType()), ("pos", T.LongType()), ("lsn", T.LongType()), ("scn", T.LongType()), ("ts_ms", T.LongType())] if positions else []
+    source = T.StructType([T.StructField(n, t) for n, t in (("db", T.StringType()), ("table", T.StringType()), *place)])
     inner = T.StructType([T.StructField("op", T.StringType()), T.StructField("before", schema), T.StructField("after", schema), T.StructField("source", source)])
     m = _parsed(T.StructType([T.StructField("payload", inner), *inner.fields]), ignore_parse_errors)
     d = df.select(m.alias("m")).select(F.when(F.col("m.payload").isNotNull(), F.col("m.payload")).otherwise(F.struct("m.op", "m.before", "m.after", "m.source")).alias("p"))
     op = F.col("p.op")
     events = F.array(_event("+I", F.col("p.after"), op.isin("c", "r")), _event("-U", F.col("p.before"), (op == "u") & F.col("p.before").isNotNull()), _event("+U", F.col("p.after"), (op == "u") & F.col("p.after").isNotNull()), _event("-D", F.col("p.before"), op == "d"))
-    return _out(d, events, F.concat_ws(".", "p.source.db", "p.source.table"), (None, None), (op, op))
+    at = [F.struct(F.coalesce("p.source.file", F.lit("")).alias("file"), F.coalesce("p.source.pos", "p.source.lsn", "p.source.scn").alias("pos"), F.col("p.source.ts_ms").alias("ts_ms")).alias("_at")] if positions else []
+    return _out(d, events, F.concat_ws(".", "p.source.db", "p.source.table"), (None, None), (op, op), *at)
 
 
 def maxwell(df: DataFrame, schema: T.StructType, database_include: str | None = None, table_include: str | None = None, ignore_parse_errors: bool = False) -> DataFrame:

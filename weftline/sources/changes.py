@@ -43,18 +43,19 @@ KINDS = ("-U", "-D", "+I", "+U")
 
 
 def precedence(df: DataFrame, keys: list[str], order: list[str] | None) -> Column:
-    """What the last change of a key is greatest in: the order columns, then the kind, then the row itself.
+    """What the last change of a key is greatest in: the order columns, or the place `_at` in a log, then the kind, then the row itself.
 
     The row decides only between changes of one kind and one time, so that a
-    shuffle does not.  Without order columns changes come in the order of rows,
+    shuffle does not.  Without either changes come in the order of rows,
     which holds for the keys whose changes lie in one partition, as in a topic
     dealt by key.
     """
-    if not order:
+    by = [F.col(f"`{c}`") for c in order or (["_at"] if "_at" in df.columns else [])]
+    if not by:
         return F.monotonically_increasing_id()
     kind = F.array_position(F.array(*map(F.lit, KINDS)), F.coalesce("_row_kind", F.lit("+I"))) if is_changelog(df) else F.lit(0)
     rest = [F.col(f"`{f.name}`") for f in df.schema if f.name not in (*keys, *HIDDEN) and not re.search("map<|variant", f.dataType.simpleString())]
-    return F.struct(*[F.col(f"`{c}`") for c in order], kind, F.xxhash64(*rest) if rest else F.lit(0))
+    return F.struct(*by, kind, F.xxhash64(*rest) if rest else F.lit(0))
 
 
 def last_changes(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -68,9 +69,10 @@ def last_changes(df: DataFrame, keys: list[str], order: list[str] | None = None)
     if not is_changelog(df):
         df = df.withColumn("_row_kind", F.lit("+I"))
     df = df.withColumn("_row_kind", F.coalesce("_row_kind", F.lit("+I")))
+    placed = df.withColumn("_order", precedence(df, keys, order))
     df = df.drop(*[h for h in HIDDEN if h != "_row_kind"])
     rest = [c for c in df.columns if c not in keys]
-    last = df.withColumn("_order", precedence(df, keys, order)).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col("_order")).alias("_last"))
+    last = placed.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col("_order")).alias("_last"))
     return last.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_last.`{c}`") for c in df.columns])
 
 
