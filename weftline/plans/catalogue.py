@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
-from weftline.sources import buckets, cdc, changes, formats, jdbc
+from weftline.sources import buckets, capture, cdc, changes, formats, jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -329,6 +329,60 @@ _add("cdc_upsert_buckets", _upsert_buckets, ORACLES["cdc_collapse"])
 _add("cdc_upsert_jdbc", _upsert_jdbc, ORACLES["cdc_collapse"])
 
 
+# Tables and their logs
+_USER = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("event_type", T.StringType())])
+
+
+def _log(spark: SparkSession, sf_dir: str, path: str, low: int, high: int) -> None:
+    """Appends the events with low < event_id <= high to a log of a table of users: signups add a row, errors take it away, others change it."""
+    row = F.struct("user_id", F.col("value").cast("double").alias("value"), "event_type")
+    before = F.struct("user_id", F.lit(-1.0).alias("value"), F.lit("before").alias("event_type"))
+    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
+    source = F.struct(F.lit("shop").alias("db"), F.lit("users").alias("table"), F.format_string("bin.%06d", F.floor(F.col("event_id") / 1000)).alias("file"), F.col("event_id").alias("pos"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"))
+    message = F.struct(op.alias("op"), F.when(op != "c", before).alias("before"), F.when(op != "d", row).alias("after"), source.alias("source"))
+    table(spark, sf_dir, "events").filter((F.col("event_id") > low) & (F.col("event_id") <= high)).select(F.to_json(message)).write.mode("append").text(path)
+
+
+def _captured(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
+    """The users' table, read while its log goes on: each user as of another event; with `whole`, and all later changes."""
+    folder = _folder(spark)
+    log, last = f"{folder}/log", table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    low, high = last * 4 // 10, last * 7 // 10
+
+    def read() -> DataFrame:
+        _log(spark, sf_dir, log, low, high)
+        seen = F.col("event_id") <= low + F.pmod(F.xxhash64("user_id"), F.lit(high - low + 1))
+        rows = table(spark, sf_dir, "events").filter(seen).groupBy("user_id").agg(F.max_by(F.struct(F.col("value").cast("double").alias("value"), "event_type"), "event_id").alias("r"))
+        return rows.filter("r.event_type <> 'error'").select("user_id", "r.value", "r.event_type")
+
+    _log(spark, sf_dir, log, -1, low)
+    now = capture.capture(spark, log, _USER, ["user_id"], {}, folder, read, "shop.users")
+    if whole:
+        _log(spark, sf_dir, log, high, last)
+        now = capture.capture(spark, log, _USER, ["user_id"], {}, folder, read, "shop.users")  # goes on from its marks
+    return cdc.collapse(now, ["user_id"], [])
+
+
+def _between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of a stretch of the log, one by one."""
+    folder, last = _folder(spark), table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    _log(spark, sf_dir, f"{folder}/log", -1, last)
+    places = {f"{w}.specific-offset.{k}": v for w, at in (("startup", last // 3), ("stop", last // 2)) for k, v in (("file", f"bin.{at // 1000:06d}"), ("pos", at))}
+    df = capture.capture(spark, f"{folder}/log", _USER, ["user_id"], {"startup.mode": "specific", "stop.mode": "specific", **places}, folder, table="users")
+    return df.select("user_id", "value", "event_type", F.col("_at.pos").alias("event_id"), F.col("_row_kind").alias("kind"))
+
+
+def _users(until: str) -> str:
+    return f"SELECT user_id, CAST(value AS DOUBLE) AS value, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events WHERE event_id <= {until}) WHERE r = 1 AND event_type <> 'error'"
+
+
+_LAST = "(SELECT max(event_id) FROM events)"
+_STRETCH = f"event_id >= {_LAST} // 3 AND event_id <= {_LAST} // 2"
+_add("cdc_hand_over", lambda s, d: _captured(s, d, False), _users(f"{_LAST} * 7 // 10"))
+_add("cdc_initial", lambda s, d: _captured(s, d, True), _users(_LAST))
+_add("cdc_specific", _between, f"SELECT user_id, CAST(value AS DOUBLE) AS value, event_type, event_id, CASE event_type WHEN 'signup' THEN '+I' ELSE '+U' END AS kind FROM events WHERE event_type <> 'error' AND {_STRETCH} UNION ALL SELECT user_id, -1.0, 'before', event_id, CASE event_type WHEN 'error' THEN '-D' ELSE '-U' END FROM events WHERE event_type <> 'signup' AND {_STRETCH}")
+
+
 def _format(kind: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path, df = _folder(spark), table(spark, sf_dir, "part")

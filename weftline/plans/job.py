@@ -34,7 +34,7 @@ from weftline.operators import transforms as tr
 from weftline.plans import config, rules
 from weftline.plans.keys import primary_key, with_key
 from weftline.plans.sql import sql
-from weftline.sources import buckets, cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, stores
+from weftline.sources import buckets, capture, cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, splits, stores
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -222,6 +222,39 @@ def _jdbc(job: Job, options: dict, name: str) -> Tables:
     return {one.get("table_path", name): _keyed(jdbc.read(job.spark, {**options, **one}), one) for one in options.get("table_list") or [options]}
 
 
+#: Sources of changes, by the database whose log is read.
+CAPTURED = ("MySQL-CDC", "PostgreSQL-CDC", "Oracle-CDC", "SqlServer-CDC", "TiDB-CDC", "Opengauss-CDC", "MongoDB-CDC")
+
+
+def _captured(plugin: str) -> Callable[[Job, dict, str], Tables]:
+    """Tables and then their changes, from a log kept as files (`log.path`); the tables are read over JDBC."""
+
+    def make(job: Job, options: dict, name: str) -> Tables:
+        flat = _flat(options)
+        out = {}
+        for one in options.get("table-names-config") or [{"table": t} for t in options.get("table-names") or [name]]:
+            table = one["table"]
+            database = {"url": flat.get("base-url"), "table_path": table, **{k: flat[k] for k in ("username", "password", "driver", "properties") if k in flat}}
+            database |= {"split.size": flat.get("snapshot.split.size", splits.SIZE), "fetch_size": flat.get("snapshot.fetch.size", 1024)}
+            database |= {f"split.{k}": flat[f"{theirs}{k}"] for theirs, k in (("chunk-key.", "even-distribution.factor.lower-bound"), ("chunk-key.", "even-distribution.factor.upper-bound"), ("", "sample-sharding.threshold")) if f"{theirs}{k}" in flat}
+            if one.get("snapshotSplitColumn"):
+                database["partition_column"] = one["snapshotSplitColumn"]
+            schema = _schema({**options, **one})
+            keys = list(one.get("primaryKeys") or option(options.get("schema") or {}, "primaryKey.columnNames") or [])
+            if database["url"]:
+                schema = schema or jdbc.read(job.spark, database).schema
+                keys = keys or jdbc.table_key(job.spark, database, table)
+            if schema is None:
+                raise JobError(f"{plugin} needs a schema or a base-url")
+            read = (lambda d=database, s=schema: jdbc.read(job.spark, d).toDF(*s.names).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in s])) if database["url"] else None
+            folder = job.checkpoint(f"{plugin}_{table}" + ("" if job.streaming else f"_{job.id}"))
+            df = capture.capture(job.spark, flat["log.path"], schema, keys, flat, f"{folder}_capture", read, table, job.streaming)
+            out[table] = with_key(df, keys) if keys else df
+        return out
+
+    return make
+
+
 def _kafka(job: Job, options: dict, name: str) -> Tables:
     reader = job.spark.readStream if job.streaming else job.spark.read
     df = reader.format("kafka").options(**connectors.kafka_read(options)).load()
@@ -239,7 +272,7 @@ def _http(service: str) -> Callable[[Job, dict, str], Tables]:
 
 
 _STORES = ("LocalFile", "HdfsFile", "S3File", "OssFile", "OssJindoFile", "CosFile", "ObsFile", "FtpFile", "SftpFile")
-SOURCES: dict[str, Callable[[Job, dict, str], Tables]] = {"FakeSource": _fake, "Hive": _hive, "Jdbc": _jdbc, "Kafka": _kafka, **{s: _http(s) for s in http.SERVICES}, **{n: _files(n) for n in _STORES}}
+SOURCES: dict[str, Callable[[Job, dict, str], Tables]] = {"FakeSource": _fake, "Hive": _hive, "Jdbc": _jdbc, "Kafka": _kafka, **{c: _captured(c) for c in CAPTURED}, **{s: _http(s) for s in http.SERVICES}, **{n: _files(n) for n in _STORES}}
 
 
 def _with_client(name: str):
@@ -431,7 +464,7 @@ def _batches(job: Job, df: DataFrame, path: str, options: dict, write, plugin: s
 STREAMED = ("Console", *_STORES)
 SOURCES |= {**{n: _from_package(n) for n in packages.READ}, **{n: _from_service(n) for n in services.READ}, "Iceberg": _iceberg}
 SINKS: dict[str, Callable[[Job, DataFrame, str, dict], object]] = {"Console": _console, "Assert": _assert, "Hive": _save_table, "Jdbc": _save_jdbc, "Kafka": _save_kafka, "Http": _save_http, **{n: _service(n) for n in services.WRITTEN}, **{n: _package(n) for n in packages.WRITTEN if n not in services.WRITTEN}, "Iceberg": _save_iceberg, "S3-Redshift": _save_redshift, **{n: _to_files(n) for n in _STORES}}
-rules.declare(_STORES, tuple(http.SERVICES))
+rules.declare(_STORES, tuple(http.SERVICES), CAPTURED)
 
 
 def _inputs(job: Job, options: dict, last: str | None) -> Tables:

@@ -163,11 +163,15 @@ _NEEDED: dict[str, tuple[tuple[str, ...] | None, tuple[str, ...] | None]] = {
 }
 
 
-def declare(stores: tuple[str, ...], services: tuple[str, ...]) -> None:
+def declare(stores: tuple[str, ...], services: tuple[str, ...], captured: tuple[str, ...]) -> None:
     """Rules of the built-in plugins."""
     for name in stores:
         RULES.add("source", name, Each("tables_configs", (Required(("path",)), FILE_FORMATS)))
         RULES.add("sink", name, Required(("path",)), FILE_FORMATS, *SAVE_MODES[:2])
+    for name in captured:
+        choices = Choice("startup.mode", ("initial", "earliest", "latest", "specific", "timestamp")), Choice("stop.mode", ("never", "latest", "specific", "timestamp"))
+        needed = [When(f"{w}.mode", (m,), (f"{w}.{n}",)) for w in ("startup", "stop") for m, n in (("specific", "specific-offset.pos"), ("timestamp", "timestamp"))]
+        RULES.add("source", name, Required(("log.path",)), *choices, *needed)
     for name in services:
         RULES.add("source", name, Required(("url",)), Choice("method", ("GET", "POST", "PUT", "PATCH", "DELETE", "HEAD")), Choice("format", ("json", "text")))
     for name, (reading, writing) in _NEEDED.items():
