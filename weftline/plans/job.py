@@ -35,6 +35,7 @@ from weftline.plans import config, rules
 from weftline.plans.keys import primary_key, with_key
 from weftline.plans.sql import sql
 from weftline.sources import buckets, capture, cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, splits, stores
+from weftline.streaming import increasing
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -218,7 +219,15 @@ def _hive(job: Job, options: dict, name: str) -> Tables:
 
 def _jdbc(job: Job, options: dict, name: str) -> Tables:
     if job.streaming:
-        raise JobError("Jdbc is read in batch jobs only")
+        flat, out = _flat(options), {}
+        for one in options.get("table_list") or [options]:
+            given, schema = {**flat, **_flat(one)}, _schema({**options, **one})
+            given["dbapi.connect"] = option({**options, **one}, "dbapi.connect")
+            lacking = [n for n in ("dbapi.module", "dbapi.connect", "table_path", "partition_column") if given.get(n) is None]
+            if lacking or schema is None:
+                raise JobError(f"a stream of a Jdbc table needs {', '.join([*lacking, *([] if schema else ['schema'])])}")
+            out[given["table_path"]] = _keyed(increasing.stream(job.spark, given, schema), one)
+        return out
     return {one.get("table_path", name): _keyed(jdbc.read(job.spark, {**options, **one}), one) for one in options.get("table_list") or [options]}
 
 
@@ -392,10 +401,12 @@ def _save_jdbc(job: Job, df: DataFrame, path: str, options: dict):
     table = sinks.placeholders(options["table"], _values(job, df, path))
     if int(job.env.get("job.retry.times", 0)):  # a second try must not add rows twice
         options = {**options, "is_exactly_once": True}
+    writer, epoch = options.pop("_batch", (None, None))
     if (path, table) not in job.prepared:
-        jdbc.prepare(df, options, table)
+        if epoch is None or jdbc.epoch_of(job.spark, options, writer) is None:  # a job that goes on leaves its rows
+            jdbc.prepare(df, options, table)
         job.prepared.add((path, table))
-    jdbc.write(df, options, table)
+    jdbc.write(df, options, table, writer, epoch)
 
 
 def _save_kafka(job: Job, df: DataFrame, path: str, options: dict):
@@ -457,7 +468,9 @@ def _from_service(name: str) -> Callable[[Job, dict, str], Tables]:
 def _batches(job: Job, df: DataFrame, path: str, options: dict, write, plugin: str):
     """A sink of batch jobs on a stream: its code runs on each batch."""
     name = f"{plugin}_{path}_{options.get('table') or options.get('topic') or options.get('table_name') or options.get('url') or ''}"
-    return streaming.write_batches(df, lambda batch, _: write(job, batch, path, dict(options)), job.checkpoint(name), job.interval)
+    where = job.checkpoint(name)
+    numbered = (lambda i: {"_batch": (where[-255:], i)}) if plugin.lower() == "jdbc" else (lambda i: {})
+    return streaming.write_batches(df, lambda batch, i: write(job, batch, path, {**options, **numbered(i)}), where, job.interval)
 
 
 #: Sinks that take a stream as it is.
