@@ -28,7 +28,7 @@ def test_few_changes_write_few_buckets(spark, tmp_path):
     touched = buckets.upsert(batch, path, ["id"], ["at"])
     after = buckets.manifest(spark, path)
     assert 1 <= len(touched) <= 20 and {b for b in before["folders"] if before["folders"][b] != after["folders"][b]} == set(map(str, touched))
-    assert len(list((tmp_path / "t" / after["folders"][str(touched[0])]).glob("_bucket=*"))) == len(touched)
+    assert len(list((tmp_path / "t" / after["folders"][str(touched[0])][0]).glob("_bucket=*"))) == len(touched)
     want = sorted((i, "new" if i % 100 == 0 else f"n{i}") for i in range(2000))
     assert rows(buckets.read(spark, path)) == want
     assert rows(buckets.read(spark, path, 1)) == sorted((i, f"n{i}") for i in range(2000))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
 from weftline.sources import buckets, capture, cdc, changes, formats, jdbc
+from weftline.streaming import evolving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -383,6 +385,32 @@ _add("cdc_initial", lambda s, d: _captured(s, d, True), _users(_LAST))
 _add("cdc_specific", _between, f"SELECT user_id, CAST(value AS DOUBLE) AS value, event_type, event_id, CASE event_type WHEN 'signup' THEN '+I' ELSE '+U' END AS kind FROM events WHERE event_type <> 'error' AND {_STRETCH} UNION ALL SELECT user_id, -1.0, 'before', event_id, CASE event_type WHEN 'error' THEN '-D' ELSE '-U' END FROM events WHERE event_type <> 'signup' AND {_STRETCH}")
 
 
+def _evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose columns change twice: one renamed and one added; one widened and one dropped."""
+    folder, events = _folder(spark), table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    cuts = (-1, last // 3, last * 2 // 3, last)
+    place = lambda pos: F.struct(F.lit("b").alias("file"), pos.cast("long").alias("pos"))
+    score, kind, note = F.col("event_id") % 1000, F.col("event_type").alias("kind"), F.lit("n").alias("note")
+    shapes = [["user_id", score.alias("score"), note], ["user_id", score.alias("points"), note, kind], ["user_id", (F.col("event_id") * 10**10).alias("points"), kind]]
+    made = [[{"kind": "rename", "name": "score", "to": "points"}, {"kind": "add", "name": "kind", "type": "string"}], [{"kind": "modify", "name": "points", "type": "bigint"}, {"kind": "drop", "name": "note"}]]
+    for i, shape in enumerate(shapes):
+        rows = events.filter((F.col("event_id") > cuts[i]) & (F.col("event_id") <= cuts[i + 1]))
+        op = F.when(F.col("event_type") == "error", "d").otherwise("c")
+        row = F.struct(*shape)
+        rows.select(F.to_json(F.struct(op.alias("op"), F.when(op == "d", row).alias("before"), F.when(op == "c", row).alias("after"), place(F.col("event_id")).alias("source")))).write.mode("append").text(f"{folder}/log")
+        if i < 2:
+            told = {"op": "schema", "changes": made[i], "source": {"file": "b", "pos": cuts[i + 1]}}
+            spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("append").text(f"{folder}/log")
+    target = evolving.BucketTarget(spark, f"{folder}/table", ["user_id"], "q", 8)
+    first = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("score", T.IntegerType()), T.StructField("note", T.StringType())])
+    evolving.follow(spark, f"{folder}/log", first, f"{folder}/marks", target, f"{folder}/checkpoint").awaitTermination()
+    return buckets.read(spark, f"{folder}/table")
+
+
+_add("cdc_schema_changes", _evolved, f"SELECT user_id, CASE WHEN event_id > {_LAST} * 2 // 3 THEN event_id * 10000000000 ELSE event_id % 1000 END AS points, CASE WHEN event_id > {_LAST} // 3 THEN event_type END AS kind FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error'")
+
+
 def _format(kind: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path, df = _folder(spark), table(spark, sf_dir, "part")

@@ -35,7 +35,7 @@ from weftline.plans import config, rules
 from weftline.plans.keys import primary_key, with_key
 from weftline.plans.sql import sql
 from weftline.sources import buckets, capture, cdc, changes, connectors, formats, http, jdbc, packages, protobuf, readers, services, sinks, splits, stores
-from weftline.streaming import increasing
+from weftline.streaming import evolving, increasing
 from weftline.streaming import run as streaming
 
 Tables = dict[str, DataFrame]
@@ -58,6 +58,7 @@ class Job:
     metrics: dict[str, dict[str, int]] = field(default_factory=dict)
     prepared: set = field(default_factory=set)
     events: list[tuple[str, str]] = field(default_factory=list)
+    evolving: dict[int, dict] = field(default_factory=dict)
     listener: Callable[[str, str], None] | None = None
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -257,6 +258,11 @@ def _captured(plugin: str) -> Callable[[Job, dict, str], Tables]:
                 raise JobError(f"{plugin} needs a schema or a base-url")
             read = (lambda d=database, s=schema: jdbc.read(job.spark, d).toDF(*s.names).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in s])) if database["url"] else None
             folder = job.checkpoint(f"{plugin}_{table}" + ("" if job.streaming else f"_{job.id}"))
+            if str(flat.get("schema-changes.enabled", False)).lower() == "true" and job.streaming:
+                df = job.spark.readStream.format("text").schema("value string").load(flat["log.path"])
+                job.evolving[id(df)] = {"frame": df, "log": flat["log.path"], "schema": schema, "keys": keys, "options": flat, "folder": f"{folder}_capture", "read": read, "table": table}
+                out[table] = df
+                continue
             df = capture.capture(job.spark, flat["log.path"], schema, keys, flat, f"{folder}_capture", read, table, job.streaming)
             out[table] = with_key(df, keys) if keys else df
         return out
@@ -473,6 +479,24 @@ def _batches(job: Job, df: DataFrame, path: str, options: dict, write, plugin: s
     return streaming.write_batches(df, lambda batch, i: write(job, batch, path, {**options, **numbered(i)}), where, job.interval)
 
 
+def _evolve(job: Job, source: dict, path: str, options: dict, plugin: str):
+    """A table whose columns change, kept in a JDBC table or in a bucketed folder."""
+    keys = list(options.get("primary_keys") or source["keys"])
+    name = sinks.placeholders(str(options.get("table") or options.get("path") or ""), sinks.table_values(path, source["frame"], tuple(keys)))
+    where = job.checkpoint(f"{plugin}_{path}_{name}")
+    if plugin.lower() == "jdbc":
+        target: evolving.Target = evolving.JdbcTarget(job.spark, {**options, "primary_keys": keys}, name, where[-255:])
+    elif options.get("bucket_num"):
+        target = evolving.BucketTarget(job.spark, name, keys, where, int(options["bucket_num"]))
+    else:
+        raise JobError(f"{plugin} cannot follow changes of columns; Jdbc and files with bucket_num can")
+    marks = capture.begin_of(job.spark, source["log"], source["schema"], keys, source["options"], source["folder"], source["read"], source["table"], True)
+    begin = capture.Place(**marks["begin"]) if marks["begin"] else capture.NOWHERE
+    if marks["initial"]:
+        target.write(job.spark.read.parquet(f"{source['folder']}/rows"), 0)
+    return evolving.follow(job.spark, source["log"], source["schema"], source["folder"], target, where, source["table"], begin, job.interval)
+
+
 #: Sinks that take a stream as it is.
 STREAMED = ("Console", *_STORES)
 SOURCES |= {**{n: _from_package(n) for n in packages.READ}, **{n: _from_service(n) for n in services.READ}, "Iceberg": _iceberg}
@@ -627,6 +651,8 @@ def _run(now: Job, steps: dict, kept: list[DataFrame]) -> None:
         _put(now, last, tables)
         now.say("SOURCE_OPENED", plugin)
     for i, (plugin, options) in enumerate(steps["transform"]):
+        if now.evolving:
+            raise JobError("transforms take no part where columns change")
         tables = _inputs(now, options, last)
         last = options.pop("plugin_output", None) or options.pop("result_table_name", None) or f"transform_{i}"
         _put(now, last, _transform(now, plugin, tables, options))
@@ -646,7 +672,10 @@ def _run(now: Job, steps: dict, kept: list[DataFrame]) -> None:
             df = held[id(df)]
         if options.get("parallelism"):
             df = df.repartition(int(options["parallelism"]))
-        if df.isStreaming and plugin not in STREAMED:
+        if id(df) in now.evolving:
+            put = None
+            run = lambda df=df, path=path, options=options, plugin=plugin: _evolve(now, now.evolving[id(df)], path, dict(options), plugin)
+        elif df.isStreaming and plugin not in STREAMED:
             run = lambda df=df, path=path, options=options, write=write, plugin=plugin: _batches(now, df, path, options, write, plugin)
             put = None
         else:

@@ -158,6 +158,17 @@ def _begin(spark: SparkSession, log: str, schema: T.StructType, keys: list[str],
     return {"begin": asdict(high), "low": asdict(low), "initial": True}
 
 
+def begin_of(spark: SparkSession, log: str, schema: T.StructType, keys: list[str], options: dict, folder: str, read: Callable[[], DataFrame] | None, table: str | None, stream: bool) -> dict:
+    """The marks of a folder, found now if it has none."""
+    kept = _kept(spark, folder)
+    if kept is None:
+        kept = _begin(spark, log, schema, keys, options, read, folder, table)
+        if stream and str(options.get("stop.mode", "never")).lower() == "latest":
+            kept["stop"] = asdict(last_place(spark, log))
+        _keep(spark, folder, kept)
+    return kept
+
+
 def capture(spark: SparkSession, log: str, schema: T.StructType, keys: list[str], options: dict, folder: str, read: Callable[[], DataFrame] | None = None, table: str | None = None, stream: bool = False) -> DataFrame:
     """Rows of the schema with `_row_kind`, `_table` and their place `_at`.
 
@@ -165,12 +176,7 @@ def capture(spark: SparkSession, log: str, schema: T.StructType, keys: list[str]
     driver share, keeps the marks and the rows up to the hand-over; where it has
     them already they are used again.
     """
-    kept = _kept(spark, folder)
-    if kept is None:
-        kept = _begin(spark, log, schema, keys, options, read, folder, table)
-        if stream and str(options.get("stop.mode", "never")).lower() == "latest":
-            kept["stop"] = asdict(last_place(spark, log))
-        _keep(spark, folder, kept)
+    kept = begin_of(spark, log, schema, keys, options, folder, read, table, stream)
     lines = (spark.readStream if stream else spark.read).format("text").schema("value string").load(log)
     begin = after(Place(**kept["begin"])) if kept["begin"] else F.col("_at.ts_ms") >= int(options["startup.timestamp"])
     events = decoded(lines, schema, table, bool(options.get("ignore_parse_errors", False))).filter(begin)
