@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from weftline.functions import models
 from weftline.plans import rules
+from weftline.plans import job
 from weftline.plans.job import SINKS, SOURCES, run_job
 from weftline.sources import changes, services
-from weftline.sources.services import aws, messages, search
+from weftline.sources.services import aws, core, messages, search
 
 class Headers(dict):
     """Headers under any case of their names."""
@@ -214,7 +215,7 @@ def test_loaders_read(spark, server, frame):
     options = {"fenodes": server.host, "nodes": server.host, "database": "d", "table": "t", "username": "u", "password": "p", "doris.filter.query": "id < 9", "scan_filter": "id < 9"}
     for name in ("Doris", "StarRocks"):
         assert found(services.read(spark, name, options, SCHEMA)) == DICTS
-    assert "WHERE id < 9" in bodies(server)[0]["stmt"] and "`id`, `name`, `v`" in bodies(server)[1]["query"]
+    assert "WHERE (id < 9)" in bodies(server)[0]["stmt"] and "`id`, `name`, `v`" in bodies(server)[1]["query"]
     server.asked.clear()
     server.answers["POST", "/copy/query"] = {"code": 0}
     services.write(frame, "SelectDB-Cloud", {"load-url": server.host, "jdbc-url": server.host, "cluster-name": "c", "table.identifier": "d.t", "username": "u", "password": "p"})
@@ -349,41 +350,80 @@ def test_cloud_tables_and_queues(spark, server, frame):
     assert found(services.read(spark, "AmazonSqs", options, SCHEMA)) == DICTS
 
 
-def private_key():
-    """A small RSA key in PKCS #8, and its public numbers."""
-    p, q, e = (1 << 521) - 1, (1 << 607) - 1, 65537
-    n, d = p * q, pow(e, -1, (p - 1) * (q - 1))
-
-    def der(tag, body):
-        size = len(body)
-        head = bytes([size]) if size < 128 else (lambda s: bytes([128 | len(s)]) + s)(size.to_bytes((size.bit_length() + 7) // 8, "big"))
-        return bytes([tag]) + head + body
-
-    number = lambda x: der(2, x.to_bytes(x.bit_length() // 8 + 1, "big"))
-    inner = der(0x30, b"".join(map(number, (0, n, e, d, p, q, d % (p - 1), d % (q - 1), pow(q, -1, p)))))
-    whole = der(0x30, number(0) + der(0x30, bytes.fromhex("06092a864886f70d0101010500")) + der(4, inner))
-    text = base64.b64encode(whole).decode()
-    return f"-----BEGIN PRIVATE KEY-----\n{text}\n-----END PRIVATE KEY-----\n", n, e
-
-
 def test_google(spark, server, frame):
-    pem, n, e = private_key()
-    size = (n.bit_length() + 7) // 8
-    opened = pow(int.from_bytes(messages.rs256(b"text", pem), "big"), e, n).to_bytes(size, "big")
-    assert opened.startswith(b"\x00\x01\xff") and opened.endswith(hashlib.sha256(b"text").digest())
-    account = base64.b64encode(json.dumps({"client_email": "a@b", "private_key": pem, "token_uri": f"http://{server.host}/token"}).encode()).decode()
-    server.answers["POST", "/token"] = {"access_token": "T"}
+    account = base64.b64encode(json.dumps({"client_email": "a@b", "private_key": "", "token_uri": f"http://{server.host}/token"}).encode()).decode()
     server.answers["GET", "/v4/spreadsheets/s/values/p%21A1%3AC9"] = {"values": [["id", "name", "v"], [1, "a", 0.5], [2, "b\"é"], [3, "c", -1.0]]}
-    options = {"service_account_key": account, "sheet_id": "s", "sheet_name": "p", "range": "A1:C9", "url": f"http://{server.host}"}
+    options = {"access_token": "T", "sheet_id": "s", "sheet_name": "p", "range": "A1:C9", "url": f"http://{server.host}"}
     df = services.read(spark, "GoogleSheets", options)
     assert [json.loads(r.content) for r in df.collect()][0] == DICTS[0] and df.count() == 3
     server.asked.clear()
-    services.write(frame, "GoogleFirestore", {"project_id": "p", "collection": "c", "credentials": account, "primary_keys": ["id"], "url": f"http://{server.host}"})
+    services.write(frame, "GoogleFirestore", {"project_id": "p", "collection": "c", "credentials": account, "access_token": "T", "primary_keys": ["id"], "url": f"http://{server.host}"})
     sent = bodies(server, "/v1/projects/p/databases/(default)/documents:commit")[0]["writes"]
     assert sent[0]["update"] == {"name": "projects/p/databases/(default)/documents/c/1", "fields": {"id": {"integerValue": "1"}, "name": {"stringValue": "a"}, "v": {"doubleValue": 0.5}}}
     assert server.asked[-1][3]["Authorization"] == "Bearer T"
 
 
+def test_parts_by_hash(spark, server):
+    """Each part asks for its share, and the hosts take turns."""
+    asked = []
+
+    def rows(part):
+        return [r for i, r in enumerate(ROWS) if i % 2 == part]
+
+    def doris(q, b, s):
+        asked.append(json.loads(b)["stmt"])
+        return {"code": 0, "data": {"meta": [{"name": n} for n in SCHEMA.names], "data": [list(r) for r in rows(int(asked[-1][-2]))]}}
+
+    def starrocks(q, b, s):
+        asked.append(json.loads(b)["query"])
+        return "\n".join([json.dumps({"meta": [{"name": n} for n in SCHEMA.names]}), *(json.dumps({"data": list(r)}) for r in rows(int(asked[-1][-3])))]).encode()
+
+    def clickhouse(q, b, s):
+        asked.append(b.decode().removesuffix(" FORMAT JSONEachRow"))
+        return "\n".join(json.dumps(dict(zip(SCHEMA.names, r, strict=True))) for r in rows(int(asked[-1][-1]))).encode()
+
+    server.answers["POST", "/api/query/default_cluster/d"], server.answers["POST", "/api/v1/catalogs/default_catalog/databases/d/sql"], server.answers["POST", "/"] = doris, starrocks, clickhouse
+    options = {"fenodes": server.host, "nodes": server.host, "host": server.host, "database": "d", "table": "t", "sql": "SELECT * FROM t;", "partition_column": "id", "partition_num": 2}
+    for name, share in (("Doris", "MURMUR"), ("StarRocks", "MURMUR"), ("Clickhouse", "cityHash64")):
+        asked.clear()
+        df = services.read(spark, name, options, SCHEMA)
+        assert found(df) == DICTS and len(asked) == 2 and all(share in a and "WHERE" in a for a in asked), name
+
+
+def test_a_queue_is_settled_after_the_sinks(spark, server, tmp_path):
+    """Messages are deleted when the sinks have ended, once each; a job that fails leaves them."""
+    queue, hidden, deleted, sent = {}, set(), [], []
+
+    def asked(q, b, s):
+        target, body = server.asked[-1][3]["X-Amz-Target"].split(".")[1], json.loads(b)
+        if target == "SendMessageBatch":
+            sent.extend(x["MessageDeduplicationId"] for x in body["Entries"])
+        if target == "ReceiveMessage":
+            page = [k for k in queue if k not in hidden][:2]
+            hidden.update(page)
+            return {"Messages": [{"Body": queue[k], "ReceiptHandle": k} for k in page]}
+        if target == "DeleteMessageBatch":
+            deleted.extend(x["ReceiptHandle"] for x in body["Entries"])
+        return {}
+
+    server.answers["POST", "/"] = asked
+    queue.update({f"h{i}": json.dumps({"id": i}) for i in range(25)})
+    source = {"plugin_name": "AmazonSqs", "url": f"http://{server.host}/1/q", "region": "r", "access_key_id": "k", "secret_access_key": "s", "delete_message": True, "parallelism": 2, "schema": {"fields": {"id": "bigint"}}}
+    sink = {"plugin_name": "LocalFile", "path": str(tmp_path / "out"), "file_format_type": "parquet"}
+    with pytest.raises(ValueError):
+        job.run_job(spark, {"source": [source], "sink": [{"plugin_name": "own"}]}, plugins={"own": lambda *a: int("no")})
+    assert not deleted and len(hidden) == 25
+    hidden.clear()  # their visibility timeout ends
+    job.run_job(spark, {"source": [source], "sink": [sink, {**sink, "path": str(tmp_path / "two")}]})
+    for name in ("out", "two"):
+        assert sorted(r.id for r in spark.read.parquet(str(tmp_path / name)).collect()) == list(range(25))
+    assert sorted(deleted) == sorted(queue)
+    made = services.WRITTEN["AmazonSqs"]({**source, "message_group_id": "g"}, {})
+    for _ in range(2):  # a task that runs again names its rows the same
+        made.send([core.Row({"id": 1}), core.Row({"id": 1})], "0-0")
+    assert len(sent) == 4 and len(set(sent)) == 2
+
+
 def test_records_of_apis(spark, server):
     server.answers["POST", "/rpc"] = {"result": "0x1f"}
     assert services.read(spark, "Web3j", {"url": f"http://{server.host}/rpc"}, T._parse_datatype_string("blockNumber long, timestamp string")).first().blockNumber == 31

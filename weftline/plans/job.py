@@ -563,18 +563,54 @@ def _retried(work: Callable[[], object], times: int, wait: float):
             time.sleep(wait)
 
 
+def _width(df: DataFrame):
+    """Bytes of a row: fixed ones of numbers, times and flags, and the lengths of texts; of nested values those of their JSON."""
+    fixed = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+    total, parts = 0, []
+    for f in df.schema:
+        column = F.col("`" + f.name.replace("`", "``") + "`")
+        if type(f.dataType) in fixed:
+            total += fixed[type(f.dataType)]
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(column), F.lit(0)))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)))
+    out = F.lit(total).cast("long")
+    for p in parts:
+        out = out + p
+    return out
+
+
+def _watched(job: Job, query, name: str):
+    """A started query with its counters, and with a watchdog where `checkpoint.timeout` (milliseconds) says so."""
+    if not hasattr(query, "isActive"):
+        return query
+    job.spark.streams.addListener(streaming.Counters(query, job.metrics, name))
+    if timeout := job.env.get("checkpoint.timeout"):
+        streaming.watch(query, float(timeout) / 1000, lambda why: job.say("JOB_FAILED", why))
+    return query
+
+
 def _counted(job: Job, df: DataFrame, group: str, name: str) -> tuple[DataFrame, Callable[[], None]]:
-    """A frame that counts its rows as a sink reads them, and what puts the count into the job's metrics."""
-    seen = Observation(f"{group}_{uuid.uuid4().hex[:8]}")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    """A frame that counts its rows and bytes as a sink reads them, and what puts them and their rates into the job's metrics.
+
+    Spark counts a task's rows once, however often it runs.  Bytes are those of
+    numbers as they are held, and of texts in UTF-8.
+    """
+    seen, begin = Observation(f"{group}_{uuid.uuid4().hex[:8]}"), time.monotonic()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes"))
 
     def put() -> None:
-        got: list[int] = []
-        look = threading.Thread(target=lambda: got.append(seen.get["rows"]), daemon=True)
+        got: list[dict] = []
+        look = threading.Thread(target=lambda: got.append(seen.get), daemon=True)
         look.start()
         look.join(10)  # a sink that never read the frame leaves no count
         if got:
-            job.metrics.setdefault(group, {})[name] = job.metrics.get(group, {}).get(name, 0) + got[0]
+            took = max(time.monotonic() - begin, 1e-3)
+            for what, n in (("Count", got[0]["rows"]), ("Bytes", got[0]["bytes"] or 0)):
+                of = job.metrics.setdefault(group.replace("Count", what), {})
+                of[name] = of.get(name, 0) + n
+                job.metrics.setdefault(group.replace("Count", {"Count": "QPS", "Bytes": "BytesPerSeconds"}[what]), {})[name] = n / took
 
     return counted, put
 
@@ -590,7 +626,7 @@ def _find(job: Job, plugin: str, known: dict):
 
 
 #: Options of `env` that may be written nested.
-_ENV = ("job.mode", "job.name", "job.retry.times", "job.retry.interval.seconds", "checkpoint.interval", "checkpoint.path", "shade.identifier", "restore.from")
+_ENV = ("job.mode", "job.name", "job.retry.times", "job.retry.interval.seconds", "checkpoint.interval", "checkpoint.timeout", "checkpoint.path", "shade.identifier", "restore.from")
 
 
 def run_job(spark: SparkSession, job: dict | str, variables: dict[str, str] | None = None, plugins: dict[str, Callable] | None = None, clients: dict[str, Callable] | None = None, listener: Callable[[str, str], None] | None = None) -> Job:
@@ -624,8 +660,10 @@ def run_job(spark: SparkSession, job: dict | str, variables: dict[str, str] | No
     kept: list[DataFrame] = []
     try:
         _run(now, steps, kept)
+        services.settle()
     except Exception as e:
         now.say("JOB_FAILED", str(e)[:500])
+        services.settle(safe=False)
         raise
     finally:
         for df in kept:
@@ -686,7 +724,8 @@ def _run(now: Job, steps: dict, kept: list[DataFrame]) -> None:
         if df.isStreaming and now.env.get("restore.from"):
             streaming.restore(now.spark, str(now.env["restore.from"]), str(now.env.get("checkpoint.path") or now.spark.conf.get("spark.checkpoint.dir")))
             now.env.pop("restore.from")
-        now.results.append(_retried(run, int(now.env.get("job.retry.times", 0)), float(now.env.get("job.retry.interval.seconds", 3))))
+        done = _retried(run, int(now.env.get("job.retry.times", 0)), float(now.env.get("job.retry.interval.seconds", 3)))
+        now.results.append(_watched(now, done, f"{plugin}.{path}"))
         if put:
             put()
         now.say("SINK_CLOSED" if not df.isStreaming else "SINK_STARTED", plugin)

@@ -11,7 +11,7 @@ import urllib.parse
 
 import pyarrow as pa
 
-from weftline.sources.services.core import ServiceError, Sink, Source, ask, basic, call, lines, listed, sink, source, web
+from weftline.sources.services.core import ServiceError, Sink, Source, ask, basic, call, lines, lines_of, listed, sink, source, web
 
 
 @sink("Clickhouse")
@@ -46,15 +46,31 @@ def _literal(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _shares(options: dict) -> tuple[str | None, int]:
+    """`partition_column` and `partition_num`: rows are read in so many parts by the column's hash."""
+    column = options.get("partition_column")
+    return column, int(options.get("partition_num", 8)) if column else 1
+
+
+def _where(*conditions: str | None) -> str:
+    there = [f"({c})" for c in conditions if c]
+    return f" WHERE {' AND '.join(there)}" if there else ""
+
+
 @source("Clickhouse")
 def from_clickhouse(options: dict, schema) -> Source:
+    """The rows of a query, in parts by a column's hash where one is named; hosts take turns."""
     hosts = listed(options["host"])
+    column, n = _shares(options)
 
     def fetch(part):
-        said = call("POST", web(hosts[0]), options["sql"].rstrip("; \n") + " FORMAT JSONEachRow", {"Content-Type": "text/plain", **basic(options)}, options, {"database": options["database"], "output_format_json_quote_64bit_integers": "0"})
-        yield from (json.loads(x) for x in said.decode().splitlines() if x.strip())
+        sql = options["sql"].rstrip("; \n")
+        if column:  # nulls hash to null, and are of the first part
+            sql = f"SELECT * FROM ({sql}) AS q WHERE coalesce(cityHash64(toString(`{column}`)) % {n}, 0) = {part}"
+        for line in lines_of("POST", web(hosts[part % len(hosts)]), sql + " FORMAT JSONEachRow", {"Content-Type": "text/plain", **basic(options)}, options, {"database": options["database"], "output_format_json_quote_64bit_integers": "0"}):
+            yield json.loads(line)
 
-    return Source([0], fetch)
+    return Source(list(range(n)), fetch)
 
 
 def _stream_load(options: dict, host: str, label: str, rows: list[dict], more: dict) -> None:
@@ -116,39 +132,43 @@ def selectdb(options: dict, values: dict) -> Sink:
 
 @source("Doris")
 def from_doris(options: dict, schema) -> Source:
-    """The rows of a query by the frontends' SQL interface."""
-    host = web(listed(options["fenodes"])[0])
+    """The rows of a query by the frontends' SQL interface, in parts by a column's hash where one is named."""
+    hosts = listed(options["fenodes"])
     columns = options.get("doris.read.field") or "*"
-    where = f" WHERE {options['doris.filter.query']}" if options.get("doris.filter.query") else ""
+    column, n = _shares(options)
 
     def fetch(part):
+        host = web(hosts[part % len(hosts)])
+        share = f"COALESCE(MOD(ABS(MURMUR_HASH3_32(CAST(`{column}` AS STRING))), {n}), 0) = {part}" if column else None
+        where = _where(options.get("doris.filter.query"), share)
         said = ask("POST", f"{host}/api/query/default_cluster/{options['database']}", {"stmt": f"SELECT {columns} FROM `{options['table']}`{where}"}, basic(options), options)
         if said.get("code") not in (0, None):
             raise ServiceError(str(said.get("msg")))
         names = [c["name"] for c in said["data"]["meta"]]
         yield from (dict(zip(names, r, strict=True)) for r in said["data"]["data"])
 
-    return Source([0], fetch)
+    return Source(list(range(n)), fetch)
 
 
 @source("StarRocks")
 def from_starrocks(options: dict, schema) -> Source:
-    """The rows of a query by the frontends' SQL interface, one JSON a line."""
-    host = web(listed(options.get("nodeUrls") or options["nodes"])[0])
-    where = f" WHERE {options['scan_filter']}" if options.get("scan_filter") else ""
+    """The rows of a query by the frontends' SQL interface, one JSON a line, in parts by a column's hash where one is named."""
+    hosts = listed(options.get("nodeUrls") or options["nodes"])
+    column, n = _shares(options)
     columns = ", ".join(f"`{c}`" for c in schema.names) if schema is not None else "*"
 
     def fetch(part):
-        said = call("POST", f"{host}/api/v1/catalogs/default_catalog/databases/{options['database']}/sql", {"query": f"SELECT {columns} FROM `{options['table']}`{where};"}, basic(options), options)
+        share = f"COALESCE(MOD(ABS(MURMUR_HASH3_32(CAST(`{column}` AS STRING))), {n}), 0) = {part}" if column else None
+        where = _where(options.get("scan_filter"), share)
         names: list[str] = []
-        for x in said.decode().splitlines():
-            one = json.loads(x) if x.strip() else {}
+        for x in lines_of("POST", f"{web(hosts[part % len(hosts)])}/api/v1/catalogs/default_catalog/databases/{options['database']}/sql", {"query": f"SELECT {columns} FROM `{options['table']}`{where};"}, basic(options), options):
+            one = json.loads(x)
             if "meta" in one:
                 names = [c["name"] for c in one["meta"]]
             elif "data" in one:
                 yield dict(zip(names, one["data"], strict=True))
 
-    return Source([0], fetch)
+    return Source(list(range(n)), fetch)
 
 
 def _line(measurement: str, tags: dict, fields: dict, at: int | None) -> str:

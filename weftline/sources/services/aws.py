@@ -110,10 +110,11 @@ def _queue(options: dict, action: str, body: dict) -> dict:
 
 @sink("AmazonSqs")
 def sqs(options: dict, values: dict) -> Sink:
-    group = options.get("message_group_id")
+    """Messages by tens; in a queue with groups the number of a row names it, so a task that runs again adds none."""
+    group, load = options.get("message_group_id"), uuid.uuid4().hex
 
     def send(rows, number):
-        said = _queue(options, "SendMessageBatch", {"Entries": [{"Id": str(i), "MessageBody": json.dumps(r.fields, ensure_ascii=False), **({"MessageGroupId": group, "MessageDeduplicationId": uuid.uuid4().hex} if group else {})} for i, r in enumerate(rows)]})
+        said = _queue(options, "SendMessageBatch", {"Entries": [{"Id": str(i), "MessageBody": json.dumps(r.fields, ensure_ascii=False), **({"MessageGroupId": group, "MessageDeduplicationId": f"{load}-{number}-{i}"} if group else {})} for i, r in enumerate(rows)]})
         if said.get("Failed"):
             raise ServiceError(json.dumps(said["Failed"][0]))
 
@@ -122,15 +123,27 @@ def sqs(options: dict, values: dict) -> Sink:
 
 @source("AmazonSqs")
 def from_sqs(options: dict, schema) -> Source:
-    """What the queue gives until an answer is empty; messages are deleted where `delete_message` says so."""
+    """What the queue gives until an answer is empty, to `parallelism` tasks.
+
+    With `delete_message` the messages are deleted when the job's sinks have
+    ended; they must end within the queue's visibility timeout, or the messages
+    come again.
+    """
+    deletes = bool(options.get("delete_message"))
 
     def fetch(part):
         while True:
             page = _queue(options, "ReceiveMessage", {"MaxNumberOfMessages": 10}).get("Messages") or []
-            yield from (json.loads(m["Body"]) for m in page)
-            if page and options.get("delete_message"):
-                _queue(options, "DeleteMessageBatch", {"Entries": [{"Id": str(i), "ReceiptHandle": m["ReceiptHandle"]} for i, m in enumerate(page)]})
+            for m in page:
+                body = json.loads(m["Body"])
+                yield {**body, "_receipt": m["ReceiptHandle"]} if deletes else body
             if not page:
                 return
 
-    return Source([0], fetch)
+    def settle(receipts):
+        for at in range(0, len(receipts), 10):
+            said = _queue(options, "DeleteMessageBatch", {"Entries": [{"Id": str(i), "ReceiptHandle": r} for i, r in enumerate(receipts[at : at + 10])]})
+            if said.get("Failed"):
+                raise ServiceError(json.dumps(said["Failed"][0]))
+
+    return Source(list(range(int(options.get("parallelism", 1)))), fetch, settle if deletes else None)

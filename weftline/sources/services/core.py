@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.sources import changes
+from weftline.sources import changes, shared
 
 
 class ServiceError(OSError):
@@ -55,8 +55,11 @@ class Sink:
 
 @dataclass
 class Source:
+    """`fetch` gives the records of a part; with `settle` each has a `_receipt`, and these are given back when the rows are safe."""
+
     parts: list
     fetch: Callable[[object], Iterable[dict]]
+    settle: Callable[[list[str]], None] | None = None
 
 
 WRITTEN: dict[str, Callable[[dict, dict], Sink]] = {}
@@ -95,6 +98,23 @@ def web(host: str) -> str:
 
 def call(method: str, url: str, body=None, headers: dict | None = None, options: dict | None = None, params: dict | None = None) -> bytes:
     """One request with its retries; 429, 5xx and broken connections are tried again after a pause that doubles."""
+
+    def whole(answer) -> bytes:
+        with answer:
+            return answer.read()
+
+    return _requested(method, url, body, headers, options, params, whole)
+
+
+def lines_of(method: str, url: str, body=None, headers: dict | None = None, options: dict | None = None, params: dict | None = None) -> Iterator[bytes]:
+    """The lines of an answer as they come, so that it is never held whole; one that breaks off fails its task."""
+    with _requested(method, url, body, headers, options, params, lambda answer: answer) as answer:
+        for line in answer:
+            if line.strip():
+                yield line
+
+
+def _requested(method: str, url: str, body, headers: dict | None, options: dict | None, params: dict | None, read: Callable):
     options = options or {}
     if params:
         url += ("&" if "?" in url else "?") + urllib.parse.urlencode(params)
@@ -110,8 +130,8 @@ def call(method: str, url: str, body=None, headers: dict | None = None, options:
     for tried in range(tries + 1):
         try:
             asked = urllib.request.Request(url, data, headers, method=method)
-            with urllib.request.urlopen(asked, timeout=float(options.get("http_socket_timeout_ms") or options.get("socket_timeout_ms") or 60_000) / 1000, context=check if url.startswith("https") else None) as answer:
-                return answer.read()
+            answer = urllib.request.urlopen(asked, timeout=float(options.get("http_socket_timeout_ms") or options.get("socket_timeout_ms") or 60_000) / 1000, context=check if url.startswith("https") else None)
+            return read(answer)
         except OSError as e:
             refused = isinstance(e, urllib.error.HTTPError) and e.code != 429 and e.code < 500
             if tried == tries or refused:
@@ -174,6 +194,25 @@ def write(df: DataFrame, name: str, options: dict, values: dict | None = None) -
     df.mapInArrow(run, "sent long").write.format("noop").mode("overwrite").save()
 
 
+_unsettled: list[tuple[DataFrame, Callable[[list[str]], None]]] = []
+
+
+def settle(safe: bool = True) -> None:
+    """Gives back the receipts of all queues that were read, where their rows are safe; else forgets them, so the messages come again."""
+    while _unsettled:
+        receipts, give = _unsettled.pop()
+        if not safe:
+            continue
+
+        def run(batches: Iterator[pa.RecordBatch], give=give) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if len(b):
+                    give(b.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["given"])
+
+        receipts.mapInArrow(run, "given long").write.format("noop").mode("overwrite").save()
+
+
 def read(spark: SparkSession, name: str, options: dict, schema: T.StructType | None = None) -> DataFrame:
     """Rows of the schema; without one, each record as JSON in one column `content`."""
     made = READ[name](options, schema)
@@ -182,18 +221,31 @@ def read(spark: SparkSession, name: str, options: dict, schema: T.StructType | N
     if len(parts) > 1:
         asked = asked.repartitionById(len(parts), F.col("i").cast("int"))
 
+    settles = made.settle is not None
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], pa.string()) for i in (0, 1)], ["content", "receipt"])
+
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             for part in b.column(0).to_pylist():
-                held = []
+                held: list[tuple] = []
                 for record in fetch(json.loads(part)):
-                    held.append(json.dumps(record, ensure_ascii=False))
+                    receipt = record.pop("_receipt", None) if settles else None
+                    held.append((json.dumps(record, ensure_ascii=False), receipt))
                     if len(held) == 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["content"])
+                        yield packed(held)
                         held = []
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["content"])
-
-    df = asked.select("part").mapInArrow(run, "content string")
+                yield packed(held)
+
+    df = asked.select("part").mapInArrow(run, "content string, receipt string")
+    if made.settle is not None:
+        # What is taken from a queue is written before it is given back, and read from there however often.
+        path = shared.folder(spark, "queues")
+        df.write.parquet(path)
+        df = spark.read.schema("content string, receipt string").parquet(path)
+        _unsettled.append((df.select("receipt"), made.settle))
+    df = df.select("content")
     if schema is None:
         return df
     return df.select(F.from_json("content", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

@@ -133,7 +133,11 @@ def rabbit(options: dict, values: dict) -> Sink:
 
 @source("Rabbitmq")
 def from_rabbit(options: dict, schema) -> Source:
-    """What a queue holds when it is read; messages are taken away."""
+    """What a queue holds when it is read, by `parallelism` tasks.
+
+    The management interface takes messages away as it gives them, so those of
+    a task that is lost are lost: for queues that must lose none, use another way.
+    """
     at, host = _rabbit(options)
 
     def fetch(part):
@@ -145,7 +149,7 @@ def from_rabbit(options: dict, schema) -> Source:
             if not page:
                 return
 
-    return Source([0], fetch)
+    return Source(list(range(int(options.get("parallelism", 1)))), fetch)
 
 
 @sink("Pulsar")
@@ -190,33 +194,20 @@ def from_myhours(options: dict, schema) -> Source:
     return Source([0], fetch)
 
 
-def _der(data: bytes, at: int = 0) -> list[bytes]:
-    """The bodies of the elements that a DER text holds side by side."""
-    out = []
-    while at < len(data):
-        size, at = data[at + 1], at + 2
-        if size & 128:
-            n = size & 127
-            size, at = int.from_bytes(data[at : at + n], "big"), at + n
-        out.append(data[at : at + size])
-        at += size
-    return out
-
-
 def rs256(text: bytes, pem: str) -> bytes:
-    """The RSA signature of SHA-256, by a private key in PKCS #8."""
-    body = base64.b64decode("".join(x for x in pem.splitlines() if "-----" not in x))
-    key = _der(_der(_der(_der(body)[0])[2])[0])
-    modulus, private = int.from_bytes(key[1], "big"), int.from_bytes(key[3], "big")
-    size = (modulus.bit_length() + 7) // 8
-    # The fixed head that names SHA-256 before a digest.
-    digest = bytes.fromhex("3031300d060960864801650304020105000420") + hashlib.sha256(text).digest()
-    padded = b"\x00\x01" + b"\xff" * (size - len(digest) - 3) + b"\x00" + digest
-    return pow(int.from_bytes(padded, "big"), private, modulus).to_bytes(size, "big")
+    """The RSA signature of SHA-256, by a private key in PKCS #8; made by the `cryptography` package."""
+    try:
+        from cryptography.hazmat.primitives import hashes, serialization
+        from cryptography.hazmat.primitives.asymmetric import padding
+    except ImportError as e:
+        raise ServiceError("a service account's key needs the cryptography package; an access_token as an option does not") from e
+    return serialization.load_pem_private_key(pem.encode(), None).sign(text, padding.PKCS1v15(), hashes.SHA256())
 
 
 def google_token(account: dict, scope: str, options: dict) -> str:
-    """An access token for a service account."""
+    """The option `access_token`, or a token for a service account."""
+    if options.get("access_token"):
+        return options["access_token"]
     part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).rstrip(b"=")
     now = int(time.time())
     claim = part({"alg": "RS256", "typ": "JWT"}) + b"." + part({"iss": account["client_email"], "scope": scope, "aud": account["token_uri"], "iat": now, "exp": now + 3600})
@@ -235,7 +226,7 @@ def from_sheets(options: dict, schema) -> Source:
     host = options.get("url", "https://sheets.googleapis.com")
 
     def fetch(part):
-        token = google_token(_account(options["service_account_key"]), "https://www.googleapis.com/auth/spreadsheets.readonly", options)
+        token = google_token(_account(options.get("service_account_key") or "{}"), "https://www.googleapis.com/auth/spreadsheets.readonly", options)
         where = urllib.parse.quote(f"{options['sheet_name']}!{options['range']}")
         rows = ask("GET", f"{host}/v4/spreadsheets/{options['sheet_id']}/values/{where}", None, {"Authorization": f"Bearer {token}"}, options).get("values") or []
         names = schema.names if schema is not None else rows.pop(0) if rows else []
@@ -268,7 +259,7 @@ def firestore(options: dict, values: dict) -> Sink:
     keys = options.get("primary_keys") or []
 
     def send(rows, number):
-        token = google_token(_account(options["credentials"]), "https://www.googleapis.com/auth/datastore", options)
+        token = google_token(_account(options.get("credentials") or "{}"), "https://www.googleapis.com/auth/datastore", options)
         writes = []
         for r in rows:
             name = f"{root}/{options['collection']}/{'_'.join(str(r.fields[k]) for k in keys) if keys else uuid.uuid4().hex}"
