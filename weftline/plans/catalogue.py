@@ -66,7 +66,7 @@ _add("sql_decimal_division", lambda spark, d: sql(table(spark, d, "part").withCo
 _sql("sql_like_raw_regex", "customer", "SELECT c_custkey FROM t WHERE c_name LIKE '%#0+1[0-5]'", "SELECT c_custkey FROM customer WHERE regexp_full_match(c_name, '.*#0+1[0-5]')")
 _sql("sql_like_column", "part", "SELECT p_partkey FROM t WHERE p_name LIKE CONCAT(LEFT(p_type, 0), 's%') AND p_brand NOT LIKE CONCAT('%', RIGHT(p_name, 1))", "SELECT p_partkey FROM part WHERE p_name LIKE 's%' AND NOT ends_with(p_brand, right(p_name, 1))")
 _sql("sql_like_two_underscores", "orders", "SELECT o_orderkey FROM t WHERE o_orderpriority LIKE '__-%' OR o_orderpriority LIKE '_-%T'", "SELECT o_orderkey FROM orders WHERE regexp_full_match(o_orderpriority, '._-.*') OR regexp_full_match(o_orderpriority, '.-%T')")
-_sql("sql_like_two_ends", "orders", "SELECT o_orderkey, o_orderpriority FROM t WHERE o_orderpriority LIKE '%-_IGH' OR o_orderpriority LIKE '%URGENT'", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority LIKE '%-HIGH' OR o_orderpriority LIKE '%URGENT'")
+_sql("sql_like_second_underscore", "orders", "SELECT o_orderkey, o_orderpriority FROM t WHERE o_orderpriority LIKE '__URGENT' OR o_orderpriority LIKE '_-HIG_'", "SELECT o_orderkey, o_orderpriority FROM orders WHERE regexp_full_match(o_orderpriority, '._URGENT') OR regexp_full_match(o_orderpriority, '.-HIG.')")
 _sql("sql_double_by_zero", "part", "SELECT p_partkey, CAST(p_retailprice / (p_size - p_size) AS STRING) AS q, CAST(-p_retailprice / (p_retailprice - p_retailprice) AS STRING) AS r FROM t", "SELECT p_partkey, 'Infinity' AS q, '-Infinity' AS r FROM part")
 _sql("sql_null_arithmetic", "orders", "SELECT o_orderkey, NULLIF(o_custkey, 1) + 1 AS a, 2.5 * NULLIF(o_totalprice, 0) AS b FROM t WHERE NULLIF(o_custkey, 1) + 1 IS NULL OR o_custkey < 50", "SELECT o_orderkey, nullif(o_custkey, 1) + 1 AS a, 2.5::DOUBLE * nullif(o_totalprice, 0) AS b FROM orders WHERE o_custkey < 50")
 _sql("sql_equal_across_classes", "orders", "SELECT o_orderkey FROM t WHERE o_orderstatus = 1 OR o_orderpriority <> 5", "SELECT o_orderkey FROM orders WHERE o_orderpriority IS NOT NULL")
