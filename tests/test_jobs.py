@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.datetimes import parse_date, parse_datetime
+from weftline.functions.datetimes import parse_date, parse_datetime, parse_time
 from weftline.plans import config
 from weftline.plans.job import JobError, run_job
 from weftline.sources import connectors
@@ -137,3 +137,9 @@ def test_http_options_are_redacted(spark):
     spark.dataSource.register(http.HttpSource)
     plan = spark.read.format(http.FORMAT).option(http.SECRET, '{"url": "http://x", "headers": {"Authorization": "hide-me"}}').load()._jdf.queryExecution().toString()
     assert "hide-me" not in plan
+
+
+def test_times_of_day(spark):
+    texts = ["00:00:00", "23:59:59.999", "12:34:56", "24:00:00", "12:60:00", "1:02:03", "12:34", "12:34:56.7", "", None]
+    got = [r.v for r in spark.createDataFrame([(t,) for t in texts], "t string").select(parse_time(F.col("t")).alias("v")).collect()]
+    assert got == [dt.timedelta(0), dt.timedelta(hours=23, minutes=59, seconds=59, milliseconds=999), dt.timedelta(hours=12, minutes=34, seconds=56), *[None] * 7]

@@ -28,3 +28,14 @@ def parse_datetime(text: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     return _first(text, "date", [(_DATE, "$1-$2-$3"), (r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3")])
+
+
+#: Times of two digits a part, with or without milliseconds.
+_CLOCK = r"([01]\d|2[0-3]):([0-5]\d):([0-5]\d(?:\.\d{3})?)"
+
+
+def parse_time(text: Column) -> Column:
+    """A time of day as the interval since midnight, which added to a date gives a timestamp; null where no format fits."""
+    part = lambda i: F.regexp_extract(text, f"^{_CLOCK}$", i)
+    fits = text.rlike(f"^{_CLOCK}$")
+    return F.when(fits, F.make_dt_interval(F.lit(0), F.when(fits, part(1)).cast("int"), F.when(fits, part(2)).cast("int"), F.when(fits, part(3)).cast("decimal(18,6)")))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.functions.datetimes import parse_time
 from weftline.operators import transforms as tr
 from weftline.plans.sql import sql
 from weftline.sources import buckets, capture, cdc, changes, formats, jdbc, shared
@@ -200,6 +201,17 @@ _add("t_table_merge", lambda s, d: tr.table_merge({"a.x": table(s, d, "nation"),
 _add("t_metadata", lambda s, d: tr.metadata(table(s, d, "nation").withColumns({"_table": F.lit("db.nation"), "_row_kind": F.lit("+I")}), {"Database": "db", "Table": "tbl", "RowKind": "kind"}).drop("_table", "_row_kind"), "SELECT *, 'db' AS db, 'nation' AS tbl, '+I' AS kind FROM nation")
 
 
+def _times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of day in texts, a third of them with milliseconds and a third no times."""
+    at = F.col("ts").cast("timestamp")
+    text = F.when(F.col("event_id") % 3 == 0, F.date_format(at, "HH:mm:ss")).when(F.col("event_id") % 3 == 1, F.date_format(at, "HH:mm:ss.SSS")).otherwise(F.date_format(at, "HH:mm"))
+    time = parse_time(text)
+    return table(spark, sf_dir, "events").select("event_id", (F.extract(F.lit("HOUR"), time) * 3600000 + F.extract(F.lit("MINUTE"), time) * 60000 + (F.extract(F.lit("SECOND"), time) * 1000).cast("long")).cast("long").alias("ms"))
+
+
+_add("fn_parse_time", _times, "SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(hour(ts) * 3600000 + minute(ts) * 60000 + second(ts) * 1000 AS BIGINT) WHEN 1 THEN CAST(hour(ts) * 3600000 + minute(ts) * 60000 AS BIGINT) + millisecond(ts) END AS ms FROM events")
+
+
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as changes of a table keyed by user."""
     kind = F.when(F.col("event_type") == "signup", "+I").when(F.col("event_type") == "error", "-D").when(F.col("event_type") == "click", "-U").otherwise("+U")
