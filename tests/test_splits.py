@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.plans import job
 from weftline.sources import jdbc, splits
 
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -62,3 +63,13 @@ def test_points_and_conditions():
     assert splits.predicates("k", []) == ["1 = 1"]
     assert splits.literal(dt.datetime(2020, 1, 2, 3, 4, 5)) == "{ts '2020-01-02 03:04:05.000000'}" and splits.literal(Decimal("1.5")) == "1.5"
     assert splits.divisible(T.StringType()) and not splits.divisible(T.BinaryType())
+
+
+def test_tables_by_a_pattern(spark):
+    options = {"url": f"jdbc:derby:memory:s{uuid.uuid4().hex};create=true", "driver": DERBY}
+    for name in ("part_1", "part_2", "other"):
+        spark.range(3).write.format("jdbc").options(**options, dbtable=name).save()
+    now = job.run_job(spark, {"source": [{"plugin_name": "Jdbc", **options, "table_pattern": "(?i)(app\\.)?part_.*", "plugin_output": "x"}], "sink": [{"plugin_name": "Console"}]})
+    assert [p.split(".")[-1].lower() for p in now.datasets["x"]] == ["part_1", "part_2"] and all(df.count() == 3 for df in now.datasets["x"].values())
+    with pytest.raises(job.JobError, match="no table matches"):
+        job.run_job(spark, {"source": [{"plugin_name": "Jdbc", **options, "table_pattern": "nothing"}], "sink": [{"plugin_name": "Console"}]})

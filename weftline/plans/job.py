@@ -229,7 +229,13 @@ def _jdbc(job: Job, options: dict, name: str) -> Tables:
                 raise JobError(f"a stream of a Jdbc table needs {', '.join([*lacking, *([] if schema else ['schema'])])}")
             out[given["table_path"]] = _keyed(increasing.stream(job.spark, given, schema), one)
         return out
-    return {one.get("table_path", name): _keyed(jdbc.read(job.spark, {**options, **one}), one) for one in options.get("table_list") or [options]}
+    listed = list(options.get("table_list") or [])
+    if options.get("table_pattern"):
+        matched = jdbc.tables_like(job.spark, options, options["table_pattern"])
+        if not matched:
+            raise JobError(f"no table matches {options['table_pattern']}")
+        listed += [{"table_path": t} for t in matched]
+    return {one.get("table_path", name): _keyed(jdbc.read(job.spark, {**options, **one}), one) for one in listed or [options]}
 
 
 #: Sources of changes, by the database whose log is read.

@@ -182,7 +182,7 @@ def declare(stores: tuple[str, ...], services: tuple[str, ...], captured: tuple[
             RULES.add("sink", name, Required(writing), *modes)
     RULES.add("source", "FakeSource", Each("tables_configs", (OneOf(("schema", "schema.fields", "schema.columns"), least=True),)))
     RULES.add("source", "Hive", Required(("table_name",)))
-    RULES.add("source", "Jdbc", Required(("url",)), Each("table_list", (OneOf(("query", "table_path"), least=True),)), Together(("partition_lower_bound", "partition_upper_bound")))
+    RULES.add("source", "Jdbc", Required(("url",)), Each("table_list", (OneOf(("query", "table_path", "table_pattern"), least=True),)), Together(("partition_lower_bound", "partition_upper_bound")))
     RULES.add("source", "Kafka", Required(("topic", "bootstrap.servers")), Choice("start_mode", ("earliest", "group_offsets", "latest", "specific_offsets", "timestamp")), When("start_mode", ("timestamp",), ("start_mode.timestamp",)), When("start_mode", ("specific_offsets",), ("start_mode.offsets",)), When("format", ("protobuf",), ("protobuf_schema", "protobuf_message_name")))
     RULES.add("sink", "Hive", Required(("table_name",)), *SAVE_MODES)
     RULES.add("sink", "Jdbc", Required(("url",)), OneOf(("table", "query", "generate_sink_sql"), least=True), *SAVE_MODES)
